@@ -1,0 +1,72 @@
+"""Rollups of silver: features per player and game, trajectories per play."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gridpulse.functions.arrays import ordered_values
+from gridpulse.functions.times import with_audit
+from gridpulse.operators.histories import HISTORY_LIMIT, rollup_with_history
+
+
+def player_features(
+    silver: DataFrame,
+    keys: Sequence[str] = ("game_id", "player_id"),
+    limit: int = HISTORY_LIMIT,
+    stamp: bool = True,
+) -> DataFrame:
+    """Speed, heart rate and the acceleration history of every player in every game.
+
+    The history is in time order and leaves out NULLs. A player with more than ``limit`` events in a
+    game has several rows, numbered by ``history_part``; all others have part 0 only.
+    """
+    result = rollup_with_history(
+        silver,
+        keys,
+        measures={
+            "avg_speed_mph": F.round(F.avg("speed_mph"), 2),
+            "max_speed_today": F.max("speed_mph"),
+            "avg_heart_rate": F.round(F.avg("heart_rate_bpm"), 0),
+            "peak_heart_rate": F.max("heart_rate_bpm"),
+        },
+        history=lambda: ordered_values(F.col("acceleration_m_s2"), F.col("timestamp")),
+        history_name="acceleration_history_array",
+        order=["timestamp", "acceleration_m_s2"],
+        limit=limit,
+    )
+    return with_audit(result, "feature_timestamp") if stamp else result
+
+
+def play_trajectory(
+    silver: DataFrame,
+    keys: Sequence[str] = ("game_id", "play_id"),
+    limit: int = HISTORY_LIMIT,
+    stamp: bool = True,
+) -> DataFrame:
+    """Every play's samples in time order, its top speed and the number of its players."""
+    fields = ("player_id", "timestamp", "speed_mph", "acceleration_m_s2")
+    by_time = ("timestamp", "player_id", "speed_mph", "acceleration_m_s2")
+
+    def history():
+        samples = F.array_sort(F.collect_list(F.struct(*by_time)))
+        return F.transform(samples, lambda s: F.struct(*[s[f].alias(f) for f in fields]))
+
+    result = rollup_with_history(
+        silver,
+        keys,
+        measures={
+            "max_speed_in_play": F.round(F.max("speed_mph"), 2),
+            "players_tracked": F.count_distinct("player_id"),
+        },
+        history=history,
+        history_name="telemetry_history_array",
+        order=by_time,
+        # Next to an array of the whole play a set of its players is small, and saves the extra
+        # exchange that a distinct count would send those arrays through.
+        compact={"players_tracked": F.size(F.collect_set("player_id")).cast("bigint")},
+        limit=limit,
+    )
+    return with_audit(result, "feature_timestamp") if stamp else result
