@@ -1,37 +1,51 @@
 """Record layouts. Column names and types are fixed values: they are the input contract."""
 
-from pyspark.sql.types import StructType
-
-TELEMETRY = StructType.fromDDL(
-    """
-    game_id STRING, play_id STRING, play_status STRING,
-    player_id STRING, player_name STRING, position STRING, team STRING,
-    x_coord DOUBLE, y_coord DOUBLE, speed_mph DOUBLE, acceleration_m_s2 DOUBLE,
-    heart_rate_bpm INT, stamina_pct DOUBLE, timestamp BIGINT
-    """
+from pyspark.sql.types import (
+    BinaryType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
 )
 
-KAFKA_RECORD = StructType.fromDDL(
-    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
+
+def layout(**groups: tuple[DataType, str]) -> StructType:
+    """Nullable columns, named in order, each group with its type."""
+    return StructType([StructField(name, kind) for kind, names in groups.values() for name in names.split()])
+
+
+TELEMETRY = layout(
+    what=(StringType(), "game_id play_id play_status player_id player_name position team"),
+    measured=(DoubleType(), "x_coord y_coord speed_mph acceleration_m_s2"),
+    pulse=(IntegerType(), "heart_rate_bpm"),
+    stamina=(DoubleType(), "stamina_pct"),
+    epoch_ms=(LongType(), "timestamp"),
+)
+
+KAFKA_RECORD = layout(
+    payload=(BinaryType(), "key value"),
+    topic=(StringType(), "topic"),
+    partition=(IntegerType(), "partition"),
+    offset=(LongType(), "offset"),
+    time=(TimestampType(), "timestamp"),
 )
 
-DIM_GAME_CSV = StructType.fromDDL(
-    """
-    game_id STRING, season STRING, week STRING, home_team STRING, away_team STRING,
-    stadium STRING, turf_type STRING, weather_conditions STRING, temperature_f STRING
-    """
+# CSV columns are all text; the dimension plans give them types.
+DIM_GAME_CSV = layout(
+    text=(
+        StringType(),
+        "game_id season week home_team away_team stadium turf_type weather_conditions temperature_f",
+    )
 )
 
-DIM_PLAY_CSV = StructType.fromDDL(
-    """
-    play_id STRING, game_id STRING, quarter STRING, down STRING,
-    distance_to_first STRING, expected_coverage STRING, play_result STRING
-    """
+DIM_PLAY_CSV = layout(
+    text=(StringType(), "play_id game_id quarter down distance_to_first expected_coverage play_result")
 )
 
-DIM_PLAYER_CSV = StructType.fromDDL(
-    """
-    player_sk STRING, full_name STRING, team STRING, position STRING,
-    height_in STRING, weight_lbs STRING, college STRING, draft_year STRING
-    """
+DIM_PLAYER_CSV = layout(
+    text=(StringType(), "player_sk full_name team position height_in weight_lbs college draft_year")
 )
