@@ -19,12 +19,11 @@ _TELEMETRY = f"""
            {_K} AS heart_rate_bpm, {_MS} AS ms, {_S} AS s
     FROM events
 """
-_SILVER = f"""
-    SELECT * FROM (
-        SELECT * FROM ({_TELEMETRY})
-        QUALIFY row_number() OVER (PARTITION BY game_id, play_id, player_id, ms ORDER BY event_id) = 1
-    )
-    WHERE speed_mph >= 0 AND speed_mph <= 30 AND heart_rate_bpm IS NOT NULL
+_VALID = "speed_mph >= 0 AND speed_mph <= 30 AND heart_rate_bpm IS NOT NULL"
+_SILVER = f"SELECT * FROM ({_TELEMETRY}) WHERE {_VALID}"
+_FIRST_COPY = f"""
+    SELECT * FROM ({_TELEMETRY})
+    QUALIFY row_number() OVER (PARTITION BY game_id, play_id, player_id, ms ORDER BY event_id) = 1
 """
 _DISTANCE = "sqrt(pow(l.{x} - r.{x}, 2) + pow(l.{y} - r.{y}, 2))"
 
@@ -127,14 +126,16 @@ ORACLES: dict[str, str] = {
         WHERE n = 1
     """,
     "dedup_event_stream": f"SELECT DISTINCT event_type, user_id, {_S} - {_S} % 86400 AS day_s FROM events",
-    "silver_from_batch": f"SELECT game_id, play_id, player_id, speed_mph, heart_rate_bpm, s AS epoch_s FROM ({_SILVER})",
+    "silver_from_batch": f"""
+        SELECT game_id, play_id, player_id, speed_mph, heart_rate_bpm, s AS epoch_s FROM ({_FIRST_COPY}) WHERE {_VALID}
+    """,
     "silver_rule_metrics": f"""
+        WITH t AS ({_FIRST_COPY})
         SELECT 'velocidad_valida' AS rule, 'drop' AS action,
                count(*) FILTER (speed_mph >= 0 AND speed_mph <= 30) AS passed,
-               count(*) - count(*) FILTER (speed_mph >= 0 AND speed_mph <= 30) AS failed FROM ({_TELEMETRY})
+               count(*) - count(*) FILTER (speed_mph >= 0 AND speed_mph <= 30) AS failed FROM t
         UNION ALL
-        SELECT 'ritmo_cardiaco_valido', 'drop', count(heart_rate_bpm), count(*) - count(heart_rate_bpm)
-        FROM ({_TELEMETRY})
+        SELECT 'ritmo_cardiaco_valido', 'drop', count(heart_rate_bpm), count(*) - count(heart_rate_bpm) FROM t
     """,
     "silver_from_stream": f"SELECT DISTINCT game_id, play_id, player_id, s AS epoch_s FROM ({_TELEMETRY})",
     "player_rollup": f"""

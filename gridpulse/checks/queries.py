@@ -32,7 +32,7 @@ from gridpulse.plans.reports import matchup_report
 from gridpulse.plans.rules import TELEMETRY_RULES
 from gridpulse.plans.scoring import array_features, balance_single_row, play_features, predict, train
 from gridpulse.plans.separation import separation_fact
-from gridpulse.plans.silver import FILE_COLUMNS, silver_batch, silver_stream, unchecked_silver_batch
+from gridpulse.plans.silver import clean_metrics, silver_batch, silver_stream, unchecked_silver_batch
 from gridpulse.session import new_folder
 from gridpulse.sources import (
     Layer,
@@ -76,8 +76,8 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     return table(spark, sf_dir, "events").select(
         "event_id",
-        F.date_format("ts", "yyyy-MM-dd").alias("game_id"),
-        F.date_format("ts", "HH").alias("play_id"),
+        F.to_date("ts").cast("string").alias("game_id"),
+        F.lpad(F.hour("ts").cast("string"), 2, "0").alias("play_id"),
         F.lit("ACTIVO").alias("play_status"),
         F.col("user_id").cast("string").alias("player_id"),
         F.concat(F.lit("user "), F.col("user_id")).alias("player_name"),
@@ -102,16 +102,15 @@ def records(spark: SparkSession, sf_dir: str, top_speed: float | None = None) ->
     events = telemetry(spark, sf_dir)
     if top_speed is not None:
         events = events.withColumn("speed_mph", F.least("speed_mph", F.lit(top_speed)))
-    encoded = encode_events(events)
-    text = F.col("value").cast("string")
-    return encoded.select(
-        "key",
-        "value",
+    arrived = events.select(
+        *[c for c in events.columns if c != "event_id"],
         F.lit("tracking").alias("topic"),
         F.lit(0).alias("partition"),
-        F.get_json_object(text, "$.event_id").cast("bigint").alias("offset"),
-        F.timestamp_millis(F.get_json_object(text, "$.timestamp").cast("bigint")).alias("timestamp"),
+        F.col("event_id").alias("offset"),
+        F.timestamp_millis("timestamp").alias("arrival"),
     )
+    encoded = encode_events(arrived, record_columns=("topic", "partition", "offset", "arrival"))
+    return encoded.withColumnRenamed("arrival", "timestamp")
 
 
 def stream_of(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
@@ -311,7 +310,8 @@ def silver_from_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TELEMETRY_RULES.metrics(unchecked_silver_batch(bronze_from_records(records(spark, sf_dir))))
+    bronze = bronze_from_records(records(spark, sf_dir))
+    return TELEMETRY_RULES.metrics(unchecked_silver_batch(bronze, order_by=("kafka_timestamp", "partition", "offset")))
 
 
 @query
@@ -323,7 +323,8 @@ def silver_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_batch(telemetry(spark, sf_dir), drop=[*FILE_COLUMNS, "event_id"], order_by=["event_id"])
+    """Typed, checked events; they hold no copies to remove."""
+    return TELEMETRY_RULES.keep(clean_metrics(telemetry(spark, sf_dir)))
 
 
 @query
@@ -358,8 +359,8 @@ def game_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as games: text in, typed and keyed rows out."""
     text = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("game_id"),
-        F.date_format("o_orderdate", "yyyy").alias("season"),
-        F.date_format("o_orderdate", "MM").alias("week"),
+        F.year("o_orderdate").cast("string").alias("season"),
+        F.month("o_orderdate").cast("string").alias("week"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("home_team"),
         F.col("o_orderpriority").alias("away_team"),
         F.lit("s").alias("stadium"),

@@ -23,7 +23,7 @@ def cluster_layout(df: DataFrame, cols: Sequence[str], n: int | None = None) ->
     return _by_range(df, list(cols), n)
 
 
-def zorder_layout(df: DataFrame, cols: Sequence[str], n: int | None = None, bits: int = 10) -> DataFrame:
+def zorder_layout(df: DataFrame, cols: Sequence[str], n: int | None = None, bits: int = 8) -> DataFrame:
     """Range-partitions and sorts along the Z-order curve of ``cols``.
 
     Every column is replaced by the number of its quantile bucket (2^bits of them, bounds from one

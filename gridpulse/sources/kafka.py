@@ -5,6 +5,8 @@ The connector is a separate Spark package; nothing here needs it except ``read_k
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -52,9 +54,14 @@ def decode_events(records: DataFrame, schema: StructType = TELEMETRY) -> DataFra
     )
 
 
-def encode_events(df: DataFrame, key: str = "player_id") -> DataFrame:
-    """Rows as keyed JSON records (``key``, ``value``), ready for ``write.format("kafka")``."""
+def encode_events(df: DataFrame, key: str = "player_id", record_columns: Sequence[str] = ()) -> DataFrame:
+    """Rows as keyed JSON records (``key``, ``value``), ready for ``write.format("kafka")``.
+
+    ``record_columns`` (``topic``, ``partition``, ...) stay columns of the record, outside the JSON.
+    """
+    payload = [c for c in df.columns if c not in record_columns]
     return df.select(
         F.col(key).cast("string").cast("binary").alias("key"),
-        F.to_json(F.struct(*df.columns)).cast("binary").alias("value"),
+        F.to_json(F.struct(*payload)).cast("binary").alias("value"),
+        *record_columns,
     )
