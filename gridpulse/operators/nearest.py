@@ -15,10 +15,10 @@ from gridpulse.operators.groups import BROADCAST_ROWS, Blocks, LargeGroups, orde
 # A group with at most this many rows on either side is matched row against array.
 SMALL_GROUP = 4096
 # Positions in one leaf block, and children of one node, of the search over large groups.
-LEAF_SIZE = 32
-FANOUT_BITS = 3
-# Blocks of one side at the level where the search starts.
-TOP_BITS = 6
+LEAF_SIZE = 16
+FANOUT_BITS = 2
+# The search starts at a level with at most 2^TOP_BITS nodes on either side.
+TOP_BITS = 9
 GRID_BITS = 20
 
 

@@ -1,0 +1,82 @@
+from datetime import datetime, timezone
+from hashlib import md5
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridpulse.functions import (
+    array_mean,
+    event_time,
+    interleave,
+    ordered_values,
+    score_band,
+    surrogate_key,
+    to_number,
+    with_audit,
+)
+
+
+def values(spark, column, rows, schema):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(column).collect()]
+
+
+def digest(text):
+    return md5(text.encode()).hexdigest()
+
+
+def test_surrogate_key_of_one_column(spark):
+    assert values(spark, surrogate_key("a"), [("x",), ("",), (None,)], "a STRING") == [digest("x"), digest(""), None]
+    assert values(spark, surrogate_key("n"), [(7,)], "n INT") == [digest("7")]
+
+
+def test_surrogate_key_skips_null_parts(spark):
+    rows = [("g", "p"), (None, "p"), ("g", None), (None, None)]
+    expected = [digest("g||p"), digest("p"), digest("g"), digest("")]
+    assert values(spark, surrogate_key("a", "b"), rows, "a STRING, b STRING") == expected
+
+
+def test_event_time_cuts_to_seconds_or_keeps_millis(spark):
+    rows = [(1_700_000_000_987,), (None,)]
+    seconds = values(spark, F.unix_millis(event_time("ms")), rows, "ms BIGINT")
+    millis = values(spark, F.unix_millis(event_time("ms", "millis")), rows, "ms BIGINT")
+    assert seconds == [1_700_000_000_000, None]
+    assert millis == [1_700_000_000_987, None]
+    with pytest.raises(ValueError):
+        event_time(F.col("ms"), "minute")
+
+
+def test_to_number_gives_null_for_bad_text(spark):
+    assert values(spark, to_number("s", "int"), [("12",), ("x",), ("",), (None,)], "s STRING") == [12, None, None, None]
+    assert values(spark, to_number("s", "double"), [("7.5",), ("seven",)], "s STRING") == [7.5, None]
+
+
+def test_score_bands_at_their_bounds(spark):
+    rows = [(65.0,), (64.99,), (40.0,), (39.99,), (None,)]
+    assert values(spark, score_band("p"), rows, "p DOUBLE") == [
+        "Alta Confianza", "50/50 Incertidumbre", "50/50 Incertidumbre", "Baja Confianza", "Baja Confianza",
+    ]
+    assert values(spark, score_band("p", bands=[(1.0, "up")], otherwise="down"), [(1.0,), (0.0,)], "p DOUBLE") == ["up", "down"]
+
+
+def test_array_mean(spark):
+    rows = [([1.0, 2.0],), ([],), (None,), ([1.0, None],), ([4.0],)]
+    assert values(spark, array_mean(F.col("a")), rows, "a ARRAY<DOUBLE>") == [1.5, None, None, None, 4.0]
+
+
+def test_ordered_values_skip_nulls(spark):
+    df = spark.createDataFrame([(2, 20.0), (1, 10.0), (3, None), (2, 5.0)], "t INT, v DOUBLE")
+    assert df.agg(ordered_values(F.col("v"), F.col("t"))).first()[0] == [10.0, 5.0, 20.0]
+
+
+def test_interleave_takes_bits_in_turn(spark):
+    column = interleave([F.col("a"), F.col("b")], 3)
+    # a = 0b101, b = 0b011 -> a2 b2 a1 b1 a0 b0 = 1 0 0 1 1 1
+    assert values(spark, column, [(5, 3), (0, 0), (7, 7)], "a INT, b INT") == [0b100111, 0, 63]
+    with pytest.raises(ValueError):
+        interleave([F.col("a")] * 4, 16)
+
+
+def test_audit_is_one_value_per_query(spark):
+    stamps = {r[0] for r in with_audit(spark.range(50).repartition(4), "at").select("at").collect()}
+    assert len(stamps) == 1
+    assert abs(stamps.pop().astimezone(timezone.utc) - datetime.now(timezone.utc)).total_seconds() < 120
