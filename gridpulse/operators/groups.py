@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
+def join_equal(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, where NULL equals NULL as it does in a grouping. Keys come from the left."""
+    side = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(side, condition, how).drop(*[f"_right_{k}" for k in keys])
+
+
 @dataclass(frozen=True)
 class LargeGroups:
     """The keys of the groups above a size limit, written once and counted."""
@@ -29,13 +38,7 @@ class LargeGroups:
         return cls(tuple(keys), kept, kept.count())
 
     def _join(self, df: DataFrame, how: str) -> DataFrame:
-        other = self.frame.select(*[F.col(k).alias(f"_large_{k}") for k in self.keys])
-        if self.count <= BROADCAST_ROWS:
-            other = F.broadcast(other)
-        condition = F.lit(True)
-        for k in self.keys:
-            condition = condition & F.col(k).eqNullSafe(F.col(f"_large_{k}"))
-        return df.join(other, condition, how)
+        return join_equal(df, F.broadcast(self.frame) if self.count <= BROADCAST_ROWS else self.frame, self.keys, how)
 
     def within(self, df: DataFrame) -> DataFrame:
         return self._join(df, "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.operators.groups import LargeGroups, ordered_blocks
+from gridpulse.operators.groups import LargeGroups, join_equal, ordered_blocks
 
 # Rows one array may hold. A larger group continues in further rows, numbered by ``history_part``.
 HISTORY_LIMIT = 200_000
@@ -61,14 +61,5 @@ def rollup_with_history(
     # A block may also hold the end of one group and the start of the next: the keys stay in the grouping.
     arrays = blocks.groupBy(*keys, "_block").agg(history().alias(history_name))
 
-    def matching(right: DataFrame, extra: Sequence[str] = ()) -> tuple[DataFrame, Column]:
-        names = [*keys, *extra]
-        renamed = right.withColumnsRenamed({n: f"_r_{n}" for n in names})
-        condition = F.lit(True)
-        for n in names:
-            condition = condition & F.col(n).eqNullSafe(F.col(f"_r_{n}"))
-        return renamed, condition
-
-    parts, on_block = matching(numbered, ["_block"])
-    sums, on_key = matching(totals)
-    return small.unionByName(arrays.join(parts, on_block).drop("_block").join(sums, on_key).select(*columns))
+    parts = join_equal(arrays, numbered, [*keys, "_block"]).drop("_block")
+    return small.unionByName(join_equal(parts, totals, keys).select(*columns))
