@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridpulse.session import cut_lineage
+
 # A table of group keys is broadcast up to this many rows (counted first), joined by shuffle beyond.
 BROADCAST_ROWS = 200_000
 
@@ -34,7 +36,7 @@ class LargeGroups:
         """``counts`` holds one row per large group; None when it is empty, the usual case."""
         if counts.isEmpty():
             return None
-        kept = counts.select(*keys).checkpoint()
+        kept = cut_lineage(counts.select(*keys))
         return cls(tuple(keys), kept, kept.count())
 
     def _join(self, df: DataFrame, how: str) -> DataFrame:
@@ -64,13 +66,12 @@ def ordered_blocks(df: DataFrame, order: Sequence[str], size: int) -> Blocks:
     Rows equal in ``order`` are told apart by the task that read them, so copies spread as well.
     The result is checkpointed: block numbers must not change when a lost task runs again.
     """
-    sorted_rows = (
+    sorted_rows = cut_lineage(
         df.withColumn("_reader", F.spark_partition_id())
         .repartitionByRange(*order, "_reader")
         .sortWithinPartitions(*order, "_reader")
         .withColumn("_at", F.monotonically_increasing_id())
         .drop("_reader")
-        .checkpoint()
     )
     # The identifier holds the partition number above bit 33 and the row number below it.
     part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))

@@ -8,6 +8,7 @@ from math import isfinite
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from gridpulse.functions.bits import interleave
 
@@ -68,9 +69,10 @@ def _measure(df: DataFrame, name: str) -> Column:
 
 
 def _by_range(df: DataFrame, order: list[str], n: int | None) -> DataFrame:
-    # A value too frequent for one file is split further by a row hash, and copies of one row by
-    # the task that read them.
-    spread = df.withColumn("_row", F.xxhash64(*df.columns)).withColumn("_reader", F.spark_partition_id())
+    # A value too frequent for one file is split further by a row hash (nested columns left out), and
+    # copies of one row by the task that read them.
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    spread = df.withColumn("_row", F.xxhash64(*plain)).withColumn("_reader", F.spark_partition_id())
     keys = [*order, "_row", "_reader"]
     ranged = spread.repartitionByRange(n, *keys) if n else spread.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*keys).drop("_row", "_reader")

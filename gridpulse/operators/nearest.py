@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridpulse.functions.bits import interleave
 from gridpulse.functions.numbers import planar_distance
 from gridpulse.operators.groups import BROADCAST_ROWS, Blocks, LargeGroups, ordered_blocks
+from gridpulse.session import cut_lineage
 
 # A group with at most this many rows on either side is matched row against array.
 SMALL_GROUP = 4096
@@ -131,8 +132,8 @@ def _match_blocks(lefts: DataFrame, rights: DataFrame, on: list[str], large: Lar
     right_blocks = _blocks(right_places, frame, on, leaf_size)
 
     levels = max(_levels(left_blocks.span), _levels(right_blocks.span))
-    left_leaves = _boxes(left_blocks.frame, on, F.col("_block"), "a").checkpoint()
-    right_leaves = _boxes(right_blocks.frame, on, F.col("_block"), "b").checkpoint()
+    left_leaves = cut_lineage(_boxes(left_blocks.frame, on, F.col("_block"), "a"))
+    right_leaves = cut_lineage(_boxes(right_blocks.frame, on, F.col("_block"), "b"))
 
     pairs = None
     for level in range(levels, -1, -1):

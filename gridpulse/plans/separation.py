@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.functions.keys import surrogate_key
 from gridpulse.operators.nearest import SMALL_GROUP, nearest_per_group
 
 ALL_GAMES = "TODOS"  # fixed value: the filter setting that means no filter
+GAME_SETTING = "gridpulse.filter.game_id"
+
+
+def configured_game(spark: SparkSession) -> str:
+    """The game that the session's settings name for this run, or all of them."""
+    return spark.conf.get(GAME_SETTING, ALL_GAMES)
 
 
 def separation_fact(
