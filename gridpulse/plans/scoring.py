@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridpulse.functions.arrays import array_mean
 from gridpulse.functions.numbers import score_band
+from gridpulse.session import cut_lineage
 
 # Feature suffix -> array inside the play trajectory.
 TRAJECTORY_FIELDS = {
@@ -90,9 +91,14 @@ def balance_single_row(df: DataFrame) -> DataFrame:
 def train(
     features: DataFrame, inputs: Sequence[str] | None = None, label: str | None = None, seed: int = 0
 ) -> PipelineModel:
-    """Random forest on ``inputs``; rows with invalid values are skipped. No ``label``: random ones."""
+    """Random forest on ``inputs``; rows with invalid values are skipped. No ``label``: random ones.
+
+    The fit passes over its input several times, so the few columns it needs are written once.
+    """
+    inputs = list(inputs or feature_names())
     labelled = random_labels(features, seed) if label is None else features.withColumn("label", F.col(label))
-    assembler = VectorAssembler(inputCols=list(inputs or feature_names()), outputCol="features", handleInvalid="skip")
+    labelled = cut_lineage(labelled.select(*inputs, "label"))
+    assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip")
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=FOREST_TREES, maxDepth=FOREST_DEPTH, seed=seed
     )
