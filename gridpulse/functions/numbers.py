@@ -14,8 +14,11 @@ def to_number(column: Column | str, kind: str) -> Column:
 
 
 def planar_distance(dx: Column, dy: Column) -> Column:
-    """Length of (dx, dy). It never decreases when |dx| or |dy| grows, also after rounding."""
-    return F.sqrt(F.pow(dx, F.lit(2.0)) + F.pow(dy, F.lit(2.0)))
+    """Length of (dx, dy). It never decreases when |dx| or |dy| grows, also after rounding.
+
+    Squares are products, which is what Spark's power function yields for an exponent of two.
+    """
+    return F.sqrt(dx * dx + dy * dy)
 
 
 def score_band(
