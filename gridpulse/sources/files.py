@@ -35,20 +35,19 @@ def with_rescued_data(df: DataFrame, schema: StructType, value: str = "value") -
     does not fit their type; NULL when there are none.
     """
     text = F.col(value).cast("string")
-    parsed = df.withColumn("_typed", F.from_json(text, schema)).withColumn("_raw", F.from_json(text, "map<string,string>"))
-    untyped = F.array_compact(
-        F.array(
-            F.lit(None).cast("string"),
-            *[F.when(F.col("_typed")[f.name].isNull(), F.lit(f.name)) for f in schema.fields],
-        )
-    )
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
-    lost = F.map_filter(
-        "_raw", lambda k, v: v.isNotNull() & (~F.array_contains(known, k) | F.array_contains(untyped, k))
+    fields = [(f.name, F.col("_typed")[f.name]) for f in schema.fields]
+    fitting = F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(v.isNotNull(), F.lit(n)) for n, v in fields]))
+    lost = F.map_filter("_raw", lambda k, v: v.isNotNull() & ~F.array_contains(F.col("_fitting"), k))
+    parsed = (
+        df.withColumn("_typed", F.from_json(text, schema))
+        .withColumn("_raw", F.from_json(text, "map<string,string>"))
+        .withColumn("_fitting", fitting)
+        # As many fields as fitting columns: all have arrived, which is the common case.
+        .withColumn("_lost", F.when(F.size("_raw") != F.size("_fitting"), lost))
     )
     others = [c for c in df.columns if c != value]
-    return parsed.withColumn("_lost", lost).select(
-        *[F.col("_typed")[f.name].alias(f.name) for f in schema.fields],
+    return parsed.select(
+        *[v.alias(n) for n, v in fields],
         F.when(F.size("_lost") > 0, F.to_json("_lost")).alias(RESCUED),
         *others,
     )
