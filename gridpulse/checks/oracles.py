@@ -88,7 +88,7 @@ ORACLES: dict[str, str] = {
                               WHEN value >= 40.0 THEN '50/50 Incertidumbre' ELSE 'Baja Confianza' END AS band
         FROM events
     """,
-    "array_statistics": """
+    "array_features": """
         SELECT vec_id, list_sum(CAST(embedding AS DOUBLE[])) / len(embedding) AS mean_vec,
                CAST(list_max(embedding) AS DOUBLE) AS max_vec, CAST(list_min(embedding) AS DOUBLE) AS min_vec
         FROM embeddings
@@ -113,7 +113,7 @@ ORACLES: dict[str, str] = {
         SELECT event_type, 'value_high', 'count', count(*) FILTER (value BETWEEN 20 AND 120),
                count(*) - count(*) FILTER (value BETWEEN 20 AND 120) FROM events GROUP BY event_type
     """,
-    "dedup_copies": "SELECT DISTINCT user_id, event_type, ts FROM events",
+    "dedup_batch": "SELECT DISTINCT user_id, event_type, ts FROM events",
     "dedup_keep_first": """
         SELECT user_id, event_type, event_id, value
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events)
@@ -125,7 +125,7 @@ ORACLES: dict[str, str] = {
                      ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_quantity) AS n FROM lineitem)
         WHERE n = 1
     """,
-    "dedup_event_stream": f"SELECT DISTINCT event_type, user_id, {_S} - {_S} % 86400 AS day_s FROM events",
+    "dedup_stream": f"SELECT DISTINCT event_type, user_id, {_S} - {_S} % 86400 AS day_s FROM events",
     "silver_from_batch": f"""
         SELECT game_id, play_id, player_id, speed_mph, heart_rate_bpm, s AS epoch_s FROM ({_FIRST_COPY}) WHERE {_VALID}
     """,
@@ -138,13 +138,13 @@ ORACLES: dict[str, str] = {
         SELECT 'ritmo_cardiaco_valido', 'drop', count(heart_rate_bpm), count(*) - count(heart_rate_bpm) FROM t
     """,
     "silver_from_stream": f"SELECT DISTINCT game_id, play_id, player_id, s AS epoch_s FROM ({_TELEMETRY})",
-    "player_rollup": f"""
+    "player_features": f"""
         SELECT game_id, player_id, {_rounded("avg(speed_mph)", 2)} AS avg_speed_mph, max(speed_mph) AS max_speed_today,
                round(avg(heart_rate_bpm), 0) AS avg_heart_rate, max(heart_rate_bpm) AS peak_heart_rate,
                list(acceleration_m_s2 ORDER BY s, acceleration_m_s2) AS acceleration_history_array, 0 AS history_part
         FROM ({_SILVER}) GROUP BY game_id, player_id
     """,
-    "trajectory_rollup": f"""
+    "play_trajectory": f"""
         SELECT game_id, play_id, max(speed_mph) AS max_speed_in_play, count(DISTINCT player_id) AS players_tracked,
                0 AS history_part,
                string_agg(player_id, ',' ORDER BY s, player_id, speed_mph, acceleration_m_s2) AS players_in_order,
@@ -199,7 +199,7 @@ ORACLES: dict[str, str] = {
     """,
     "separation_facts": _fact("l.play_id = r.play_id AND l.hour_s = r.hour_s"),
     "separation_facts_by_game": _fact("l.game_id = r.game_id AND l.play_id = r.play_id"),
-    "matchups": f"""
+    "matchup_report": f"""
         SELECT po.n_name AS receptor_ofensivo, po.n_regionkey AS equipo, pd.n_name AS esquinero_defensor,
                {_rounded("avg(l_quantity)", 2)} AS promedio_separacion_yardas,
                max(l_quantity) AS maxima_separacion_yardas, count(DISTINCT o_orderkey) AS total_jugadas_analizadas
@@ -223,7 +223,7 @@ ORACLES: dict[str, str] = {
     """,
     "several_rows_unchanged": "SELECT event_type, count(*) AS n, 1 AS label FROM events GROUP BY event_type",
     "layout_partitioned": _LINES,
-    "layout_clustered": _LINES,
+    "layout_rewrite": _LINES,
     "layout_zorder": _LINES,
     "table_stats": "SELECT count(*) AS n_rows, 'gold' AS quality FROM lineitem",
 }

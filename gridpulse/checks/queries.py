@@ -49,7 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[build.__name__] = build
+    QUERIES[build.__name__.removesuffix("_query")] = build
     return build
 
 
@@ -236,7 +236,7 @@ def score_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def array_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def array_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return array_features(vectors, {"vec": "embedding"}).select("vec_id", "mean_vec", "max_vec", "min_vec")
 
@@ -268,7 +268,7 @@ def quality_metrics_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def dedup_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dedup_batch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "value")
     return dedup_batch(events.unionAll(events), ["user_id", "event_type", "ts"]).select("user_id", "event_type", "ts")
 
@@ -289,7 +289,7 @@ def first_in_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def dedup_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dedup_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     # The star also lets a single file stand for a folder of files.
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
@@ -328,12 +328,12 @@ def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def player_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def player_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return player_features(silver_events(spark, sf_dir), stamp=False)
 
 
 @query
-def trajectory_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def play_trajectory_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     plays = play_trajectory(silver_events(spark, sf_dir), stamp=False)
     return plays.select(
         "game_id", "play_id", "max_speed_in_play", "players_tracked", "history_part",
@@ -449,7 +449,7 @@ def separation_facts_by_game(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def matchups(spark: SparkSession, sf_dir: str) -> DataFrame:
+def matchup_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations of customers against nations of suppliers, over orders of the third priority."""
     orders, nation = table(spark, sf_dir, "orders"), table(spark, sf_dir, "nation")
     fact = star_join(
@@ -519,7 +519,7 @@ def layout_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def layout_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layout_rewrite_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rewritten(spark, table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), cluster_by=["l_partkey"])
 
 

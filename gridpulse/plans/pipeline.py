@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,12 +80,14 @@ def batch_silver_metrics(bronze: DataFrame) -> DataFrame:
 def _generation(spark: SparkSession, out_dir: str, full_refresh: bool) -> int:
     """Number of the current set of tables, kept in a one-row table next to them."""
     log = f"{out_dir.rstrip('/')}/generations"
-    schema = "generation INT"
-    # An empty append makes the folder exist on the first run.
-    spark.createDataFrame([], schema).write.mode("append").parquet(log)
-    latest = spark.read.schema(schema).parquet(log).agg(F.max("generation")).first()[0]
+    try:
+        latest = spark.read.schema("generation INT").parquet(log).agg(F.max("generation")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        latest = None
     if latest is not None and not full_refresh:
         return latest
     generation = 0 if latest is None else latest + 1
-    spark.createDataFrame([(generation,)], schema).write.mode("append").parquet(log)
+    spark.range(1).select(F.lit(generation).alias("generation")).write.mode("append").parquet(log)
     return generation
