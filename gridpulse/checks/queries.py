@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridpulse import schemas
-from gridpulse.functions import array_mean, event_time, score_band, surrogate_key
+from gridpulse.functions import event_time, score_band, surrogate_key
 from gridpulse.operators import (
     Expectations,
     Rule,
@@ -537,7 +537,12 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
     write_table(lines, name=name, path=folder, comment="order lines", properties={"quality": "gold"})
     analyze_table(spark, name)
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Statistics'")
-    rows = F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint")
-    quality = spark.sql(f"SHOW TBLPROPERTIES {name}").where("key = 'quality'").select(F.col("value").alias("quality"))
-    return described.select(rows.alias("n_rows")).join(quality)
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+
+    def found(row: str, pattern: str) -> F.Column:
+        return F.max(F.when(F.col("col_name") == row, F.regexp_extract("data_type", pattern, 1)))
+
+    return described.agg(
+        found("Statistics", r"(\d+) rows").cast("bigint").alias("n_rows"),
+        found("Table Properties", r"quality=(\w+)").alias("quality"),
+    )

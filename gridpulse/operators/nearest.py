@@ -165,7 +165,11 @@ def _match_blocks(lefts: DataFrame, rights: DataFrame, on: list[str], large: Lar
         reached.select(*on, "_x", "_y", "b")
         .join(others, [*on, "b"])
         .groupBy(*on, "_x", "_y")
-        .agg(F.min(_candidate(planar_distance(F.col("_x") - F.col("_rx"), F.col("_y") - F.col("_ry")), F.col("_id"))).alias("_found"))
+        .agg(
+            F.min(
+                _candidate(planar_distance(F.col("_x") - F.col("_rx"), F.col("_y") - F.col("_ry")), F.col("_id"))
+            ).alias("_found")
+        )
     )
     # Without a usable position on either side the distance is unknown and the smallest id wins.
     unknown = rights.groupBy(*on).agg(F.min(_candidate(F.lit(None).cast("double"), F.col("_id"))).alias("_unknown"))
