@@ -1,5 +1 @@
 """Training-data operators: dedup, quality, language, licences, contamination, scoring, packing and search."""
-
-from gridpulse.llm.queries import ORACLES, QUERIES
-
-__all__ = ["ORACLES", "QUERIES"]
