@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridpulse.llm.common import table
+from gridpulse.llm.lattice_lm import lattice_scores
 from gridpulse.llm.line_dedup import line_dedup
 from gridpulse.llm.simhash import simhash_components
 
@@ -41,6 +42,11 @@ FROM judged GROUP BY doc_id
 """
 
 
+@query
+def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
