@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridpulse.llm.common import table
 from gridpulse.llm.lattice_lm import lattice_scores
 from gridpulse.llm.line_dedup import line_dedup
+from gridpulse.llm.mtree import top_k
 from gridpulse.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,24 @@ def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op10_mtree"] = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
