@@ -10,6 +10,7 @@ from gridpulse.llm.common import table
 from gridpulse.llm.lattice_lm import lattice_scores
 from gridpulse.llm.line_dedup import line_dedup
 from gridpulse.llm.mtree import top_k
+from gridpulse.llm.repeats import without_repeats
 from gridpulse.llm.simhash import simhash_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +44,11 @@ FROM judged GROUP BY doc_id
 """
 
 
+@query
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_scores(table(spark, sf_dir, "documents"))
