@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridpulse.llm.common import table
+from gridpulse.llm.language import page_languages
 from gridpulse.llm.lattice_lm import lattice_scores
 from gridpulse.llm.line_dedup import line_dedup
 from gridpulse.llm.mtree import top_k
+from gridpulse.llm.packing import pack
 from gridpulse.llm.repeats import without_repeats
 from gridpulse.llm.simhash import simhash_components
 
@@ -44,6 +46,11 @@ FROM judged GROUP BY doc_id
 """
 
 
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
@@ -59,6 +66,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
