@@ -14,6 +14,7 @@ from gridpulse.llm.mtree import top_k
 from gridpulse.llm.packing import pack
 from gridpulse.llm.repeats import without_repeats
 from gridpulse.llm.simhash import simhash_components
+from gridpulse.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +47,11 @@ FROM judged GROUP BY doc_id
 """
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
