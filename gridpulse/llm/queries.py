@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridpulse.llm.common import table
 from gridpulse.llm.language import page_languages
 from gridpulse.llm.lattice_lm import lattice_scores
+from gridpulse.llm.licenses import scan_licenses
 from gridpulse.llm.line_dedup import line_dedup
 from gridpulse.llm.mtree import top_k
 from gridpulse.llm.packing import pack
@@ -77,6 +78,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
