@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridpulse.llm.common import table
+from gridpulse.llm.decontaminate import leaks
 from gridpulse.llm.language import page_languages
 from gridpulse.llm.lattice_lm import lattice_scores
 from gridpulse.llm.licenses import scan_licenses
@@ -83,6 +84,11 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("rid")
+
+
 @query
 def op10_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
