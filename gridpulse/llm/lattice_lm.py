@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from gridpulse.llm.common import id_remainder, stored, texts
 from gridpulse.llm.lattice import START, Lattice
 
-FREQUENT = 300_000  # words that every task holds
+FREQUENT = 150_000  # words that every task holds
 FLUSH = 500_000  # distinct words that a task counts before it passes them on
 EM_ROUNDS = 2
 PRIOR = 100.0  # weight of the vocabulary's own scores, in pieces
@@ -164,13 +164,18 @@ def lattice_scores(
     discount = min(0.9, max(0.1, totals["once"] / max(totals["once"] + 2 * totals["twice"], 1)))
     new = discount * n_distinct / n_train if n_train else 1.0
     scored = stored(word_scores(words, pieces, p, n_train, discount, new), "word-scores")
-    top = scored.orderBy(F.col("c").desc(), "w").limit(frequent).collect()
-    table = spark.sparkContext.broadcast({bytes(r["w"]): (r["c"], r["lp"]) for r in top})
+    # ``frequent`` rows at most, packed for the way to the tasks.
+    top = scored.orderBy(F.col("c").desc(), "w").limit(frequent).toArrow()
+    columns = (b" ".join(top["w"].to_pylist()), top["c"].to_numpy(), top["lp"].to_numpy())
+    packed = spark.sparkContext.broadcast(columns)
+    del top, columns
     floor = math.log10(n_train + n_distinct + 1)
     end = (math.log10(ends + 1) - floor, math.log10((ends - discount) / n_train if ends else 1e-3), int(ends > 0))
 
     def known_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document with the sums over its frequent words, and one for each other word of it."""
+        words, counts, logs = packed.value
+        table = dict(zip(words.split(), zip(counts.tolist(), logs.tolist(), strict=True), strict=True))
         for batch in batches:
             out: list[list] = [[], [], [], [], [], [], [], []]
             ids, rids, text = batch.column("d").to_pylist(), batch.column("rid").to_pylist(), batch.column("t")
@@ -178,7 +183,7 @@ def lattice_scores(
                 tokens = text[i].as_py().lower().split()
                 base, score, known = end
                 for w, n in Counter(tokens).items():
-                    hit = table.value.get(w)
+                    hit = table.get(w)
                     if hit is None:
                         for column, x in zip(out, (d, rid, w, n, 0, 0, 0.0, 0.0), strict=True):
                             column.append(x)
