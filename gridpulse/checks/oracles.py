@@ -1,4 +1,4 @@
-"""SQL for DuckDB over the same tables, one text per query; forest scores have none."""
+"""SQL for DuckDB over the same tables, one text per query."""
 
 # Spark rounds the decimal text of a double half up; so does this.
 _ROUND = "CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
@@ -25,7 +25,7 @@ _FIRST_COPY = f"""
     SELECT * FROM ({_TELEMETRY})
     QUALIFY row_number() OVER (PARTITION BY game_id, play_id, player_id, ms ORDER BY event_id) = 1
 """
-_DISTANCE = "sqrt(pow(l.{x} - r.{x}, 2) + pow(l.{y} - r.{y}, 2))"
+_DISTANCE = "sqrt((l.{x} - r.{x}) * (l.{x} - r.{x}) + (l.{y} - r.{y}) * (l.{y} - r.{y}))"
 
 
 def _fact(same_game: str) -> str:
@@ -47,7 +47,24 @@ def _fact(same_game: str) -> str:
     """
 
 
-_LINES = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag FROM lineitem"
+_LINES = "SELECT * FROM lineitem"
+
+# Measurements by player and second: what a streaming silver keeps of them.
+_BY_SECOND = """
+    SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS game_id, strftime(ts, '%H') AS play_id, CAST(user_id AS VARCHAR) AS player_id,
+           s, CAST((user_id * 31 + s) % 140 AS DOUBLE) / 4 AS speed_mph,
+           CASE WHEN (user_id * 7 + s) % 11 > 0 THEN CAST((user_id * 5 + s) % 100 + 60 AS INTEGER) END AS heart_rate_bpm,
+           CAST((user_id * 13 + s) % 50 AS DOUBLE) / 4 AS acceleration_m_s2
+    FROM (SELECT *, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS s FROM events)
+"""
+_SILVER_BY_SECOND = f"SELECT * FROM ({_BY_SECOND}) WHERE speed_mph <= 30 AND heart_rate_bpm IS NOT NULL"
+
+
+def _count(rule: str, action: str, holds: str, table: str) -> str:
+    return f"""
+        SELECT '{rule}' AS rule, '{action}' AS action, count(*) FILTER ({holds}) AS passed,
+               count(*) - count(*) FILTER ({holds}) AS failed FROM {table}
+    """
 
 ORACLES: dict[str, str] = {
     "event_decode": f"""
@@ -137,23 +154,71 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT 'ritmo_cardiaco_valido', 'drop', count(heart_rate_bpm), count(*) - count(heart_rate_bpm) FROM t
     """,
-    "silver_from_stream": f"SELECT DISTINCT game_id, play_id, player_id, s AS epoch_s FROM ({_TELEMETRY})",
+    "silver_from_stream": f"""
+        SELECT game_id, play_id, player_id, speed_mph, heart_rate_bpm, acceleration_m_s2, s AS epoch_s, true AS has_stamp
+        FROM ({_SILVER_BY_SECOND})
+    """,
+    "silver_from_junk": f"""
+        WITH timed AS (SELECT game_id, play_id, count(*) AS n FROM ({_SILVER_BY_SECOND}) GROUP BY ALL),
+        every AS (
+            SELECT strftime(ts, '%Y-%m-%d') AS game_id, strftime(ts, '%H') AS play_id, count(*) AS n
+            FROM (SELECT *, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS s FROM events)
+            WHERE (user_id * 31 + s) % 140 <= 120 AND (user_id * 7 + s) % 11 > 0 GROUP BY ALL
+        )
+        SELECT game_id, play_id, timed.n AS timed, every.n AS untimed FROM timed JOIN every USING (game_id, play_id)
+    """,
     "player_features": f"""
         SELECT game_id, player_id, {_rounded("avg(speed_mph)", 2)} AS avg_speed_mph, max(speed_mph) AS max_speed_today,
                round(avg(heart_rate_bpm), 0) AS avg_heart_rate, max(heart_rate_bpm) AS peak_heart_rate,
-               list(acceleration_m_s2 ORDER BY s, acceleration_m_s2) AS acceleration_history_array, 0 AS history_part
+               list(acceleration_m_s2 ORDER BY s, acceleration_m_s2) AS acceleration_history_array, 1 AS history_parts
         FROM ({_SILVER}) GROUP BY game_id, player_id
     """,
     "play_trajectory": f"""
         SELECT game_id, play_id, max(speed_mph) AS max_speed_in_play, count(DISTINCT player_id) AS players_tracked,
-               0 AS history_part,
+               1 AS history_parts,
                string_agg(player_id, ',' ORDER BY s, player_id, speed_mph, acceleration_m_s2) AS players_in_order,
                list(acceleration_m_s2 ORDER BY s, player_id, speed_mph, acceleration_m_s2) AS accelerations,
+               list(speed_mph ORDER BY s, player_id, speed_mph, acceleration_m_s2) AS speeds,
+               list(s ORDER BY s, player_id, speed_mph, acceleration_m_s2) AS times_s,
                count(*) AS samples
         FROM ({_SILVER}) GROUP BY game_id, play_id
     """,
     "medallion_run": f"""
-        SELECT game_id, play_id, count(DISTINCT player_id) AS players_tracked FROM ({_TELEMETRY}) GROUP BY game_id, play_id
+        SELECT game_id, play_id, count(DISTINCT player_id) AS players_tracked, max(speed_mph) AS max_speed_in_play,
+               count(*) AS samples, true AS has_stamp
+        FROM ({_SILVER_BY_SECOND}) GROUP BY game_id, play_id
+    """,
+    "medallion_refreshed": f"""
+        SELECT game_id, player_id, {_rounded("avg(speed_mph)", 2)} AS avg_speed_mph, max(speed_mph) AS max_speed_today,
+               round(avg(heart_rate_bpm), 0) AS avg_heart_rate, max(heart_rate_bpm) AS peak_heart_rate,
+               list(acceleration_m_s2 ORDER BY s, acceleration_m_s2) AS acceleration_history_array, 1 AS history_parts
+        FROM ({_SILVER_BY_SECOND}) GROUP BY game_id, player_id
+    """,
+    "game_rule_metrics": f"""
+        WITH t AS (
+            SELECT o_orderkey % 13 > 0 AS has_id, o_orderstatus <> 'P' AS has_teams, o_orderkey % 200 - 40 AS temperature,
+                   CASE WHEN o_orderkey % 5 > 0 THEN year(o_orderdate) ELSE year(o_orderdate) - 100 END AS season
+            FROM orders
+        )
+        {_count("game_id_valido", "drop", "has_id", "t")} UNION ALL
+        {_count("equipos_validos", "drop", "has_teams", "t")} UNION ALL
+        {_count("temporada_coherente", "count", "season BETWEEN 2000 AND 2026", "t")} UNION ALL
+        {_count("temperatura_logica", "count", "temperature BETWEEN -20 AND 120", "t")}
+    """,
+    "play_rule_metrics": f"""
+        {_count("llaves_jugada_validas", "drop", "l_linenumber <> 7", "lineitem")} UNION ALL
+        {_count("down_valido", "count", "l_linenumber BETWEEN 1 AND 4", "lineitem")} UNION ALL
+        {_count("quarter_valido", "count", "l_linenumber + 1 BETWEEN 1 AND 5", "lineitem")} UNION ALL
+        {_count("distancia_positiva", "count", "CAST(l_quantity AS INTEGER) - 10 >= 0", "lineitem")}
+    """,
+    "separation_one_game": f"""
+        SELECT * FROM ({_fact("l.play_id = r.play_id AND l.hour_s = r.hour_s")})
+        WHERE game_id = (SELECT min(strftime(ts, '%Y-%m-%d')) FROM events)
+    """,
+    "forest_scores": """
+        SELECT vec_id, CASE WHEN list_max(embedding) >= 0.3125 THEN 100.0 ELSE 0.0 END::DOUBLE AS ml_win_probability_pct,
+               CASE WHEN list_max(embedding) >= 0.3125 THEN 'Alta Confianza' ELSE 'Baja Confianza' END AS estrategia
+        FROM embeddings
     """,
     "game_dimension": """
         SELECT md5(CAST(o_orderkey AS VARCHAR)) AS game_sk, CAST(o_orderkey AS VARCHAR) AS game_id,
@@ -214,16 +279,21 @@ ORACLES: dict[str, str] = {
     """,
     "play_statistics": f"""
         SELECT game_id, play_id, avg(speed_mph) AS mean_vel, max(speed_mph) AS max_vel, min(speed_mph) AS min_vel,
-               max(acceleration_m_s2) AS max_acc, min(acceleration_m_s2) AS min_acc
+               avg(floor(acceleration_m_s2 * 4) / 4) AS mean_acc, max(floor(acceleration_m_s2 * 4) / 4) AS max_acc,
+               min(floor(acceleration_m_s2 * 4) / 4) AS min_acc
         FROM ({_SILVER}) GROUP BY game_id, play_id
     """,
     "single_row_balance": """
         WITH w AS (SELECT count(*) AS n, max(value) AS max_value FROM events)
         SELECT n, max_value, 0 AS label FROM w UNION ALL SELECT n, max_value, 1 FROM w
     """,
-    "several_rows_unchanged": "SELECT event_type, count(*) AS n, 1 AS label FROM events GROUP BY event_type",
     "layout_partitioned": _LINES,
     "layout_rewrite": _LINES,
     "layout_zorder": _LINES,
-    "table_stats": "SELECT count(*) AS n_rows, 'gold' AS quality FROM lineitem",
+    "table_stats": "SELECT count(*) AS n_rows, 'gold' AS quality, 'order lines' AS comment FROM lineitem",
+    "table_optimized": """
+        SELECT l_returnflag, count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS keys, true AS is_partitioned,
+               true AS is_gold, 'order lines' AS comment
+        FROM lineitem GROUP BY l_returnflag
+    """,
 }

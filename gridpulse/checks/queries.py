@@ -26,7 +26,8 @@ from gridpulse.operators import (
 from gridpulse.operators.star import Dimension
 from gridpulse.plans.bronze import bronze_from_files, bronze_from_records
 from gridpulse.plans.dimensions import GAME, PLAY, PLAYER
-from gridpulse.plans.gold import play_trajectory, player_features
+from gridpulse.plans.gold import play_histories, play_trajectory, player_features
+from gridpulse.plans.maintenance import optimize
 from gridpulse.plans.pipeline import run
 from gridpulse.plans.reports import matchup_report
 from gridpulse.plans.rules import TELEMETRY_RULES
@@ -93,15 +94,25 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def records(spark: SparkSession, sf_dir: str, top_speed: float | None = None) -> DataFrame:
+def by_second() -> dict[str, F.Column]:
+    """Measurements that depend on player and second alone; the speed rule drops every seventh row or so."""
+    player, second = F.col("player_id").cast("bigint"), F.floor(F.col("timestamp") / 1000)
+    return {
+        "speed_mph": F.pmod(player * 31 + second, F.lit(140)).cast("double") / 4,
+        "heart_rate_bpm": F.when(F.pmod(player * 7 + second, F.lit(11)) > 0, F.pmod(player * 5 + second, F.lit(100)) + 60).cast("int"),
+        "acceleration_m_s2": F.pmod(player * 13 + second, F.lit(50)).cast("double") / 4,
+    }
+
+
+def records(spark: SparkSession, sf_dir: str, same_by_second: bool = False) -> DataFrame:
     """The same events as Kafka records: keyed JSON with topic, partition, offset and time.
 
-    A streaming dedup may keep either of two samples of one second. ``top_speed`` bounds the speeds,
-    so that the rules treat both alike and the kept keys are certain.
+    A streaming dedup may keep either of two samples of one second. With ``same_by_second`` both have the
+    same measurements, so that all of the result is certain.
     """
     events = telemetry(spark, sf_dir)
-    if top_speed is not None:
-        events = events.withColumn("speed_mph", F.least("speed_mph", F.lit(top_speed)))
+    if same_by_second:
+        events = events.withColumns(by_second())
     arrived = events.select(
         *[c for c in events.columns if c != "event_id"],
         F.lit("tracking").alias("topic"),
@@ -316,10 +327,30 @@ def silver_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keys that the streaming silver keeps; which of two samples of a second stays is open."""
-    bronze = stream_of(spark, bronze_from_records(records(spark, sf_dir, top_speed=30.0)), "bronze")
-    silver = written_stream(spark, silver_stream(bronze, spread_by="offset"), "silver")
-    return silver.select("game_id", "play_id", "player_id", seconds().alias("epoch_s"))
+    """What the streaming silver keeps, its rules included; two samples of a second have equal measurements."""
+    bronze = stream_of(spark, bronze_from_records(records(spark, sf_dir, same_by_second=True)), "bronze")
+    silver = written_stream(spark, silver_stream(bronze), "silver")
+    return silver.select(
+        "game_id", "play_id", "player_id", "speed_mph", "heart_rate_bpm", "acceleration_m_s2", seconds().alias("epoch_s"),
+        F.isnotnull("silver_processed_at").alias("has_stamp"),
+    )
+
+
+@query
+def silver_from_junk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event thrice: as it is, with its time in nanoseconds, and as broken JSON; none stops the stream.
+
+    Rows without a usable time stay, copies included; a broken record has no heart rate and is dropped.
+    """
+    good = records(spark, sf_dir, same_by_second=True)
+    text = F.col("value").cast("string")
+    huge = good.withColumn("value", F.regexp_replace(text, r'"timestamp":(\d+)', '"timestamp":$1000000').cast("binary"))
+    broken = good.withColumn("value", F.substring(text, 2, 1000).cast("binary"))
+    bronze = stream_of(spark, bronze_from_records(good.unionByName(huge).unionByName(broken)), "bronze")
+    silver = written_stream(spark, silver_stream(bronze), "silver")
+    return silver.groupBy("game_id", "play_id").agg(
+        F.count_if(F.col("timestamp").isNotNull()).alias("timed"), F.count_if(F.col("timestamp").isNull()).alias("untimed")
+    )
 
 
 def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,19 +367,38 @@ def player_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def play_trajectory_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     plays = play_trajectory(silver_events(spark, sf_dir), stamp=False)
     return plays.select(
-        "game_id", "play_id", "max_speed_in_play", "players_tracked", "history_part",
+        "game_id", "play_id", "max_speed_in_play", "players_tracked", "history_parts",
         F.array_join("telemetry_history_array.player_id", ",").alias("players_in_order"),
         F.col("telemetry_history_array.acceleration_m_s2").alias("accelerations"),
+        F.col("telemetry_history_array.speed_mph").alias("speeds"),
+        F.transform("telemetry_history_array.timestamp", lambda t: F.unix_seconds(t)).alias("times_s"),
         F.size("telemetry_history_array").cast("bigint").alias("samples"),
     )
 
 
 @query
 def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records → bronze → streaming silver → gold, through the incremental run."""
-    stream = stream_of(spark, records(spark, sf_dir, top_speed=30.0), "records")
-    result = run(spark, bronze_from_records(stream), new_folder(spark, "medallion"), spread_by="offset")
-    return result.play_trajectory.read().select("game_id", "play_id", "players_tracked")
+    """Records → bronze → streaming silver → gold, through the incremental run: the plays."""
+    stream = stream_of(spark, records(spark, sf_dir, same_by_second=True), "records")
+    result = run(spark, bronze_from_records(stream), new_folder(spark, "medallion"))
+    return result.play_trajectory.read().select(
+        "game_id", "play_id", "players_tracked", "max_speed_in_play",
+        F.size("telemetry_history_array").cast("bigint").alias("samples"),
+        F.isnotnull("feature_timestamp").alias("has_stamp"),
+    )
+
+
+@query
+def medallion_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The players' features after a second run that finds nothing new and a full refresh."""
+    folder = new_folder(spark, "records")
+    arrived = records(spark, sf_dir, same_by_second=True)
+    arrived.write.parquet(folder)
+    out = new_folder(spark, "medallion")
+    for full_refresh in (False, False, True):
+        stream = spark.readStream.schema(arrived.schema).parquet(folder)
+        result = run(spark, bronze_from_records(stream), out, full_refresh=full_refresh)
+    return result.player_features.read().drop("feature_timestamp")
 
 
 # --- star schema, separation and report ----------------------------------------------------------
@@ -371,6 +421,39 @@ def game_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return GAME.gold(GAME.silver(text))
 
 
+@query
+def game_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule of a game breaks for some order, and holds for others."""
+    key, year = F.col("o_orderkey"), F.year("o_orderdate")
+    text = table(spark, sf_dir, "orders").select(
+        F.when(key % 13 > 0, key.cast("string")).otherwise("").alias("game_id"),
+        F.when(key % 5 > 0, year).otherwise(year - 100).cast("string").alias("season"),
+        F.lit("1").alias("week"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("home_team"),
+        F.col("o_orderpriority").alias("away_team"),
+        F.lit("s").alias("stadium"),
+        F.lit("t").alias("turf_type"),
+        F.lit("w").alias("weather_conditions"),
+        (key % 200 - 40).cast("string").alias("temperature_f"),
+    )
+    return GAME.expectations.metrics(GAME.unchecked(text))
+
+
+@query
+def play_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.col("l_linenumber")
+    text = table(spark, sf_dir, "lineitem").select(
+        F.when(line != 7, line.cast("string")).alias("play_id"),
+        F.col("l_orderkey").cast("string").alias("game_id"),
+        (line + 1).cast("string").alias("quarter"),
+        line.cast("string").alias("down"),
+        (F.col("l_quantity").cast("int") - 10).cast("string").alias("distance_to_first"),
+        F.col("l_returnflag").alias("expected_coverage"),
+        F.col("l_linestatus").alias("play_result"),
+    )
+    return PLAY.expectations.metrics(PLAY.unchecked(text))
+
+
 @query
 def play_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = table(spark, sf_dir, "lineitem").select(
@@ -448,6 +531,14 @@ def separation_facts_by_game(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_fact(spark, sf_dir, ("game_id", "play_id"))
 
 
+@query
+def separation_one_game(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of one game, the first."""
+    events = telemetry(spark, sf_dir).withColumn("timestamp", F.date_trunc("hour", event_time("timestamp")))
+    first = events.agg(F.min("game_id")).first()[0]
+    return separation_fact(events, game_id=first, offense="click", defense="view").withColumn("timestamp", seconds())
+
+
 @query
 def matchup_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations of customers against nations of suppliers, over orders of the third priority."""
@@ -476,9 +567,10 @@ def matchup_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def play_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Array features of the trajectories; the mean is left to speeds, whose sums are exact."""
-    features = play_features(play_trajectory(silver_events(spark, sf_dir), stamp=False))
-    return features.select("game_id", "play_id", "mean_vel", "max_vel", "min_vel", "max_acc", "min_acc")
+    """Array features of the trajectories. Accelerations are cut to quarters here, so that their mean is exact."""
+    silver = silver_events(spark, sf_dir).withColumn("acceleration_m_s2", F.floor(F.col("acceleration_m_s2") * 4) / 4)
+    features = play_features(play_histories(silver))
+    return features.select("game_id", "play_id", "mean_vel", "max_vel", "min_vel", "mean_acc", "max_acc", "min_acc")
 
 
 @query
@@ -488,24 +580,19 @@ def single_row_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balance_single_row(whole).select("n", "max_value", "label")
 
 
-@query
-def several_rows_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_type = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    return balance_single_row(by_type.withColumn("label", F.lit(1)))
-
-
 @query
 def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings").withColumn("label", (F.col("label") >= 5).cast("int"))
-    features = array_features(vectors, {"vec": "embedding"})
+    """A forest whose inputs tell the label apart exactly, so every tree is pure and every chance is 0 or 100."""
+    high = F.array_max("embedding") >= F.lit(0.3125)
+    signs = F.when(high, F.array(*map(F.lit, (1.0, 2.0, 3.0)))).otherwise(F.array(*map(F.lit, (-1.0, -2.0, -6.0))))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", signs.alias("signs"), high.cast("int").alias("label"))
+    features = array_features(vectors, {"vec": "signs"})
     model = train(features, inputs=["mean_vec", "max_vec", "min_vec"], label="label", seed=7)
     return predict(model, features, keys=["vec_id"])
 
 
 # --- layout and statistics -----------------------------------------------------------------------
 
-LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag")
-
 
 def rewritten(spark: SparkSession, df: DataFrame, **layout) -> DataFrame:
     folder = new_folder(spark, "layout")
@@ -515,18 +602,31 @@ def rewritten(spark: SparkSession, df: DataFrame, **layout) -> DataFrame:
 
 @query
 def layout_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rewritten(spark, table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), partition_by=["l_returnflag"])
+    return rewritten(spark, table(spark, sf_dir, "lineitem"), partition_by=["l_returnflag"])
 
 
 @query
 def layout_rewrite_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rewritten(spark, table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS), cluster_by=["l_partkey"])
+    return rewritten(spark, table(spark, sf_dir, "lineitem"), cluster_by=["l_partkey"])
 
 
 @query
 def layout_zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
-    return rewritten(spark, zorder_layout(lines, ["l_partkey", "l_suppkey"]))
+    return rewritten(spark, zorder_layout(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_shipdate", "l_returnflag"]))
+
+
+def described_table(spark: SparkSession, name: str) -> DataFrame:
+    """The catalog's description, which outlives the table; the name goes, so that no call leaves one behind."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    kept = spark.createDataFrame(described.collect(), described.schema)
+    spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
+def stored_rows(spark: SparkSession, df: DataFrame) -> str:
+    folder = new_folder(spark, "rows")
+    df.write.parquet(folder)
+    return folder
 
 
 @query
@@ -534,10 +634,10 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count of lineitem as the catalog knows it after the analysis."""
     folder = new_folder(spark, "catalog")
     name = "stats_" + folder.rsplit("-", 1)[1]
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
+    lines = table(spark, sf_dir, "lineitem")
     write_table(lines, name=name, path=folder, comment="order lines", properties={"quality": "gold"})
     analyze_table(spark, name)
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    described = described_table(spark, name)
 
     def found(row: str, pattern: str) -> F.Column:
         return F.max(F.when(F.col("col_name") == row, F.regexp_extract("data_type", pattern, 1)))
@@ -545,4 +645,24 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described.agg(
         found("Statistics", r"(\d+) rows").cast("bigint").alias("n_rows"),
         found("Table Properties", r"quality=(\w+)").alias("quality"),
+        found("Comment", r"(.+)").alias("comment"),
+    )
+
+
+@query
+def table_optimized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a partitioned table still is after it was optimized under its own name, and its rows by partition."""
+    folder = new_folder(spark, "catalog")
+    name = "optimized_" + folder.rsplit("-", 1)[1]
+    lines = table(spark, sf_dir, "lineitem")
+    write_table(lines, name=name, path=folder, comment="order lines", properties={"quality": "gold"}, partition_by=["l_returnflag"])
+    optimize(Layer(spark, name=name), ["l_partkey", "l_suppkey"], path=new_folder(spark, "optimized"))
+    rows = spark.table(name).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_orderkey").alias("keys"))
+    rows = Layer(spark, path=stored_rows(spark, rows), schema=rows.schema).read()
+    described = described_table(spark, name)
+    partitioned = described.where("col_name = '# Partition Information'").count() == 1
+    quality = described.where("col_name = 'Table Properties' AND data_type LIKE '%quality=gold%'").count() == 1
+    comment = described.where("col_name = 'Comment'").first().data_type
+    return rows.withColumns(
+        {"is_partitioned": F.lit(partitioned), "is_gold": F.lit(quality), "comment": F.lit(comment)}
     )

@@ -1,5 +1,5 @@
 from gridpulse.operators.dedup import dedup_batch, first_per_group
-from gridpulse.operators.histories import HISTORY_LIMIT, rollup_with_history
+from gridpulse.operators.histories import HISTORY_LIMIT, histories
 from gridpulse.operators.layout import cluster_layout, partition_layout, zorder_layout
 from gridpulse.operators.nearest import nearest_per_group
 from gridpulse.operators.quality import Expectations, Rule
@@ -12,9 +12,9 @@ __all__ = [
     "cluster_layout",
     "dedup_batch",
     "first_per_group",
+    "histories",
     "nearest_per_group",
     "partition_layout",
-    "rollup_with_history",
     "star_join",
     "zorder_layout",
 ]

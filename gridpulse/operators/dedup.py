@@ -1,4 +1,8 @@
-"""One row per key. Both forms combine copies before the shuffle, so a key with many copies is cheap."""
+"""One row per key. Both forms combine copies before the shuffle, so a key with many copies is cheap.
+
+The ordered form compares structs, which Spark aggregates after sorting each task's rows: it spills, and
+a key's rows needn't meet in one task before they are reduced.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +16,7 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     """The row ranked first by ``order_by`` (ascending, NULLs last) in every group.
 
     Ties are broken by the other columns, left to right. Same rows as ``row_number() = 1`` over a
-    window, but as an aggregate: no group is sorted or held in one task.
+    window, but as an aggregate: each task reduces its own rows of a group before any are moved.
     """
     rest = [c for c in df.columns if c not in keys]
     ranked = [c for name in order_by if name not in keys for c in (F.isnull(name).alias(f"_null_{name}"), F.col(name))]

@@ -1,65 +1,60 @@
-"""Group rollups that also nest the group's rows in a time-ordered array."""
+"""A group's rows nested in time-ordered arrays of bounded length, whatever the group's size."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpulse.operators.groups import LargeGroups, join_equal, ordered_blocks
+from gridpulse.operators.groups import join_equal
 
-# Rows one array may hold. A larger group continues in further rows, numbered by ``history_part``.
+# Rows one array may hold. A longer history goes on in further rows, numbered by ``history_part``.
 HISTORY_LIMIT = 200_000
+# Seconds of event time numbered in one task; a group is spread over as many tasks as it has such spans.
+SPAN_SECONDS = 600
 
 
-def rollup_with_history(
+def histories(
     df: DataFrame,
     keys: Sequence[str],
-    measures: dict[str, Column],
-    history: Callable[[], Column],
-    history_name: str,
+    entry: Column,
+    name: str,
     order: Sequence[str],
-    compact: dict[str, Column] | None = None,
+    time: str = "timestamp",
     limit: int = HISTORY_LIMIT,
 ) -> DataFrame:
-    """One row per group with its ``measures`` and the array ``history()``, plus ``history_part``.
+    """Rows (``keys``, history_part, ``name``): the group's ``entry`` values in ``order``, ``limit`` to a part.
 
-    Groups of at most ``limit`` rows are one row with part 0, built by a single aggregation. Larger
-    groups have the same measures on every row while the array goes on, part by part in ``order``;
-    they are range-partitioned first, so that no task sees a whole group.
-
-    ``compact`` replaces measures for the small groups only, where a cheaper form exists.
+    ``order`` starts with ``time``. The part is floor(position / limit) for the exact position in the group,
+    so it depends on the data alone. Rows are numbered inside spans of time, and the spans' counts say where
+    each starts; no group meets in one task. Rows equal in ``order`` may swap places among themselves.
     """
     keys = list(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
-    large = LargeGroups.find(counts, keys)
-
-    def named(columns: dict[str, Column]) -> list[Column]:
-        return [c.alias(n) for n, c in columns.items()]
-
-    columns = [*keys, *measures, history_name, "history_part"]
-    small_rows = df if large is None else large.outside(df)
-    small_measures = {n: (compact or {}).get(n, c) for n, c in measures.items()}
-    small = (
-        small_rows.groupBy(*keys)
-        .agg(*named(small_measures), history().alias(history_name))
-        .withColumn("history_part", F.lit(0))
-        .select(*columns)
+    span = F.floor(F.unix_seconds(time) / SPAN_SECONDS)
+    rows = df.select(*keys, span.alias("_span"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], entry.alias("_entry"))
+    place = [F.col(f"_o{i}").asc_nulls_first() for i in range(len(order))]
+    earlier = Window.partitionBy(*keys).orderBy(F.col("_span").asc_nulls_first())
+    before = F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    starts = rows.groupBy(*keys, "_span").agg(F.count(F.lit(1)).alias("_n")).withColumn("_start", F.coalesce(before, F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_span").orderBy(*place)) - 1
+    placed = join_equal(rows.withColumn("_at", inside), starts.drop("_n"), [*keys, "_span"])
+    position = F.col("_start") + F.col("_at")
+    parts = placed.select(
+        *keys, F.floor(position / limit).cast("int").alias("history_part"), F.struct(position.alias("at"), F.col("_entry").alias("e")).alias("_e")
     )
-    if large is None:
-        return small
+    arrays = parts.groupBy(*keys, "history_part").agg(F.array_sort(F.collect_list("_e")).alias("_all"))
+    return arrays.select(*keys, "history_part", F.col("_all.e").alias(name))
 
-    large_rows = large.within(df)
-    totals = large_rows.groupBy(*keys).agg(*named(measures))
-    blocks = ordered_blocks(large_rows, [*keys, *order], limit).frame
-    numbered = (
-        blocks.select(*keys, "_block")
-        .distinct()
-        .withColumn("history_part", F.row_number().over(Window.partitionBy(*keys).orderBy("_block")) - 1)
-    )
-    # A block may also hold the end of one group and the start of the next: the keys stay in the grouping.
-    arrays = blocks.groupBy(*keys, "_block").agg(history().alias(history_name))
 
-    parts = join_equal(arrays, numbered, [*keys, "_block"]).drop("_block")
-    return small.unionByName(join_equal(parts, totals, keys).select(*columns))
+def with_first_part(measures: DataFrame, parts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``measures`` (a row for each group) with part 0 of its history and the number of its parts.
+
+    Groups without history have an empty array and 0 parts.
+    """
+    counts = parts.groupBy(*keys).agg((F.max("history_part") + 1).cast("int").alias("history_parts"))
+    first = parts.where("history_part = 0").drop("history_part")
+    joined = join_equal(join_equal(measures, first, keys, "left"), counts, keys, "left")
+    empty = F.array().cast(parts.schema[name].dataType)
+    others = [c for c in measures.columns]
+    return joined.select(*others, F.coalesce(name, empty).alias(name), F.coalesce("history_parts", F.lit(0)).alias("history_parts"))

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import isfinite
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from gridpulse.functions.bits import interleave
 
+# Rows whose values give the bucket bounds of a Z-order.
+SAMPLE = 10_000
+
 
 def partition_layout(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Gathers rows for a write partitioned by ``cols``: few files for small values, and several
@@ -20,52 +21,49 @@ def partition_layout(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def cluster_layout(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
-    """Range-partitions and sorts by ``cols``; ``n`` files, or as many as shuffle partitions."""
+    """Range-partitions and sorts by ``cols``; ``n`` files, or as many as shuffle partitions.
+
+    Rows with arrays are gathered by ``cols`` instead and sorted in place: the bounds of ranges would
+    be sampled from the finished rows, which builds every array twice.
+    """
+    if not n and any(isinstance(f.dataType, (ArrayType, MapType)) for f in df.schema.fields):
+        return partition_layout(df, cols).sortWithinPartitions(*cols)
     return _by_range(df, list(cols), n)
 
 
 def zorder_layout(df: DataFrame, cols: Sequence[str], n: int | None = None, bits: int = 8) -> DataFrame:
     """Range-partitions and sorts along the Z-order curve of ``cols``.
 
-    Every column is replaced by the number of its quantile bucket (2^bits of them, bounds from one
-    ``percentile_approx`` pass over the table), and the bits of the bucket numbers are interleaved.
+    Every column is replaced by the number of its quantile bucket (2^bits of them at most), and the bits
+    of the bucket numbers are interleaved. Bounds are whole values, texts included, of ``SAMPLE`` random
+    rows read in one pass; they only place rows, so that another sample gives the same table.
     """
     if len(cols) == 1:
         return cluster_layout(df, cols, n)
-    steps = 1 << bits
-    shares = [i / steps for i in range(1, steps)]
-    measured = {f"_m{i}": F.coalesce(_measure(df, c), F.lit(float("-inf"))) for i, c in enumerate(cols)}
-    bounds = df.agg(*[F.percentile_approx(m, shares, 10 * steps).alias(name) for name, m in measured.items()]).first()
-    coded = df.withColumns(measured)
+    sample = df.select(*cols).orderBy(F.rand(1)).limit(SAMPLE).collect()
     codes = []
-    for name in measured:
-        inner = sorted({b for b in bounds[name] or [] if isfinite(b)})
-        if not inner:
-            continue
-        buckets = Bucketizer(
-            splits=[float("-inf"), *inner, float("inf")], inputCol=name, outputCol=f"{name}b", handleInvalid="keep"
-        )
-        coded = buckets.transform(coded)
-        codes.append(F.least(F.col(f"{name}b").cast("bigint"), F.lit(steps - 1)))
+    for i, name in enumerate(cols):
+        values = sorted(r[i] for r in sample if r[i] is not None and r[i] == r[i])
+        steps = 1 << bits
+        bounds = sorted({values[k * len(values) // steps] for k in range(1, steps)} - {values[0]}) if values else []
+        if bounds:
+            codes.append(_bucket(F.col(name), bounds))
     if not codes:
         return cluster_layout(df, cols, n)
-    placed = coded.withColumn("_z", interleave(codes, bits)).select(*df.columns, "_z")
+    placed = df.select("*", interleave(codes, bits).alias("_z"))
     return _by_range(placed, ["_z"], n).drop("_z")
 
 
-def _measure(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType.simpleString()
-    if kind in ("string", "binary"):
-        # The first six bytes as a number keep the order of text up to that length.
-        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if kind.startswith("timestamp_ntz"):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    if kind.startswith("timestamp"):
-        return F.unix_micros(name).cast("double")
-    if kind == "date":
-        return F.unix_date(name).cast("double")
-    return F.col(name).cast("double")
+def _bucket(value: Column, bounds: Sequence[object]) -> Column:
+    """How many of the ascending ``bounds`` are at most ``value``; 0 for NULL. Halves them, as a search does."""
+
+    def below(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo).cast("bigint")
+        mid = (lo + hi) // 2
+        return F.when(value < F.lit(bounds[mid]), below(lo, mid)).otherwise(below(mid + 1, hi))
+
+    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(below(0, len(bounds)))
 
 
 def _by_range(df: DataFrame, order: list[str], n: int | None) -> DataFrame:

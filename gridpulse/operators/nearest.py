@@ -90,9 +90,15 @@ def _large_groups(lefts: DataFrame, rights: DataFrame, on: list[str], limit: int
     )
 
 
+def _arrays(lefts: DataFrame, rights: DataFrame, on: list[str]) -> DataFrame:
+    """The right rows of every group that has left rows: of others, which may be of any size, none is gathered."""
+    met = rights.join(lefts.select(*on).distinct(), on, "left_semi")
+    return met.groupBy(*on).agg(F.collect_list(F.struct("_id", "_rx", "_ry")).alias("_others"))
+
+
 def _match_arrays(lefts: DataFrame, rights: DataFrame, on: list[str]) -> DataFrame:
     """Small groups: the right side becomes one bounded array per group, scanned in place."""
-    arrays = rights.groupBy(*on).agg(F.collect_list(F.struct("_id", "_rx", "_ry")).alias("_others"))
+    arrays = _arrays(lefts, rights, on)
     scored = F.transform(
         "_others", lambda r: _candidate(planar_distance(F.col("_x") - r["_rx"], F.col("_y") - r["_ry"]), r["_id"])
     )
@@ -106,7 +112,8 @@ def _match_arrays(lefts: DataFrame, rights: DataFrame, on: list[str]) -> DataFra
 # those whose smallest possible distance does not exceed the smallest of the largest possible
 # distances. The survivors' children are compared next, down to single left positions and right
 # leaf blocks. Bounds are taken from the positions themselves with the distance formula of the
-# result, so that rounding never removes a match, ties included.
+# result, so that rounding never removes a match, ties included. Positions at one distance from all
+# left ones, a ring around them, cannot be told apart by bounds: there the candidates approach all pairs.
 # ---------------------------------------------------------------------------------------------
 
 

@@ -17,7 +17,11 @@ def bronze_from_records(records: DataFrame, schema: StructType = TELEMETRY) -> D
 
 
 def bronze_from_files(
-    spark: SparkSession, path: str, schema: StructType | None = None, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    max_files_per_trigger: int | None = None,
+    schema_store: str | None = None,
 ) -> DataFrame:
-    """Stream of JSON-line files."""
-    return with_audit(read_json_stream(spark, path, schema, max_files_per_trigger), "ingested_at")
+    """Stream of JSON-line files; ``schema_store`` keeps an inferred schema from one start to the next."""
+    return with_audit(read_json_stream(spark, path, schema, max_files_per_trigger, schema_store), "ingested_at")

@@ -1,4 +1,4 @@
-"""Rollups of silver: features per player and game, trajectories per play."""
+"""Rollups of silver: features per player and game, trajectories per play, and their whole histories."""
 
 from __future__ import annotations
 
@@ -7,66 +7,66 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.functions.arrays import ordered_values
 from gridpulse.functions.times import with_audit
-from gridpulse.operators.histories import HISTORY_LIMIT, rollup_with_history
+from gridpulse.operators.histories import HISTORY_LIMIT, histories, with_first_part
+
+PLAYER_KEYS = ("game_id", "player_id")
+PLAY_KEYS = ("game_id", "play_id")
+
+
+def player_histories(silver: DataFrame, keys: Sequence[str] = PLAYER_KEYS, limit: int = HISTORY_LIMIT) -> DataFrame:
+    """Accelerations of every player in every game in time order, without NULLs, by ``history_part``."""
+    known = silver.where(F.col("acceleration_m_s2").isNotNull())
+    return histories(
+        known, keys, F.col("acceleration_m_s2"), "acceleration_history_array", ["timestamp", "acceleration_m_s2"], limit=limit
+    )
+
+
+def play_histories(silver: DataFrame, keys: Sequence[str] = PLAY_KEYS, limit: int = HISTORY_LIMIT) -> DataFrame:
+    """Every play's samples in time order, by ``history_part``."""
+    sample = F.struct("player_id", "timestamp", "speed_mph", "acceleration_m_s2")
+    order = ["timestamp", "player_id", "speed_mph", "acceleration_m_s2"]
+    return histories(silver, keys, sample, "telemetry_history_array", order, limit=limit)
 
 
 def player_features(
     silver: DataFrame,
-    keys: Sequence[str] = ("game_id", "player_id"),
+    keys: Sequence[str] = PLAYER_KEYS,
     limit: int = HISTORY_LIMIT,
     stamp: bool = True,
+    parts: DataFrame | None = None,
 ) -> DataFrame:
-    """Speed, heart rate and the acceleration history of every player in every game.
+    """Speed, heart rate and the acceleration history of every player in every game, one row each.
 
-    The history is in time order and leaves out NULLs. A player with more than ``limit`` events in a
-    game has several rows, numbered by ``history_part``; all others have part 0 only.
+    The array holds the first ``limit`` accelerations; ``history_parts`` says how many such parts
+    ``player_histories`` has, one but for very long ones. ``parts`` are these histories where they are
+    written already.
     """
-    result = rollup_with_history(
-        silver,
-        keys,
-        measures={
-            "avg_speed_mph": F.round(F.avg("speed_mph"), 2),
-            "max_speed_today": F.max("speed_mph"),
-            "avg_heart_rate": F.round(F.avg("heart_rate_bpm"), 0),
-            "peak_heart_rate": F.max("heart_rate_bpm"),
-        },
-        history=lambda: ordered_values(F.col("acceleration_m_s2"), F.col("timestamp")),
-        history_name="acceleration_history_array",
-        order=["timestamp", "acceleration_m_s2"],
-        limit=limit,
+    measures = silver.groupBy(*keys).agg(
+        F.round(F.avg("speed_mph"), 2).alias("avg_speed_mph"),
+        F.max("speed_mph").alias("max_speed_today"),
+        F.round(F.avg("heart_rate_bpm"), 0).alias("avg_heart_rate"),
+        F.max("heart_rate_bpm").alias("peak_heart_rate"),
     )
+    parts = player_histories(silver, keys, limit) if parts is None else parts
+    result = with_first_part(measures, parts, keys, "acceleration_history_array")
     return with_audit(result, "feature_timestamp") if stamp else result
 
 
 def play_trajectory(
     silver: DataFrame,
-    keys: Sequence[str] = ("game_id", "play_id"),
+    keys: Sequence[str] = PLAY_KEYS,
     limit: int = HISTORY_LIMIT,
     stamp: bool = True,
+    parts: DataFrame | None = None,
 ) -> DataFrame:
-    """Every play's samples in time order, its top speed and the number of its players."""
-    fields = ("player_id", "timestamp", "speed_mph", "acceleration_m_s2")
-    by_time = ("timestamp", "player_id", "speed_mph", "acceleration_m_s2")
+    """Every play's samples in time order, its top speed and the number of its players, one row each.
 
-    def history():
-        samples = F.array_sort(F.collect_list(F.struct(*by_time)))
-        return F.transform(samples, lambda s: F.struct(*[s[f].alias(f) for f in fields]))
-
-    result = rollup_with_history(
-        silver,
-        keys,
-        measures={
-            "max_speed_in_play": F.round(F.max("speed_mph"), 2),
-            "players_tracked": F.count_distinct("player_id"),
-        },
-        history=history,
-        history_name="telemetry_history_array",
-        order=by_time,
-        # Next to an array of the whole play a set of its players is small, and saves the extra
-        # exchange that a distinct count would send those arrays through.
-        compact={"players_tracked": F.size(F.collect_set("player_id")).cast("bigint")},
-        limit=limit,
+    As with ``player_features``, what goes beyond ``limit`` samples is in ``play_histories``.
+    """
+    measures = silver.groupBy(*keys).agg(
+        F.round(F.max("speed_mph"), 2).alias("max_speed_in_play"), F.count_distinct("player_id").alias("players_tracked")
     )
+    parts = play_histories(silver, keys, limit) if parts is None else parts
+    result = with_first_part(measures, parts, keys, "telemetry_history_array")
     return with_audit(result, "feature_timestamp") if stamp else result

@@ -9,10 +9,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridpulse.plans.gold import play_trajectory, player_features
+from gridpulse.plans.gold import play_histories, play_trajectory, player_features, player_histories
 from gridpulse.plans.rules import TELEMETRY_RULES
 from gridpulse.plans.silver import KAFKA_COLUMNS, silver_batch, silver_stream, unchecked_silver_batch
-from gridpulse.sources.tables import Layer, write_table
+from gridpulse.sources.tables import Layer, register_table, write_table
 from gridpulse.streaming.runs import StreamRun, write_stream
 
 
@@ -24,6 +24,8 @@ class PipelineRun:
     silver: Layer
     player_features: Layer
     play_trajectory: Layer
+    player_histories: Layer
+    play_histories: Layer
     bronze_run: StreamRun
     silver_run: StreamRun | None
 
@@ -40,11 +42,13 @@ def run(
     cluster_by: Sequence[str] = ("game_id",),
     spread_by: str | None = None,
     max_files_per_trigger: int | None = None,
+    database: str | None = None,
 ) -> PipelineRun:
     """Processes what has arrived since the last run into ``out_dir``, then stops.
 
-    ``silver="stream"`` appends to silver with a watermark, ``"batch"`` recomputes it, partitioned
-    by ``partition_by``. Gold is recomputed either way, laid out by ``cluster_by``.
+    ``silver="stream"`` appends to silver with a watermark, ``"batch"`` recomputes it; either is
+    partitioned by ``partition_by``. Gold is recomputed either way, laid out by ``cluster_by``.
+    With ``database`` every table also gets a name there, a comment and its ``quality``.
     ``full_refresh`` starts over with new tables and checkpoints; the old ones stay where they are.
     """
     if silver not in ("stream", "batch"):
@@ -57,24 +61,52 @@ def run(
     silver_path = f"{base}/silver"
     if silver == "stream":
         cleaned = silver_stream(bronze_layer.read_stream(max_files_per_trigger), drop, precision, spread_by=spread_by)
-        silver_run = write_stream(cleaned, silver_path, f"{base}/checkpoints/silver")
+        silver_run = write_stream(cleaned, silver_path, f"{base}/checkpoints/silver", partition_by=partition_by)
     else:
-        cleaned = silver_batch(bronze_layer.read(), drop, precision)
+        bronze = bronze_layer.read()
+        cleaned = silver_batch(bronze, drop, precision, order_by=arrival_order(bronze))
         write_table(cleaned, path=silver_path, partition_by=partition_by)
         silver_run = None
     silver_layer = Layer(spark, path=silver_path, schema=cleaned.schema)
 
     gold = {}
-    for name, rollup in (("player_features", player_features), ("play_trajectory", play_trajectory)):
-        table = rollup(silver_layer.read())
+
+    def publish(name: str, table: DataFrame) -> DataFrame:
         write_table(table, path=f"{base}/{name}", cluster_by=cluster_by)
         gold[name] = Layer(spark, path=f"{base}/{name}", schema=table.schema)
-    return PipelineRun(bronze_layer, silver_layer, gold["player_features"], gold["play_trajectory"], bronze_run, silver_run)
+        return gold[name].read()
+
+    # Histories are written first, so that no array is built twice.
+    players = publish("player_histories", player_histories(silver_layer.read()))
+    publish("player_features", player_features(silver_layer.read(), parts=players))
+    plays = publish("play_histories", play_histories(silver_layer.read()))
+    publish("play_trajectory", play_trajectory(silver_layer.read(), parts=plays))
+    if database:
+        for name, layer in {"bronze": bronze_layer, "silver": silver_layer, **gold}.items():
+            quality = name if name in ("bronze", "silver") else "gold"
+            comment = f"{COMMENTS[name]}, generation {base.rsplit('-', 1)[1]}"
+            register_table(spark, f"{database}.{name}", layer.path, comment, {"quality": quality})
+    return PipelineRun(bronze_layer, silver_layer, bronze_run=bronze_run, silver_run=silver_run, **gold)
+
+
+COMMENTS = {
+    "bronze": "Events as they came in",
+    "silver": "Typed, deduplicated, checked events",
+    "player_features": "Features of every player and game",
+    "play_trajectory": "Samples of every play in time order",
+    "player_histories": "Accelerations of every player and game, in parts",
+    "play_histories": "Samples of every play, in parts",
+}
+
+
+def arrival_order(bronze: DataFrame) -> list[str] | None:
+    """The columns that say which copy came in first, as far as the bronze table has them."""
+    return [c for c in ("kafka_timestamp", "partition", "offset") if c in bronze.columns] or None
 
 
 def batch_silver_metrics(bronze: DataFrame) -> DataFrame:
     """Rule counts of a batch silver; a streaming silver reports them in its run."""
-    return TELEMETRY_RULES.metrics(unchecked_silver_batch(bronze))
+    return TELEMETRY_RULES.metrics(unchecked_silver_batch(bronze, order_by=arrival_order(bronze)))
 
 
 def _generation(spark: SparkSession, out_dir: str, full_refresh: bool) -> int:

@@ -47,7 +47,7 @@ def play_features(
     keys: Sequence[str] = ("game_id", "play_id"),
     fields: dict[str, str] = TRAJECTORY_FIELDS,
 ) -> DataFrame:
-    """``array_features`` of whole plays, whose history may go on over several ``history_part`` rows.
+    """``array_features`` of whole plays from ``play_histories``, whose parts may be several for a play.
 
     Every part is reduced where it lies to a sum, a size, a maximum and a minimum; those are combined.
     """

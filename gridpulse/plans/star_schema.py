@@ -9,11 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from gridpulse.plans.dimensions import DIMENSIONS
 from gridpulse.plans.reports import matchup_report
 from gridpulse.plans.separation import configured_game, separation_fact
-from gridpulse.sources.tables import Layer, write_table
+from gridpulse.sources.tables import Layer, register_table, write_table
 
 
-def build_dimensions(spark: SparkSession, csv_folder: str, out_dir: str) -> dict[str, Layer]:
-    """Writes bronze, silver and gold of every dimension below ``out_dir``; returns the gold tables."""
+def build_dimensions(
+    spark: SparkSession, csv_folder: str, out_dir: str, database: str | None = None
+) -> dict[str, Layer]:
+    """Writes bronze, silver and gold of every dimension below ``out_dir``; returns the gold tables.
+
+    Next to them lies ``rules_dim_<name>``, how many rows each rule passed and failed. With ``database``
+    the tables also get names there, comments and their ``quality``.
+    """
     gold = {}
     for name, plan in DIMENSIONS.items():
         layers = {}
@@ -22,10 +28,14 @@ def build_dimensions(spark: SparkSession, csv_folder: str, out_dir: str) -> dict
             path = f"{out_dir.rstrip('/')}/{level}_dim_{name}"
             write_table(df, path=path)
             layers[level] = Layer(spark, path=path, schema=df.schema)
+            if database:
+                table = f"{database}.{level}_dim_{name}"
+                register_table(spark, table, path, f"Dimension {name}, {level}", {"quality": level})
             return layers[level].read()
 
         bronze = stored("bronze", plan.bronze(spark, csv_folder))
         silver = stored("silver", plan.silver(bronze))
+        stored("rules", plan.expectations.metrics(plan.unchecked(bronze)))
         stored("gold", plan.gold(silver))
         gold[name] = layers["gold"]
     return gold

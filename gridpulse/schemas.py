@@ -12,40 +12,72 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+TEXT, NUMBER, WHOLE = StringType(), DoubleType(), IntegerType()
 
-def layout(**groups: tuple[DataType, str]) -> StructType:
-    """Nullable columns, named in order, each group with its type."""
-    return StructType([StructField(name, kind) for kind, names in groups.values() for name in names.split()])
 
+def layout(*columns: tuple[str, DataType]) -> StructType:
+    """Nullable columns in order."""
+    return StructType([StructField(name, kind) for name, kind in columns])
 
+
+# Telemetry events.
 TELEMETRY = layout(
-    what=(StringType(), "game_id play_id play_status player_id player_name position team"),
-    measured=(DoubleType(), "x_coord y_coord speed_mph acceleration_m_s2"),
-    pulse=(IntegerType(), "heart_rate_bpm"),
-    stamina=(DoubleType(), "stamina_pct"),
-    epoch_ms=(LongType(), "timestamp"),
+    ("game_id", TEXT),
+    ("play_id", TEXT),
+    ("play_status", TEXT),
+    ("player_id", TEXT),
+    ("player_name", TEXT),
+    ("position", TEXT),
+    ("team", TEXT),
+    ("x_coord", NUMBER),
+    ("y_coord", NUMBER),
+    ("speed_mph", NUMBER),
+    ("acceleration_m_s2", NUMBER),
+    ("heart_rate_bpm", WHOLE),
+    ("stamina_pct", NUMBER),
+    ("timestamp", LongType()),
 )
 
+# Records as the Kafka source gives them.
 KAFKA_RECORD = layout(
-    payload=(BinaryType(), "key value"),
-    topic=(StringType(), "topic"),
-    partition=(IntegerType(), "partition"),
-    offset=(LongType(), "offset"),
-    time=(TimestampType(), "timestamp"),
+    ("key", BinaryType()),
+    ("value", BinaryType()),
+    ("topic", TEXT),
+    ("partition", WHOLE),
+    ("offset", LongType()),
+    ("timestamp", TimestampType()),
 )
 
-# CSV columns are all text; the dimension plans give them types.
+# CSV columns are all text; the dimension plans give them types.
 DIM_GAME_CSV = layout(
-    text=(
-        StringType(),
-        "game_id season week home_team away_team stadium turf_type weather_conditions temperature_f",
-    )
+    ("game_id", TEXT),
+    ("season", TEXT),
+    ("week", TEXT),
+    ("home_team", TEXT),
+    ("away_team", TEXT),
+    ("stadium", TEXT),
+    ("turf_type", TEXT),
+    ("weather_conditions", TEXT),
+    ("temperature_f", TEXT),
 )
 
 DIM_PLAY_CSV = layout(
-    text=(StringType(), "play_id game_id quarter down distance_to_first expected_coverage play_result")
+    ("play_id", TEXT),
+    ("game_id", TEXT),
+    ("quarter", TEXT),
+    ("down", TEXT),
+    ("distance_to_first", TEXT),
+    ("expected_coverage", TEXT),
+    ("play_result", TEXT),
 )
 
 DIM_PLAYER_CSV = layout(
-    text=(StringType(), "player_sk full_name team position height_in weight_lbs college draft_year")
+    ("player_sk", TEXT),
+    ("full_name", TEXT),
+    ("team", TEXT),
+    ("position", TEXT),
+    ("height_in", TEXT),
+    ("weight_lbs", TEXT),
+    ("college", TEXT),
+    ("draft_year", TEXT),
 )

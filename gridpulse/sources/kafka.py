@@ -30,10 +30,11 @@ def kafka_options(
     }
     if username is not None:
         login = "org.apache.kafka.common.security.plain.PlainLoginModule"
+        user, secret = (str(x).replace("\\", "\\\\").replace('"', '\\"') for x in (username, password))
         options |= {
             "kafka.security.protocol": "SASL_SSL",
             "kafka.sasl.mechanism": "PLAIN",
-            "kafka.sasl.jaas.config": f"{login} required username='{username}' password='{password}';",
+            "kafka.sasl.jaas.config": f'{login} required username="{user}" password="{secret}";',
         }
     return options | {name.replace("__", "."): value for name, value in extra.items()}
 

@@ -47,10 +47,12 @@ def write_table(
     properties: dict[str, str] | None = None,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    written_by: Sequence[str] = (),
 ) -> None:
     """Replaces a table with ``df``. Comment and properties need a catalog ``name``.
 
-    With both name and path the table lies at that path.
+    With both name and path the table lies at that path. ``written_by`` are partition columns of rows that
+    already lie as they should.
     """
     if name is None and path is None:
         raise ValueError("give name, path or both")
@@ -61,8 +63,8 @@ def write_table(
     elif partition_by:
         df = partition_layout(df, partition_by)
     writer = df.write.format("parquet").mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if partition_by or written_by:
+        writer = writer.partitionBy(*(partition_by or written_by))
     if name is None:
         writer.save(path)
         return
@@ -77,6 +79,15 @@ def write_table(
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
+def register_table(spark: SparkSession, name: str, path: str, comment: str, properties: dict[str, str]) -> None:
+    """Points catalog table ``name`` at the parquet folder ``path``, replacing what the name meant before."""
+    pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_quoted(path)} COMMENT {_quoted(comment)} TBLPROPERTIES ({pairs})")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+
+
 def analyze_table(spark: SparkSession, name: str, columns: Sequence[str] = ()) -> None:
     """Row count and size for the optimizer; with ``columns`` also their ranges and distinct counts."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")

@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame
 
 @dataclass(frozen=True)
 class StreamRun:
-    """What one run did: rows read, rows dropped as late, and the rule counts observed."""
+    """What one run did: rows read, rows dropped as late, and the counts observed.
+
+    A plan that branches reads its source once for each branch, and ``input_rows`` counts each reading.
+    """
 
     batches: int
     input_rows: int
@@ -40,7 +43,13 @@ def write_stream(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.toTable(name) if name else writer.start(path)
+    kept, spark = "spark.sql.streaming.numRecentProgressUpdates", df.sparkSession
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "100000")
+    try:
+        query = writer.toTable(name) if name else writer.start(path)
+    finally:
+        spark.conf.set(kept, before)
 
     seen: dict[int, object] = {}
     done = False
@@ -50,6 +59,10 @@ def write_stream(
         for progress in query.recentProgress:
             seen[progress.batchId] = progress
 
+    # The counts below are totals: a report that Spark no longer holds must not go unnoticed.
+    ids = sorted(seen)
+    if ids and ids != list(range(ids[0], ids[-1] + 1)):
+        raise RuntimeError(f"progress of {ids[-1] - ids[0] + 1 - len(ids)} micro-batches was lost")
     late = sum(op.numRowsDroppedByWatermark for p in seen.values() for op in p.stateOperators)
     observed: dict[str, Counter] = {}
     for progress in seen.values():

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fixtures import event, events, one_second
 from gridpulse.operators.groups import ordered_blocks
-from gridpulse.plans.gold import play_trajectory, player_features
+from gridpulse.plans.gold import play_histories, play_trajectory, player_features, player_histories
 from gridpulse.plans.scoring import array_features, play_features
 from gridpulse.plans.silver import clean_metrics
 
@@ -25,7 +25,7 @@ def test_player_features(spark):
     row = found["g1", "a"]
     assert (row.avg_speed_mph, row.max_speed_today, row.avg_heart_rate, row.peak_heart_rate) == (11.08, 12.0, 157.0, 170)
     assert row.acceleration_history_array == [1.0, 2.0]
-    assert row.history_part == 0 and row.feature_timestamp is not None
+    assert row.history_parts == 1 and row.feature_timestamp is not None
 
 
 def test_play_trajectory(spark):
@@ -47,52 +47,68 @@ def uneven(spark):
     return clean_metrics(events(spark, rows)).repartition(6).cache()
 
 
-def whole(rows, keys, array):
-    """Parts put together again, with the columns that every part repeats."""
-    groups = {}
-    for r in rows:
-        groups.setdefault(tuple(r[k] for k in keys), []).append(r)
-    result = {}
-    for key, parts in groups.items():
-        parts.sort(key=lambda r: r.history_part)
-        assert [r.history_part for r in parts] == list(range(len(parts)))
-        rest = {tuple((c, r[c]) for c in r.__fields__ if c not in (array, "history_part")) for r in parts}
-        assert len(rest) == 1
-        result[key] = (rest.pop(), [v for r in parts for v in r[array]])
-    return result
-
-
-@pytest.mark.parametrize(
-    ("rollup", "keys", "array"),
-    [
-        (player_features, ("game_id", "player_id"), "acceleration_history_array"),
-        (play_trajectory, ("game_id", "play_id"), "telemetry_history_array"),
-    ],
-)
-def test_large_groups_are_split_and_nothing_is_lost(spark, uneven, rollup, keys, array):
-    single = rollup(uneven, stamp=False).collect()
-    assert {r.history_part for r in single} == {0}
-    split = rollup(uneven, limit=64, stamp=False).collect()
-    assert max(len(r[array]) for r in split) <= 64
-    assert len(split) > len(single)
-    assert whole(split, keys, array) == whole(single, keys, array)
+CASES = [
+    (player_features, player_histories, ("game_id", "player_id"), "acceleration_history_array"),
+    (play_trajectory, play_histories, ("game_id", "play_id"), "telemetry_history_array"),
+]
+
 
+def by_part(rows, keys, array):
+    return {(*(r[k] for k in keys), r.history_part): list(map(str, r[array])) for r in rows}
 
-def test_features_of_split_plays_equal_those_of_whole_plays(spark, uneven):
+
+@pytest.mark.parametrize(("rollup", "parts_of", "keys", "array"), CASES)
+def test_one_row_a_group_and_histories_in_parts(uneven, rollup, parts_of, keys, array):
+    single = {tuple(r[k] for k in keys): r for r in rollup(uneven, stamp=False).collect()}
+    assert {r.history_parts for r in single.values()} <= {0, 1}
+    split = rollup(uneven, limit=64, stamp=False).collect()
+    assert len(split) == len(single)
+    parts = by_part(parts_of(uneven, limit=64).collect(), keys, array)
+    assert max(map(len, parts.values())) == 64
+    for r in split:
+        key = tuple(r[k] for k in keys)
+        whole, n = single[key], r.history_parts
+        assert all(r[c] == whole[c] for c in r.__fields__ if c not in (array, "history_parts"))
+        own = [parts.pop((*key, i)) for i in range(n)]
+        assert all(len(p) == 64 for p in own[:-1])
+        assert [x for p in own for x in p] == list(map(str, whole[array]))
+        assert list(map(str, r[array])) == (own[0] if own else [])
+    assert not parts
+
+
+@pytest.mark.parametrize(("rollup", "parts_of", "keys", "array"), CASES)
+@pytest.mark.parametrize("limit", [559, 560, 561])
+def test_parts_depend_on_the_data_alone(spark, uneven, rollup, parts_of, keys, array, limit):
+    """Around the size of the hot group, with 2, 8 and 16 shuffle partitions."""
+    found = []
+    try:
+        for n in (2, 8, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            found.append(by_part(parts_of(uneven, limit=limit).collect(), keys, array))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1] == found[2]
+
+
+def test_features_of_split_plays_equal_those_of_whole_plays(uneven):
     keys = ("game_id", "play_id")
     names = ["mean_vel", "max_vel", "min_vel", "mean_acc", "max_acc", "min_acc"]
     plain = array_features(play_trajectory(uneven, stamp=False)).select(*keys, *names).collect()
-    split = play_features(play_trajectory(uneven, limit=64, stamp=False)).select(*keys, *names).collect()
+    split = play_features(play_histories(uneven, limit=64)).select(*keys, *names).collect()
     a, b = ({tuple(r[k] for k in keys): [r[n] for n in names] for r in rows} for rows in (plain, split))
     assert a.keys() == b.keys()
     for key in a:
         assert a[key] == pytest.approx(b[key])
 
 
-def test_rollups_need_one_exchange(spark):
+def test_building_a_rollup_runs_no_job(spark):
     silver = clean_metrics(one_second(spark))
-    for df in (player_features(silver), play_trajectory(silver)):
-        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "")
+    for build in (player_features, play_trajectory, player_histories, play_histories):
+        build(silver)
+    assert not tracker.getJobIdsForGroup("build")
+    spark.sparkContext._jsc.clearJobGroup()
 
 
 def test_ordered_blocks_spread_copies_and_keep_order(spark):

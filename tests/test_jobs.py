@@ -64,3 +64,28 @@ def test_optimize_by_path_and_by_name(spark):
     assert named.read().count() == 5000
     described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED optimized").collect()}
     assert "5000 rows" in described["Statistics"]
+
+
+def test_optimize_keeps_a_table_under_its_name(spark):
+    df = spark.range(3000).select((F.col("id") % 3).cast("string").alias("game_id"), (F.col("id") * 7 % 1000).alias("player_id"), F.col("id").alias("v"))
+    write_table(df, "kept_table", comment="samples", properties={"quality": "silver"}, partition_by=["game_id"])
+    layer = optimize(Layer(spark, name="kept_table"), ["player_id"])
+    assert layer.name == "kept_table" and layer.read().select(*df.columns).exceptAll(df).isEmpty() and layer.read().count() == 3000
+    assert [c.name for c in spark.catalog.listColumns("kept_table") if c.isPartition] == ["game_id"]
+    assert spark.catalog.getTable("kept_table").description == "samples"
+    assert {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES kept_table").collect()}["quality"] == "silver"
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED kept_table").collect()}
+    assert "3000 rows" in described["Statistics"]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_table")] == ["kept_table"]
+    spark.sql("DROP TABLE kept_table")
+
+
+def test_named_tables_of_the_star_schema(spark, csv_folder):
+    spark.sql("CREATE DATABASE IF NOT EXISTS stars")
+    out = new_folder(spark, "star")
+    build_dimensions(spark, csv_folder, out, database="stars")
+    assert spark.table("stars.gold_dim_play").count() == 6
+    assert spark.catalog.getTable("stars.gold_dim_play").description == "Dimension play, gold"
+    counts = {r.rule: (r.passed, r.failed) for r in spark.table("stars.rules_dim_play").collect()}
+    assert counts["down_valido"] == (6, 0) and len(counts) == 4
+    spark.sql("DROP DATABASE stars CASCADE")

@@ -48,6 +48,12 @@ def test_zorder_narrows_both_columns(spark):
     assert sum(r.wa for r in boxes) / 16 < 120 and sum(r.wb for r in boxes) / 16 < 120
 
 
+def test_zorder_sees_whole_texts(spark):
+    df = spark.range(20_000).select(F.format_string("player_%06d", F.col("id") % 1000).alias("s"), F.floor(F.col("id") / 1000).alias("b"))
+    boxes = zorder_layout(df, ["s", "b"], 16).groupBy(F.spark_partition_id().alias("p")).agg(F.countDistinct("s").alias("n")).collect()
+    assert len(boxes) == 16 and sum(r.n for r in boxes) / 16 < 600
+
+
 def test_zorder_of_dates_times_and_constants(spark):
     df = spark.range(300).select(
         F.col("id"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("d"),

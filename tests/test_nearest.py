@@ -7,7 +7,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from gridpulse.operators.nearest import nearest_per_group
+from pyspark.sql import functions as F
+
+from gridpulse.operators.nearest import _arrays, nearest_per_group
 
 SCHEMA = "g STRING, t INT, id STRING, x DOUBLE, y DOUBLE"
 
@@ -108,3 +110,13 @@ def test_both_forms_agree(spark, lefts, rights):
     assert plain.keys() == expected.keys()
     for key, (other, distance) in expected.items():
         assert plain[key][0] == other or math.isclose(plain[key][1], distance, rel_tol=1e-12)
+
+
+def test_groups_without_left_rows_are_not_gathered(spark):
+    left = spark.createDataFrame([("a", 1, 0.0, 0.0)], "g STRING, id INT, x DOUBLE, y DOUBLE")
+    busy = spark.range(100_000).select(F.lit("b").alias("g"), F.col("id").alias("rid"), F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
+    right = busy.unionByName(spark.range(3).select(F.lit("a").alias("g"), F.col("id").alias("rid"), F.lit(2.0).alias("x"), F.col("id").cast("double").alias("y")))
+    arrays = _arrays(left.select("g"), right.select("g", F.col("rid").alias("_id"), F.col("x").alias("_rx"), F.col("y").alias("_ry")), ["g"])
+    assert [(r.g, r.n) for r in arrays.select("g", F.size("_others").alias("n")).collect()] == [("a", 3)]
+    found = nearest_per_group(left, right, ["g"], ["g", "id"], "rid", x="x", y="y").collect()
+    assert [(r.g, r.id, r.rid) for r in found] == [("a", 1, 0)]

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fixtures import BASE_MS, event, events, one_second, with_record_columns
+from gridpulse.functions import event_time
 from gridpulse.operators import dedup_batch, first_per_group
 from gridpulse.plans.bronze import bronze_from_records
 from gridpulse.plans.separation import separation_fact
@@ -104,7 +105,7 @@ def test_stream_over_three_runs_drops_late_rows_only(spark):
         return run, spark.read.parquet(out).count()
 
     run, total = arrive(("x", 0), ("x", 200), ("y", 0), ("x", 0))
-    assert (run.input_rows, run.late_rows, total) == (4, 0, 2)
+    assert (run.observed["timed"]["rows"], run.late_rows, total) == (4, 0, 2)
     run, total = arrive(("x", 300), ("x", 180_000))
     assert (run.late_rows, total) == (0, 3)
     # The watermark now stands at 120 s: the first of these is too late, the second is not.
@@ -122,6 +123,27 @@ def test_stream_equals_batch_when_nothing_is_late(spark):
         assert found.count() == expected.count() and found.exceptAll(expected).isEmpty()
 
 
+def test_rows_without_event_time_stay_and_leave_no_state(spark):
+    source, out, state = (new_folder(spark, n) for n in ("in", "out", "state"))
+    for i in range(3):
+        rows = [event("n", "WR", timestamp=None)] * 5 + [event("x", "WR", ms=120_000 * i)]
+        events(spark, rows).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events(spark, rows).schema).parquet(source)
+        run = write_stream(silver_stream(stream), out, state)
+        assert run.observed["untimed"]["rows"] == 5 and run.late_rows == 0
+    found = spark.read.parquet(out).groupBy(F.col("timestamp").isNull().alias("untimed")).count().collect()
+    assert {r.untimed: r["count"] for r in found} == {True: 15, False: 3}
+
+
+def test_bad_times_become_null(spark):
+    values = ["1700000000000", "1700000000000000000", "soon", None, "-1", "99999999999999999999"]
+    df = spark.createDataFrame([(v,) for v in values], "t STRING")
+    seconds = [r[0] for r in df.select(F.unix_seconds(event_time("t"))).collect()]
+    assert seconds == [1_700_000_000, None, None, None, 0, None]
+    numbers = df.select(F.col("t").try_cast("bigint").alias("t"))
+    assert [r[0] for r in numbers.select(F.unix_millis(event_time("t", "millis"))).collect()] == [1_700_000_000_000, None, None, None, -1, None]
+
+
 def test_stream_dedup_needs_event_time_in_its_keys(spark):
     import pytest
 

@@ -24,8 +24,7 @@ from gridpulse.streaming import write_stream
 GOOD = {"game_id": "g", "play_id": "p", "player_id": "1", "speed_mph": 7.5, "heart_rate_bpm": 150, "timestamp": 1000}
 # An event of another producer: other field names and number ids.
 FOREIGN = {
-    "game_id": 2026072900, "play_id": 9999, "player_id": 12345,
-    "x_position": 45.2, "y_position": 24.8, "speed": 18.5, "event": "integration_test_ping",
+    "game_id": 417, "play_id": 3, "player_id": 88, "lat": 1.5, "lon": -2.25, "pace": 4, "kind": "probe",
 }
 
 
@@ -45,7 +44,7 @@ def test_decode_good_and_bad_payloads(spark):
     assert rows[3].speed_mph is None and rows[3].game_id == "g"
     assert rows[4].heart_rate_bpm is None and rows[4].speed_mph == 7.5
     assert rows[5].speed_mph == 7.5
-    assert rows[6].game_id == "2026072900" and rows[6].speed_mph is None and rows[6].heart_rate_bpm is None
+    assert rows[6].game_id == "417" and rows[6].speed_mph is None and rows[6].heart_rate_bpm is None
     assert decode_events(as_records(spark, [])).columns == [*TELEMETRY.names, "kafka_timestamp", "topic", "partition", "offset"]
 
 
@@ -73,7 +72,26 @@ def test_rescue_of_unknown_and_mistyped_fields(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n INT, value STRING")
     rows = with_rescued_data(df, StructType.fromDDL("a INT, b STRING")).orderBy("n").collect()
     assert [(r.a, r.b) for r in rows] == [(1, "x"), (None, "x"), (1, None), (None, None), (None, None), (None, None)]
-    assert [r._rescued_data for r in rows] == [None, '{"a":"one"}', '{"c":"{\\"d\\":[1,2]}"}', None, None, None]
+    assert [r._rescued_data for r in rows] == [None, '{"a":"one"}', '{"c":"{\\"d\\":[1,2]}"}', json.dumps({"_corrupt_record": "no json"}, separators=(",", ":")), None, None]
+
+
+def test_texts_that_are_no_object_are_kept_whole(spark):
+    texts = ["[1, 2]", '{"a": 1', "  ", '"x"']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n INT, value STRING")
+    rows = with_rescued_data(df, StructType.fromDDL("a INT")).orderBy("n").collect()
+    kept = [json.loads(r._rescued_data)["_corrupt_record"] if r._rescued_data else None for r in rows]
+    assert kept == ["[1, 2]", '{"a": 1', None, '"x"']
+
+
+def test_inferred_schema_is_pinned(spark, tmp_path):
+    landing, store, out, state = (str(tmp_path / n) for n in ("in", "schema", "out", "state"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"n": 1}\n')
+    write_stream(bronze_from_files(spark, landing, schema_store=store), out, state)
+    (tmp_path / "in" / "b.json").write_text('{"n": 2, "late_field": true}\n')
+    write_stream(bronze_from_files(spark, landing, schema_store=store), out, state)
+    rows = {r.n: r._rescued_data for r in spark.read.parquet(out).collect()}
+    assert rows == {1: None, 2: '{"late_field":"true"}'}
 
 
 def test_json_file_stream_with_inferred_schema(spark, tmp_path):
@@ -114,7 +132,9 @@ def test_kafka_options():
     assert not any("sasl" in name for name in plain)
     secured = kafka_options("host:9092", "events", "me", "secret", startingOffsets="earliest", kafka__client__id="c")
     assert secured["kafka.security.protocol"] == "SASL_SSL" and secured["kafka.sasl.mechanism"] == "PLAIN"
-    assert "username='me' password='secret'" in secured["kafka.sasl.jaas.config"]
+    assert 'username="me" password="secret"' in secured["kafka.sasl.jaas.config"]
+    quoted = kafka_options("h", "t", "me", 'a"b\\c')["kafka.sasl.jaas.config"]
+    assert quoted.endswith('password="a\\"b\\\\c";')
     assert secured["startingOffsets"] == "earliest" and secured["kafka.client.id"] == "c"
 
 
