@@ -15,13 +15,14 @@ import numpy as np
 
 MATCH, TRIGGER = 50, 24
 SPAN = MATCH - TRIGGER + 1  # triggers a window could belong to
+SIDE = (MATCH - TRIGGER) // 2
 SEGMENT = 1 << 20  # a longer text is parsed in pieces that overlap by MATCH - 1 bytes
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def rolling_hashes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the ``TRIGGER`` bytes at every position; ``data``: bytes."""
+def rolling_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the ``TRIGGER`` bytes and of the 8 bytes at every position; ``data``: bytes."""
     powers = {1: BASE}
     for n in (2, 4, 8):
         with np.errstate(over="ignore"):
@@ -37,7 +38,7 @@ def rolling_hashes(data: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(32)
     h *= MIX
     h ^= h >> np.uint64(29)
-    return h
+    return h, parts[8]
 
 
 def triggers_of_windows(hashes: np.ndarray) -> np.ndarray:
@@ -75,11 +76,22 @@ def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray
         yield joined()
 
 
+def _side(eights: np.ndarray, start: np.ndarray, ok: np.ndarray) -> np.ndarray:
+    """A byte hashed from the ``SIDE`` bytes at ``start``, 0 where they aren't there."""
+    at = np.where(ok, start, 0)
+    mixed = (eights[at] * BASE + eights[at + SIDE - 8]) * MIX
+    return np.where(ok, mixed >> np.uint64(56), 0).astype(np.uint8)
+
+
 def phrases(texts: list[bytes]) -> Iterator[dict[str, np.ndarray]]:
-    """Arrays ``text`` (number), ``first`` and ``last`` (window starts in the text), ``hash`` (of the trigger), in order."""
+    """Arrays ``text`` (number), ``first`` and ``last`` (window starts in the text), ``hash`` (of the trigger), in order,
+    and ``left`` and ``right``, a byte hashed from the ``SIDE`` bytes on either side of the trigger.
+
+    A window has ``SIDE`` bytes or more on one side of its trigger, so equal windows agree in ``left`` or ``right``.
+    """
     for data, numbers, offsets, starts in segments(texts):
         buffer = np.frombuffer(data, dtype=np.uint8)
-        hashes = rolling_hashes(buffer)
+        hashes, eights = rolling_hashes(buffer)
         at = triggers_of_windows(hashes)  # one for each window of the joined bytes
         piece = np.repeat(np.arange(len(numbers), dtype=np.int32), np.diff(starts))[: len(at)]
         inside = np.arange(len(at)) + MATCH <= starts[1:][piece]
@@ -89,4 +101,13 @@ def phrases(texts: list[bytes]) -> Iterator[dict[str, np.ndarray]]:
         first, last = windows[change], windows[np.concatenate([change[1:], [len(windows)]]) - 1]
         of = piece[first]
         shift = offsets[of] - starts[of]
-        yield {"text": numbers[of], "first": first + shift, "last": last + shift, "hash": hashes[at[change]]}
+        trigger = at[change].astype(np.int64)
+        before, after = trigger - SIDE, trigger + TRIGGER
+        yield {
+            "text": numbers[of],
+            "first": first + shift,
+            "last": last + shift,
+            "hash": hashes[trigger],
+            "left": _side(eights, before, before >= starts[of]),
+            "right": _side(eights, after, after + SIDE <= starts[1:][of]),
+        }

@@ -3,8 +3,8 @@
 Each document is parsed into phrases (see ``phrases``), so that every 50-byte string lies in one phrase and equal strings
 lie at the same place of phrases around equal triggers. Three passes find what repeats:
 
-1. Trigger hashes with document and place are dealt by hash, packed by thousands. Only triggers of two or more documents
-   come back, a small share of all unless the corpus repeats itself.
+1. Trigger hashes with document and place are dealt by hash, packed by thousands. Only triggers that two documents hold
+   with the same bytes on one side come back, a small share of all unless the corpus repeats itself.
 2. The phrases around those triggers form the dictionary. Each task keeps distinct phrases with their first document, so
    a passage that a third of all documents hold crosses the shuffle once a task. Dealt by trigger, equal phrases of later
    documents are settled at once; where a trigger has several phrases, the suffixes of these dictionary entries are sorted
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,99 +27,122 @@ from gridpulse.llm.common import shuffle_partitions, stored, texts
 from gridpulse.llm.phrases import MATCH, TRIGGER, phrases, rolling_hashes
 
 NO_ID = np.iinfo(np.int64).max  # a NULL doc_id ranks after every number
-PACKET = "bucket int, n int, hash binary, d binary, rid binary, first binary, last binary"
+PACKET = "bucket int, n int, keyed boolean, data binary"
+PACKET_SCHEMA = pa.schema([("bucket", pa.int32()), ("n", pa.int32()), ("keyed", pa.bool_()), ("data", pa.binary())])
+PLACES = "d long, o long, first int, last int"
+PLACE = ("<i8", "<i8", "<i4", "u1")  # document, row of it, first window, windows after it
 PHRASE_BYTES = 2 * MATCH  # more than any phrase has
 LEAD = 128  # added to the length of a place that only tells its trigger is shared
+KEY_BITS = 48  # of a trigger's hash; more triggers that seem shared cost time, not exactness
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """An array's bytes, first all lowest ones, then all second ones and so on: like bytes side by side compress well."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+def _packed(arrays: list[np.ndarray]) -> bytes:
+    """Arrays compressed with their bytes by significance: all lowest ones, then all second ones and so on."""
+    planes = [np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T).tobytes() for x in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-def _unplaned(data: bytes, dtype: str, n: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(-1, n).T).view(dtype).reshape(n)
+def _unpacked(data: bytes, n: int, dtypes: tuple[str, ...]) -> tuple[list[np.ndarray], bytes]:
+    """The arrays of ``n`` values each, and what follows them."""
+    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
+    for t in dtypes:
+        size = n * np.dtype(t).itemsize
+        planes = np.frombuffer(raw[at : at + size], dtype=np.uint8).reshape(-1, n)
+        out.append(np.ascontiguousarray(planes.T).view(t).reshape(n))
+        at += size
+    return out, raw[at:]
 
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column("d").fill_null(NO_ID).to_numpy(zero_copy_only=False)
+def _packets(rows: list[tuple[int, int, bool, bytes]]) -> pa.RecordBatch:
+    columns = [pa.array(list(c), t.type) for c, t in zip(zip(*rows, strict=True), PACKET_SCHEMA, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, schema=PACKET_SCHEMA)
 
 
-def _places(d: np.ndarray, rid: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(x.astype(np.int64)) for x in (d, rid)] + [pa.array(x.astype(np.int32)) for x in (first, last)]
-    return pa.RecordBatch.from_arrays(columns, names=["d", "rid", "first", "last"])
+def _answers(bucket: int, buckets: int, place: list[np.ndarray]) -> list[tuple[int, int, bool, bytes]]:
+    """Places already decided, as packets that only pass through; dealt over the buckets from ``bucket`` on."""
+    cuts = range(0, len(place[0]), 4096)
+    parts = [[x[a : a + 4096] for x in place] for a in cuts]
+    return [((bucket + i) % buckets, len(p[0]), False, _packed(p)) for i, p in enumerate(parts)]
 
 
-PLACES = "d long, rid long, first int, last int"
+def _places(d: np.ndarray, o: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(x.astype(np.int64)) for x in (d, o)] + [pa.array(x.astype(np.int32)) for x in (first, last)]
+    return pa.RecordBatch.from_arrays(columns, names=["d", "o", "first", "last"])
 
 
-def _several(group: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Whether each row's group, given by sorted ``group``, holds more than one document."""
-    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    many = np.minimum.reduceat(d, starts) != np.maximum.reduceat(d, starts)
-    return np.repeat(many, np.diff(np.append(starts, len(group))))
+def _breaks(group: np.ndarray) -> np.ndarray:
+    """Where each run of equal values starts."""
+    return np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.empty(0, dtype=np.int64)
+
+
+def _several(group: np.ndarray, d: np.ndarray, led: np.ndarray | None = None) -> np.ndarray:
+    """Whether each row's group holds more than one document, or a row that is ``led``."""
+    order = np.argsort(group, kind="stable")
+    starts, ranked = _breaks(group[order]), d[order]
+    many = np.minimum.reduceat(ranked, starts) != np.maximum.reduceat(ranked, starts)
+    if led is not None:
+        many |= np.logical_or.reduceat(led[order], starts)
+    out = np.empty(len(group), dtype=bool)
+    out[order] = np.repeat(many, np.diff(np.append(starts, len(group))))
+    return out
+
+
+def _shared(key: np.ndarray, left: np.ndarray, right: np.ndarray, d: np.ndarray, led: np.ndarray | None = None) -> np.ndarray:
+    """Whether a trigger occurs in several documents with the same bytes on its left, or on its right."""
+    sides = [(key << np.uint64(8)) | side for side in (left, right)]
+    return _several(sides[0], d, led) | _several(sides[1], d, led)
 
 
 def shared_triggers(docs: DataFrame, buckets: int) -> DataFrame:
-    """Places (d, rid, first, last) of the phrases whose trigger occurs in two documents or more."""
+    """Places (d, o, first, last) of the phrases that can hold a string of another document."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rids = _ids(batch), batch.column("rid").to_numpy()
+            ids, rows = batch.column("d").to_numpy(), batch.column("o").to_numpy()
             for found in phrases(batch.column("t").to_pylist()):
-                order = np.argsort(found["hash"], kind="stable")
-                h = found["hash"][order]
-                d, rid = ids[found["text"][order]], rids[found["text"][order]]
-                first, last = found["first"][order], found["last"][order]
-                many = _several(h, d)
-                # Of a trigger known to be shared, one place tells the others; its places here need no answer.
-                lead = many & np.concatenate([[True], h[1:] != h[:-1]])
-                go = ~many | lead
-                bucket = (h >> np.uint64(32)).astype(np.int64) * buckets >> 32
-                cuts = np.flatnonzero(np.concatenate([[True], bucket[go][1:] != bucket[go][:-1]])) if go.any() else []
-                length = (last - first + np.where(lead, LEAD, 0)).astype(np.uint8)
-                sent = [x[go] for x in (h, d, rid, first.astype(np.int32), length)]
-                rows = [(int(bucket[go][a]), b - a, *(_planes(x[a:b]) for x in sent)) for a, b in zip(cuts, [*cuts[1:], int(go.sum())], strict=False)]
-                rest = many
-                # Answers already known travel along, dealt evenly, as packets without hashes.
-                for a in range(0, int(rest.sum()), 4096):
-                    known = [x[rest][a : a + 4096] for x in (d, rid, first.astype(np.int32), (last - first).astype(np.uint8))]
-                    rows.append(((a // 4096 + int(found["first"][0]) + int(h[0] & np.uint64(0xFFFF))) % buckets, len(known[0]), b"", *map(_planes, known)))
-                yield pa.RecordBatch.from_pylist([dict(zip(NAMES, r, strict=True)) for r in rows], schema=SCHEMA)
+                key = found["hash"] >> np.uint64(64 - KEY_BITS)
+                order = np.argsort(key, kind="stable")
+                key, left, right, first = (x[order] for x in (key, found["left"], found["right"], found["first"].astype(np.int32)))
+                length = (found["last"] - found["first"])[order].astype(np.uint8)
+                d, o = ids[found["text"][order]], rows[found["text"][order]]
+                many = _shared(key, left, right, d)
+                # Of phrases known to be shared one tells the others, for each trigger with its sides; none needs an answer.
+                sides = (key << np.uint64(16)) | (left.astype(np.uint64) << np.uint64(8)) | right
+                lead = np.zeros(len(key), dtype=bool)
+                known = np.flatnonzero(many)
+                lead[known[np.unique(sides[known], return_index=True)[1]]] = True
+                go = np.flatnonzero(~many | lead)
+                bucket = (key[go] * np.uint64(buckets) >> np.uint64(KEY_BITS)).astype(np.int64)
+                starts, out = _breaks(bucket), []
+                marked = np.where(lead, length + LEAD, length).astype(np.uint8)
+                for a, b in zip(starts, [*starts[1:], len(go)], strict=True):
+                    at = go[a:b]
+                    step = np.diff(key[at], prepend=np.uint64(0))  # ascending, so steps are short numbers
+                    sent = [step, left[at], right[at], d[at], o[at], first[at], marked[at]]
+                    out.append((int(bucket[a]), len(at), True, _packed(sent)))
+                out += _answers(int(key[0]) % buckets, buckets, [x[many] for x in (d, o, first, length)])
+                yield _packets(out)
 
     def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[list] = []
         for batch in batches:
             for r in batch.to_pylist():
-                n = r["n"]
-                d, rid, first = (_unplaned(r[c], t, n) for c, t in (("d", "<i8"), ("rid", "<i8"), ("first", "<i4")))
-                length = _unplaned(r["last"], "u1", n)
-                if r["hash"]:
-                    held.append((_unplaned(r["hash"], "<u8", n), d, rid, first, length))
+                arrays, _ = _unpacked(r["data"], r["n"], (("<u8", "u1", "u1", *PLACE) if r["keyed"] else PLACE))
+                if r["keyed"]:
+                    arrays[0] = np.cumsum(arrays[0])
+                    held.append(arrays)
                 else:
-                    yield _places(d, rid, first, first + length)
+                    d, o, first, length = arrays
+                    yield _places(d, o, first, first + length)
         if not held:
             return
-        h, d, rid, first, length = (np.concatenate(x) for x in zip(*held, strict=True))
+        key, left, right, d, o, first, length = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
-        order = np.argsort(h, kind="stable")
-        h, d, length = h[order], d[order], length[order]
         lead = length >= LEAD
-        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        led = np.repeat(np.logical_or.reduceat(lead, starts), np.diff(np.append(starts, len(h))))
-        answer = (_several(h, d) | led) & ~lead
-        at = order[answer]
-        yield _places(d[answer], rid[at], first[at], first[at] + length[answer])
-
-    packets = docs.mapInArrow(pack, PACKET)
-    return packets.groupBy("bucket").applyInArrow(meet, PLACES)
+        at = np.flatnonzero(_shared(key, left, right, d, lead) & ~lead)
+        yield _places(d[at], o[at], first[at], first[at] + length[at])
 
-
-NAMES = ["bucket", "n", "hash", "d", "rid", "first", "last"]
-SCHEMA = pa.schema([("bucket", pa.int32()), ("n", pa.int32())] + [(n, pa.binary()) for n in NAMES[2:]])
-DICTIONARY = pa.schema(
-    [("bucket", pa.int32()), ("n", pa.int32())] + [(n, pa.binary()) for n in ("hash", "d", "rid", "first", "length", "bytes")]
-)
+    return docs.mapInArrow(pack, PACKET).groupBy("bucket").applyInArrow(meet, PLACES)
 
 
 def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,6 +167,14 @@ def _whole(rows: np.ndarray) -> np.ndarray:
     return rows.view(np.dtype((np.void, rows.shape[1]))).reshape(len(rows))
 
 
+def _least(rows: np.ndarray, length: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the distinct phrases: the first document and a row of each; of the rows: their phrase's number."""
+    _, entry, of = np.unique(_whole(np.hstack([rows, length.astype(np.uint8)[:, None]])), return_index=True, return_inverse=True)
+    least = np.full(len(entry), NO_ID)
+    np.minimum.at(least, of, d)
+    return least, entry, of
+
+
 def _first_windows(rows: np.ndarray, length: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, window) of every window of dictionary entries that an entry of a smaller document holds too.
 
@@ -163,86 +195,76 @@ def _first_windows(rows: np.ndarray, length: np.ndarray, d: np.ndarray) -> tuple
 
 
 def removals(docs: DataFrame, buckets: int) -> DataFrame:
-    """Window starts [first, last] to remove, as places (d, rid, first, last).
+    """Window starts [first, last] to remove, as places (d, o, first, last).
 
-    ``docs``: d, rid, t and ``places``, those of its phrases with shared triggers.
+    ``docs``: d, o, z (compressed text) and ``places``, those of its phrases that can be shared.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor()
         for batch in batches:
-            ids, rids, column = _ids(batch), batch.column("rid").to_numpy(), batch.column("t")
-            places, held, size = batch.column("places"), [], 0
+            ids, numbers = batch.column("d").to_numpy(), batch.column("o").to_numpy()
+            column, places, held, size = batch.column("z"), batch.column("places"), [], 0
             for i in range(batch.num_rows):
-                text = np.frombuffer(column[i].as_buffer(), dtype=np.uint8)
+                text = np.frombuffer(expand.decompress(column[i].as_py()), dtype=np.uint8)
                 at = places[i].values
                 first, last = (at.field(k).to_numpy() for k in (0, 1))
                 length = last - first + MATCH
                 for a in range(0, len(first), 20_000):
                     part = slice(a, a + 20_000)
                     n = len(first[part])
-                    held.append((np.full(n, ids[i]), np.full(n, rids[i]), first[part], length[part], _phrase_rows(text, first[part], length[part])))
+                    rows = _phrase_rows(text, first[part], length[part])
+                    held.append((np.full(n, ids[i]), np.full(n, numbers[i]), first[part], length[part], rows))
                     size += n
-                    if size >= 100_000:
+                    if size >= 200_000:
                         yield packets(held)
                         held, size = [], 0
             if held:
                 yield packets(held)
 
     def packets(held: list) -> pa.RecordBatch:
-        d, rid, first, length, rows = (np.concatenate(x) for x in zip(*held, strict=True))
-        key = _whole(np.hstack([rows, length.astype(np.uint8)[:, None]]))
-        _, entry, of = np.unique(key, return_index=True, return_inverse=True)
-        least = np.full(len(entry), NO_ID)
-        np.minimum.at(least, of, d)
-        later = d > least[of]
-        # One place of each phrase goes on, with every place of its first document here.
-        go = np.flatnonzero(~later)
-        code = _trigger_codes(rows[go], length[go])
-        bucket = (code >> np.uint64(32)).astype(np.int64) * buckets >> 32
-        order = np.lexsort((code, bucket))
-        go, code, bucket = go[order], code[order], bucket[order]
-        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-        out = []
-        for a, b in zip(cuts, [*cuts[1:], len(go)], strict=True):
+        d, o, first, length, rows = (np.concatenate(x) for x in zip(*held, strict=True))
+        least, _, of = _least(rows, length, d)
+        go = np.flatnonzero(d == least[of])  # of each phrase here, the places in its first document
+        code = _trigger_codes(rows[go])
+        order = np.argsort(code)
+        go, code = go[order], code[order]
+        bucket = ((code >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        starts, out = _breaks(bucket), []
+        for a, b in zip(starts, [*starts[1:], len(go)], strict=True):
             at = go[a:b]
-            out.append((int(bucket[a]), b - a, _planes(code[a:b]), _planes(d[at]), _planes(rid[at]), _planes(first[at].astype(np.int32)),
-                        _planes(length[at].astype(np.uint8)), rows[at].tobytes()))
-        known = np.flatnonzero(later)
-        for a in range(0, len(known), 4096):
-            at = known[a : a + 4096]
-            out.append((int(abs(rid[at[0]]) % buckets), len(at), b"", _planes(d[at]), _planes(rid[at]), _planes(first[at].astype(np.int32)),
-                        _planes(length[at].astype(np.uint8)), b""))
-        return pa.RecordBatch.from_pylist([dict(zip(DICTIONARY.names, r, strict=True)) for r in out], schema=DICTIONARY)
+            sent = [np.diff(code[a:b], prepend=np.uint64(0)), d[at], o[at], first[at].astype(np.int32), length[at].astype(np.uint8)]
+            letters = np.frombuffer(rows[at][np.arange(PHRASE_BYTES) < length[at][:, None]], dtype=np.uint8)
+            out.append((int(bucket[a]), len(at), True, _packed([*sent, letters])))
+        later = d > least[of]
+        windows = (length - MATCH).astype(np.uint8)
+        out += _answers(int(code[0] % np.uint64(buckets)), buckets, [x[later] for x in (d, o, first.astype(np.int32), windows)])
+        return _packets(out)
 
     def settle(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
             for r in batch.to_pylist():
-                n = r["n"]
-                d, rid, first, length = (
-                    _unplaned(r[c], t, n) for c, t in (("d", "<i8"), ("rid", "<i8"), ("first", "<i4"), ("length", "u1"))
-                )
-                if r["hash"]:
-                    rows = np.frombuffer(r["bytes"], dtype=np.uint8).reshape(n, PHRASE_BYTES)
-                    held.append((_unplaned(r["hash"], "<u8", n), d, rid, first, length.astype(np.int64), rows))
+                arrays, letters = _unpacked(r["data"], r["n"], (("<u8", *PLACE) if r["keyed"] else PLACE))
+                if r["keyed"]:
+                    code, d, o, first, length = arrays
+                    rows = np.zeros((r["n"], PHRASE_BYTES), dtype=np.uint8)
+                    rows[np.arange(PHRASE_BYTES) < length[:, None]] = np.frombuffer(letters, dtype=np.uint8)
+                    held.append((np.cumsum(code), d, o, first, length.astype(np.int64), rows))
                 else:
-                    yield _places(d, rid, first, first + length - MATCH)
+                    d, o, first, windows = arrays
+                    yield _places(d, o, first, first + windows)
         if not held:
             return
-        code, d, rid, first, length, rows = (np.concatenate(x) for x in zip(*held, strict=True))
+        code, d, o, first, length, rows = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
-        order = np.argsort(code, kind="stable")
-        several = np.zeros(len(code), dtype=bool)
-        several[order] = _several(code[order], d[order])
-        at = np.flatnonzero(several)  # a trigger that turned out to be of one document has nothing to remove
+        at = np.flatnonzero(_several(code, d))  # a trigger that turned out to be of one document has nothing to remove
         if not len(at):
             return
-        code, d, rid, first, length, rows = (x[at] for x in (code, d, rid, first, length, rows))
-        _, entry, of = np.unique(_whole(np.hstack([rows, length.astype(np.uint8)[:, None]])), return_index=True, return_inverse=True)
-        least = np.full(len(entry), NO_ID)
-        np.minimum.at(least, of, d)
+        code, d, o, first, length, rows = (x[at] for x in (code, d, o, first, length, rows))
+        least, entry, of = _least(rows, length, d)
         later = d > least[of]
-        yield _places(d[later], rid[later], first[later], (first + length - MATCH)[later])
+        yield _places(d[later], o[later], first[later], (first + length - MATCH)[later])
         # Distinct phrases of triggers that have several, in chunks that keep a trigger whole.
         codes = code[entry]
         by = np.argsort(codes, kind="stable")
@@ -271,33 +293,40 @@ def removals(docs: DataFrame, buckets: int) -> DataFrame:
                 new = np.concatenate([[True], (holder[1:] != holder[:-1]) | (window[1:] != window[:-1] + 1)])
                 ends_at = np.append(np.flatnonzero(new)[1:] - 1, len(holder) - 1)
                 h = holder[new]
-                yield _places(d[h], rid[h], first[h] + window[new], first[h] + window[ends_at])
+                yield _places(d[h], o[h], first[h] + window[new], first[h] + window[ends_at])
             a = b
 
-    schema = "bucket int, n int, " + ", ".join(f"{n} binary" for n in DICTIONARY.names[2:])
-    return docs.mapInArrow(pack, schema).groupBy("bucket").applyInArrow(settle, PLACES)
+    return docs.mapInArrow(pack, PACKET).groupBy("bucket").applyInArrow(settle, PLACES)
 
 
-def _trigger_codes(rows: np.ndarray, length: np.ndarray) -> np.ndarray:
+def _trigger_codes(rows: np.ndarray) -> np.ndarray:
     """The trigger hash of each phrase: its first window's smallest rolling hash."""
     out = np.empty(len(rows), dtype=np.uint64)
     for a in range(0, len(rows), 10_000):
         part = rows[a : a + 10_000]
-        h = rolling_hashes(part.reshape(-1))
+        h, _ = rolling_hashes(part.reshape(-1))
         h = np.append(h, np.zeros(TRIGGER - 1, dtype=np.uint64)).reshape(len(part), -1)
         out[a : a + 10_000] = h[:, : MATCH - TRIGGER + 1].min(axis=1)
     return out
 
 
-def _by_document(places: DataFrame) -> DataFrame:
-    # Repeated rows report the same places; distinct() drops them before they meet.
-    return places.distinct().groupBy("d", "rid").agg(F.collect_list(F.struct("first", "last")).alias("places"))
+def _joined(docs: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    found = places.groupBy("d", "o").agg(F.collect_list(F.struct("first", "last")).alias("places"))
+    found = found.select(F.col("d").alias("pd"), F.col("o").alias("po"), "places").hint("shuffle_hash")
+    return docs.join(found, (F.col("d") == F.col("pd")) & (F.col("o") == F.col("po")), how).drop("pd", "po")
 
 
-def _joined(docs: DataFrame, places: DataFrame, how: str) -> DataFrame:
-    found = _by_document(places).select(F.col("d").alias("pd"), F.col("rid").alias("prid"), "places")
-    on = (F.coalesce("d", F.lit(NO_ID)) == F.col("pd")) & (F.col("rid") == F.col("prid"))
-    return docs.join(found.hint("shuffle_hash"), on, how).drop("pd", "prid")
+def _compressed(rows: DataFrame) -> DataFrame:
+    """(d, o, z): texts compressed for their one way over the network, dealt by document."""
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            z = pa.array([press.compress(t) for t in batch.column("t").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("d"), batch.column("o"), z], names=["d", "o", "z"])
+
+    squeezed = rows.mapInArrow(squeeze, "d long, o long, z binary")
+    return squeezed.repartition(shuffle_partitions(rows.sparkSession), "d", "o")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -308,16 +337,21 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     doc_id ranks after every number; all rows with one doc_id are one document, so repeated rows come back alike.
     """
     buckets = 4 * shuffle_partitions(docs.sparkSession)
-    rows = texts(docs).withColumn("t", F.col("t").cast("binary"))
+    every = texts(docs).withColumn("d", F.coalesce("d", F.lit(NO_ID)))
+    repeated = bool(every.groupBy("d").count().filter("count > 1").head(1))
+    # Where ids repeat, their rows are told apart by the text's fingerprint, and equal rows are worked on once.
+    rows = every.dropDuplicates(["d", "rid"]) if repeated else every
+    rows = rows.select("d", (F.col("rid") if repeated else F.lit(0).cast("long")).alias("o"), F.col("t").cast("binary").alias("t"))
     shared = stored(shared_triggers(rows, buckets), "shared-triggers")
-    asked = _joined(rows, shared, "inner")
-    gone = stored(removals(asked, buckets), "removed-places")
+    dealt = _compressed(rows)  # both joins below take their texts from this one exchange
+    gone = removals(_joined(dealt, shared, "inner"), buckets)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for i in range(batch.num_rows):
-                text, places = batch.column("t")[i].as_py(), batch.column("places")[i]
+                text, places = expand.decompress(batch.column("z")[i].as_py()), batch.column("places")[i]
                 kept, removed, spans = text, 0, 0
                 if places.is_valid:
                     first, last = (places.values.field(k).to_numpy().astype(np.int64) for k in (0, 1))
@@ -331,8 +365,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                     column.append(x)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             columns = [pa.array(x, t) for x, t in zip(out, types, strict=True)]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-            yield pa.RecordBatch.from_arrays([batch.column("d"), *columns], names=names)
-
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return _joined(rows, gone, "left").select("d", "t", "places").mapInArrow(cut, schema)
+            names = ["d", "o", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+            yield pa.RecordBatch.from_arrays([batch.column("d"), batch.column("o"), *columns], names=names)
+
+    schema = "d long, o long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    done = _joined(dealt, gone, "left").select("d", "o", "z", "places").mapInArrow(cut, schema)
+    if repeated:
+        keys = every.select(F.col("d").alias("ed"), F.col("rid").alias("eo"))
+        done = keys.join(done, (F.col("ed") == F.col("d")) & (F.col("eo") == F.col("o"))).drop("ed", "eo")
+    return done.select(F.nullif("d", F.lit(NO_ID)).alias("doc_id"), *[c for c in done.columns if c not in ("d", "o")])
