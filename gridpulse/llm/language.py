@@ -5,6 +5,10 @@ trigrams of one text are far from independent. What a declaration or an address
 what languages a host or its domain uses, is counted over all rows with the text model's first guesses. Host priors are
 smoothed towards the domain's, domain priors towards the corpus'. Counts are grouped aggregations and come back by
 joins; nothing that grows with the number of hosts is gathered.
+
+Texts of no modelled language, and junk, are a class of their own: its log probability of a trigram is halfway between
+what each language's labelled rows have under the other rows of that language and what even odds over all slots give.
+Only trigrams of letters count for it, so numbers and signs between words don't make a text strange.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ HOST_WEIGHT = 10.0
 UNKNOWN = "und"
 MARKUP = re.compile(rb"<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 LETTER = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
+STRANGE_ODDS = math.log(1000)  # for a text of a modelled language, before its trigrams are looked at
 
 
 def _trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,6 +52,19 @@ def _trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return slots[inside[: len(slots)]].astype(np.int64), np.maximum(lengths - 2, 0), letters
 
 
+def _in_words(texts: list[bytes]) -> np.ndarray:
+    """Whether each trigram of ``_trigrams`` is of letters, or of two and a space."""
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    if len(data) < 3:
+        return np.empty(0, dtype=bool)
+    letter, blank = LETTER[data], data == 0x20
+    n = letter[:-2].astype(np.int8) + letter[1:-1] + letter[2:]
+    fits = (n == 3) | ((n == 2) & (blank[:-2] | blank[1:-1] | blank[2:]))
+    starts = [np.arange(max(len(t) - 2, 0)) for t in texts]
+    before = np.cumsum([0, *map(len, texts)])
+    return fits[np.concatenate([s + b for s, b in zip(starts, before[:-1], strict=True)])]
+
+
 def _parts(texts: list[bytes], size: int = 4 << 20) -> Iterator[list[bytes]]:
     held, total = [], 0
     for t in texts:
@@ -59,8 +77,8 @@ def _parts(texts: list[bytes], size: int = 4 << 20) -> Iterator[list[bytes]]:
         yield held
 
 
-def fit_text_model(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages and their log probabilities of each trigram slot.
+def fit_text_model(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages, their log probabilities of each trigram slot, and the least mean one that their texts should have.
 
     ``labelled``: doc_id, text, lang. The ``sample`` rows with the smallest hashed ids are learnt from.
     """
@@ -69,7 +87,7 @@ def fit_text_model(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str]
     ).filter("l IS NOT NULL AND l <> ''")
     last = rows.select("order").orderBy("order").limit(sample).agg(F.max("order")).first()[0]
     if last is None:
-        return [], np.empty((0, SLOTS))
+        return [], np.empty((0, SLOTS)), np.empty(0)
     rows = rows.filter(F.col("order") <= last)
     used = rows.groupBy("l").count().filter(F.col("count") >= MIN_LABELLED)
     languages = sorted(r["l"] for r in used.orderBy(F.col("count").desc(), "l").limit(MAX_LANGUAGES).collect())
@@ -90,35 +108,66 @@ def fit_text_model(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str]
     counts = np.full((len(languages), SLOTS), 0.5)
     for r in rows.mapInArrow(count, "l int, slot int, n long").groupBy("l", "slot").agg(F.sum("n").alias("n")).collect():
         counts[r["l"], r["slot"]] += r["n"]
-    return languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+    shared = labelled.sparkSession.sparkContext.broadcast(counts)
 
-
-def text_evidence(rows: DataFrame, model: np.ndarray, markup: bool) -> DataFrame:
-    """``rows`` (key, t, ...) with t replaced by evidence: tempered log likelihoods, and letters."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row's mean log probability by the other rows of its language."""
+        counts = shared.value
+        sums = counts.sum(axis=1)
+        for batch in batches:
+            out = []
+            for text, lang in zip(batch.column("t").to_pylist(), batch.column("l").to_pylist(), strict=True):
+                slots, at = _trigrams([text.lower()])[0], number.get(lang)
+                used = slots[_in_words([text.lower()])]
+                if at is not None and len(used):
+                    own = np.bincount(slots, minlength=SLOTS)[used]
+                    out.append((at, float(np.log((counts[at][used] - own) / (sums[at] - len(slots))).mean())))
+            if out:
+                columns = [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["l", "fit"])
+
+    usual = rows.mapInArrow(weigh, "l int, fit double").groupBy("l").agg(F.percentile_approx("fit", 0.5, 10_000).alias("fit")).collect()
+    floors = np.full(len(languages), -math.log(SLOTS))
+    for r in usual:
+        floors[r["l"]] = (r["fit"] - math.log(SLOTS)) / 2
+    return languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32), floors
+
+
+def text_evidence(rows: DataFrame, model: np.ndarray, floors: np.ndarray, markup: bool) -> DataFrame:
+    """``rows`` (key, t, ...) with t replaced by evidence: tempered log likelihoods, and letters; and by strange: log odds
+    of no modelled language against the likeliest."""
+    shared = rows.sparkSession.sparkContext.broadcast((model, floors))
     kept = [c for c in rows.columns if c != "t"]
     types = dict(rows.dtypes)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, least = shared.value
+        any_of = np.logaddexp.reduce(table, axis=0) - math.log(len(table))  # a text of several languages is not strange
         for batch in batches:
             texts = [t.lower() for t in batch.column("t").to_pylist()]
             if markup:
                 texts = [MARKUP.sub(b" ", t) for t in texts]
-            found, letters = [], []
+            found, letters, strange = [], [], []
             for part in _parts(texts):
                 slots, n, n_letters = _trigrams(part)
                 of = np.repeat(np.arange(len(part)), n)
                 sums = np.column_stack([np.bincount(of, weights=row[slots], minlength=len(part)) for row in table])
                 found.append(sums * (np.minimum(n, EVIDENCE) / np.maximum(n, 1))[:, None])
                 letters.append(n_letters)
+                best, inside = sums.argmax(axis=1), _in_words(part)
+                of, slots = of[inside], slots[inside]
+                n = np.bincount(of, minlength=len(part))
+                fits = [np.bincount(of, weights=w, minlength=len(part)) for w in (table[best[of], slots], any_of[slots])]
+                below = least[best] * n - np.maximum(*fits)
+                strange.append(below * (np.minimum(n, EVIDENCE) / np.maximum(n, 1)) - STRANGE_ODDS)
             flat = np.concatenate(found) if found else np.empty((0, len(table)))
             evidence = pa.ListArray.from_arrays(np.arange(len(flat) + 1, dtype=np.int32) * len(table), pa.array(flat.reshape(-1)))
             columns = [batch.column(c) for c in kept]
             n = pa.array(np.concatenate(letters) if letters else [], pa.int64())
-            yield pa.RecordBatch.from_arrays([*columns, evidence, n], names=[*kept, "evidence", "n_letters"])
+            odds = pa.array(np.concatenate(strange) if strange else [], pa.float64())
+            yield pa.RecordBatch.from_arrays([*columns, evidence, n, odds], names=[*kept, "evidence", "n_letters", "strange"])
 
-    schema = ", ".join(f"{c} {types[c]}" for c in kept) + ", evidence array<double>, n_letters long"
+    schema = ", ".join(f"{c} {types[c]}" for c in kept) + ", evidence array<double>, n_letters long, strange double"
     return rows.mapInArrow(weigh, schema)
 
 
@@ -127,9 +176,10 @@ def identify(rows: DataFrame, labelled: DataFrame, markup: bool = False, sample:
 
     ``rows``: key, text, declared, suffix, host (each may be NULL: no evidence of that kind). ``labelled``: doc_id, text,
     lang. The language is ``und`` if the text has fewer than three letters, if no language reaches a posterior of one
-    half, or if nothing is labelled. Repeated rows come back each with the same answer.
+    half against the others and against none of them, or if nothing is labelled; text_lang is ``und`` too where the text is
+    of none, and such rows tell nothing about their hosts. Repeated rows come back each with the same answer.
     """
-    languages, model = fit_text_model(labelled, sample)
+    languages, model, floors = fit_text_model(labelled, sample)
     n = len(languages)
     if not n:
         nothing = [F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("posterior"), F.lit(UNKNOWN).alias("text_lang")]
@@ -145,9 +195,9 @@ def identify(rows: DataFrame, labelled: DataFrame, markup: bool = False, sample:
         F.lower("host").alias("host"),
         F.regexp_extract(F.lower("host"), r"([^.]+\.[^.]+)$", 1).alias("domain"),
     )
-    seen = stored(text_evidence(plain, model, markup), "text-evidence")
+    seen = stored(text_evidence(plain, model, floors, markup), "text-evidence")
     guess = F.array_position("evidence", F.array_max("evidence")) - 1
-    seen = seen.withColumn("guess", F.when(F.col("n_letters") >= MIN_LETTERS, guess))
+    seen = seen.withColumn("guess", F.when((F.col("n_letters") >= MIN_LETTERS) & (F.col("strange") < 0), guess))
     sure = seen.filter("guess IS NOT NULL")
 
     totals = {r["guess"]: r["count"] for r in sure.groupBy("guess").count().collect()}
@@ -186,7 +236,7 @@ def identify(rows: DataFrame, labelled: DataFrame, markup: bool = False, sample:
     belief = add(belief, F.when(F.col("says"), F.get(markup_shares, F.col("said"))).otherwise(none))
     joined = joined.withColumn("belief", add(F.col("evidence"), belief)).withColumn("top", F.array_max("belief"))
     mass = F.aggregate(F.transform("belief", lambda b: F.exp(b - F.col("top"))), F.lit(0.0), lambda s, x: s + x)
-    joined = joined.withColumn("posterior", 1 / mass)
+    joined = joined.withColumn("posterior", 1 / (mass + F.exp("strange")))
     clear = (F.col("n_letters") >= MIN_LETTERS) & (F.col("posterior") >= MIN_POSTERIOR)
     best = F.get(names, F.array_position("belief", F.col("top")).cast("int") - 1)
     return joined.select(

@@ -29,6 +29,30 @@ def test_text_alone(spark, labelled):
     assert [found[i].lang for i in range(7)] == ["en", "de", "fr", "und", "und", "und", "und"]
 
 
+STRANGE = [
+    "これは日本語の文章です。今日は天気がとても良いので、公園へ散歩に行きました。",
+    "Быстрая коричневая лиса перепрыгивает через ленивую собаку и бежит через старый лес вместе с друзьями",
+    "Nopea ruskea kettu hyppää laiskan koiran yli ja juoksee vanhan metsän läpi ystäviensä kanssa joka päivä",
+    "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08" * 3,
+    "TWFuIGlzIGRpc3Rpbmd1aXNoZWQsIG5vdCBvbmx5IGJ5IGhpcyByZWFzb24sIGJ1dCBieSB0aGlzIHNpbmd1bGFy",
+]
+
+
+def test_other_languages_and_junk(spark, documents):
+    """Texts of no modelled language are ``und``, whatever their host says, and their host learns nothing from them."""
+    text = documents.filter("lang = 'de' AND n_chars > 500").orderBy("doc_id").first().text
+    rows = [(i, t, "de", "at", "w1.haus.at") for i, t in enumerate(STRANGE)] + [(100 + i, t, None, None, "x.y") for i, t in enumerate(STRANGE * 20)]
+    rows += [(1000, text, None, None, "x.y"), (1001, text[:250] + STRANGE[3][:40] + " 4111 1111 1111 1111", None, None, "x.y")]
+    df = spark.createDataFrame(rows, "key long, text string, declared string, suffix string, host string")
+    found = languages(op.identify(df, documents))
+    assert {(r.lang, r.text_lang) for i, r in found.items() if i < 1000} == {("und", "und")}
+    assert all(r.posterior < 0.5 for i, r in found.items() if i < 1000)
+    assert found[1000].lang == found[1001].lang == "de" and found[1000].posterior > 0.99
+    more = [(10**6 + i, t, None, "web", len(t)) for i, t in enumerate(STRANGE)]
+    kept = op.with_known_language(documents.unionByName(spark.createDataFrame(more, documents.schema)))
+    assert kept.count() == documents.count() and kept.filter("doc_id >= 1000000").count() == 0
+
+
 def test_other_evidence_decides_short_texts(spark, labelled):
     """Hosts and declarations that go with a language tip the balance where the text says little."""
     rows = [(i, WORDS["de"] * 3, "de-AT", "at", f"w{i % 4}.haus.at") for i in range(60)]
