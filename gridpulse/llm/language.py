@@ -25,13 +25,14 @@ from pyspark.sql import functions as F
 from gridpulse.llm.common import stored
 
 SLOTS = 1 << 16
-SAMPLE = 8_000  # labelled rows that the text model learns from
-MIN_LABELLED, MAX_LANGUAGES = 3, 200  # rows of a language in the sample; languages
+SAMPLE = 8_000  # labelled rows of a language, about, that the text model learns from
+MIN_LABELLED, MAX_LANGUAGES = 3, 200  # labelled rows of a language; languages
 EVIDENCE, MIN_LETTERS, MIN_POSTERIOR = 60, 3, 0.5
 HOST_WEIGHT = 10.0
 UNKNOWN = "und"
 MARKUP = re.compile(rb"<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 LETTER = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
+HASHES = 1 << 30
 STRANGE_ODDS = math.log(1000)  # for a text of a modelled language, before its trigrams are looked at
 
 
@@ -80,18 +81,21 @@ def _parts(texts: list[bytes], size: int = 4 << 20) -> Iterator[list[bytes]]:
 def fit_text_model(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, their log probabilities of each trigram slot, and the least mean one that their texts should have.
 
-    ``labelled``: doc_id, text, lang. The ``sample`` rows with the smallest hashed ids are learnt from.
+    ``labelled``: doc_id, text, lang. Of each language the rows with the smallest hashes are learnt from, about ``sample``
+    of them, or all if it has fewer; so a language is in the model whatever the number of rows of others.
     """
     rows = labelled.select(
-        F.xxhash64("doc_id").alias("order"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("t"), F.lower("lang").alias("l")
+        F.xxhash64("doc_id", "text").alias("order"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("t"), F.lower("lang").alias("l")
     ).filter("l IS NOT NULL AND l <> ''")
-    last = rows.select("order").orderBy("order").limit(sample).agg(F.max("order")).first()[0]
-    if last is None:
-        return [], np.empty((0, SLOTS)), np.empty(0)
-    rows = rows.filter(F.col("order") <= last)
     used = rows.groupBy("l").count().filter(F.col("count") >= MIN_LABELLED)
-    languages = sorted(r["l"] for r in used.orderBy(F.col("count").desc(), "l").limit(MAX_LANGUAGES).collect())
+    sizes = {r["l"]: r["count"] for r in used.orderBy(F.col("count").desc(), "l").limit(MAX_LANGUAGES).collect()}
+    if not sizes:
+        return [], np.empty((0, SLOTS)), np.empty(0)
+    languages = sorted(sizes)
     number = {lang: i for i, lang in enumerate(languages)}
+    # Hashes are even, so this share of their range holds about ``sample`` rows of the language.
+    shares = F.create_map(*[F.lit(x) for lang in languages for x in (lang, math.ceil(HASHES * min(1.0, sample / sizes[lang])))])
+    rows = rows.filter(F.pmod("order", F.lit(HASHES)) < F.element_at(shares, F.col("l")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}

@@ -53,6 +53,15 @@ def test_other_languages_and_junk(spark, documents):
     assert kept.count() == documents.count() and kept.filter("doc_id >= 1000000").count() == 0
 
 
+def test_rare_languages_stay(spark):
+    """A language of few labelled rows is modelled however many rows others have; those give about ``sample``."""
+    rows = [(i, f"{WORDS['en']} {i}", "en") for i in range(3000)] + [(5000 + i, WORDS["fr"], "fr") for i in range(3)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert op.fit_text_model(labelled, 50)[0] == ["en", "fr"]
+    asked = spark.createDataFrame([(1, WORDS["fr"], None, None, None)], "key long, text string, declared string, suffix string, host string")
+    assert op.identify(asked, labelled, sample=50).first().lang == "fr"
+
+
 def test_other_evidence_decides_short_texts(spark, labelled):
     """Hosts and declarations that go with a language tip the balance where the text says little."""
     rows = [(i, WORDS["de"] * 3, "de-AT", "at", f"w{i % 4}.haus.at") for i in range(60)]
