@@ -1,0 +1,125 @@
+import math
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridpulse.llm import curriculum as op
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def targets(words, weights, budget=1.5, repeats=2):
+    """Shares by weight, full sources taken out one round after another."""
+    total, full = budget * sum(words.values()), {}
+    while True:
+        rest = [s for s in words if s not in full]
+        weight = sum(weights[s] for s in rest)
+        level = (total - sum(full.values())) / weight if weight else 0
+        new = {s: repeats * words[s] for s in rest if weights[s] * level > repeats * words[s]}
+        if not new:
+            return {**full, **{s: weights[s] * level for s in rest}}
+        full.update(new)
+
+
+def make(spark, rows):
+    schema = "doc_id long, text string, source string, size int, rid string, target string, key int, s int"
+    return spark.createDataFrame([(*r, 1, "x", "y", 2, 3) for r in rows], schema).repartition(3)
+
+
+def check(spark, rows, **options):
+    found = op.mixture(make(spark, rows), **options).collect()
+    words = defaultdict(int)
+    for _, t, s in rows:
+        words[s] += len(WORD.findall(t or ""))
+    ranked = sorted(words, key=lambda s: (s is None, s))
+    weights = {s: (3, 1, 2)[i % 3] for i, s in enumerate(ranked)}
+    expected = targets(words, weights)
+    taken = defaultdict(int)
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.source or "", r.size) for r in found) == sorted(
+        (i is None, i or 0, s or "", len(WORD.findall(t or ""))) for i, t, s in rows
+    )
+    for r in found:
+        assert r.source_size == words[r.source] and r.target == pytest.approx(expected[r.source])
+        assert 0 <= r.taken <= 2 * r.size and r.taken == sum(u.words for u in r.copies)
+        assert (r.position is None) == (r.taken == 0)
+        assert all(0 <= u.position <= 1 and 0 < u.words <= r.size for u in r.copies)
+        taken[r.source] += r.taken
+    assert all(taken[s] == math.floor(expected[s] + 0.5) for s in words)
+    placed = [r.position for r in found if r.position is not None]
+    assert placed == sorted(placed) and all(r.position is None for r in found[len(placed) :])
+    return found
+
+
+def text(n):
+    return " ".join(["w"] * n)
+
+
+def test_odd_rows(spark):
+    rows = [(i, text(i % 40), f"s{i % 7}") for i in range(300)]
+    rows += [(1000 + i, text(3), "hot") for i in range(200)] + [(7, text(11), "hot")] * 40
+    rows += [(2000, None, "s1"), (2001, "", "void"), (2002, " \n\t", "void"), (2003, text(5000), None), (2004, text(2), "")]
+    rows += [(None, text(9), "s2")] * 5 + [(None, None, None), (5, text(3), "😀"), (6, text(30), "￿"), (7, text(4), "hot")]
+    first = check(spark, rows)
+    again = op.mixture(make(spark, rows[::-1])).collect()
+    key = lambda r: (str(r.doc_id), str(r.source), r.size, r.position or -1, r.taken)
+    assert sorted(map(key, first)) == sorted(map(key, again))
+
+
+def test_all_full_and_few_rows(spark):
+    check(spark, [(1, text(10), "a")])
+    check(spark, [(1, text(10), "a"), (2, text(1), "b")])
+    check(spark, [(1, None, "a"), (2, "", None)])
+    # More than all sources can give: every document comes as often as it may.
+    rows = [(i, text(5), f"s{i % 3}") for i in range(30)]
+    found = op.mixture(make(spark, rows), budget=9.0).collect()
+    assert {(r.taken, r.target) for r in found} == {(10, 100.0)}
+
+
+def test_empty(spark):
+    assert op.mixture(make(spark, [(1, "a b", "s")]).filter("false")).collect() == []
+
+
+@pytest.mark.parametrize("schedule", [*op.SCHEDULES, ((0.0, 0.0), (0.3, 0.0), (0.6, 5.0), (0.8, 0.0), (0.9, 0.0), (1.0, 2.0))])
+def test_inverted_schedule(spark, schedule):
+    """The integral at the time of a share is that share of the whole."""
+    shares = [i / 200 for i in range(201)]
+    df = spark.createDataFrame([(s,) for s in shares], "share double").select("share", op.time_of_share(F.col("share"), schedule).alias("t"))
+    whole, last = op.integral(schedule), -1.0
+    for share, t in sorted((r.share, r.t) for r in df.collect()):
+        upto = 0.0
+        for (t0, w0), (t1, w1) in zip(schedule, schedule[1:], strict=False):
+            end = min(t, t1)
+            if end > t0:
+                upto += (end - t0) * (w0 + w0 + (w1 - w0) * (end - t0) / (t1 - t0)) / 2
+        assert upto == pytest.approx(share * whole, abs=1e-9) and t >= last
+        last = t
+
+
+def test_schedules_shape_the_order(spark):
+    """A falling schedule's words come earlier than a rising one's, in the shares of their integrals."""
+    rows = [(i, text(5), "ab"[i % 2]) for i in range(4000)]
+    falling, rising = ((0.0, 2.0), (1.0, 0.0)), ((0.0, 0.0), (1.0, 2.0))
+    uses = op.mixture(make(spark, rows), [falling, rising], budget=1.0).select("source", F.explode("copies").alias("u"))
+    early = {r.source: r.n for r in uses.filter("u.position < 0.5").groupBy("source").agg(F.sum("u.words").alias("n")).collect()}
+    assert early["a"] == pytest.approx(7500, abs=5) and early["b"] == pytest.approx(2500, abs=5)
+    chosen = op.mixture(make(spark, rows), [falling, rising], schedule_of=F.when(F.col("source") == "b", 0).otherwise(1), budget=1.0)
+    assert chosen.filter("source = 'b'").agg(F.min("position")).first()[0] == 0.0
+
+
+def test_training_order(spark):
+    rows = [(i, f"t{i} " + text(i % 5), "ab"[i % 2]) for i in range(60)] + [(100, "same text here", "a")] * 3
+    docs = make(spark, rows)
+    mixed = op.mixture(docs)
+    out = op.training_order(docs, mixed).collect()
+    assert [r.position for r in out] == sorted(r.position for r in out)
+    assert all(len(r.text.split()) == r.words for r in out)
+    assert sum(r.words for r in out) == sum(r.taken for r in mixed.collect())
+
+
+def test_many_blocks_of_a_hot_source(spark):
+    """A source with most of the rows is numbered in many groups of about equal size."""
+    rows = [(i, "w", "hot" if i % 3 else f"s{i % 5}") for i in range(10_000)]
+    found = op.mixture(make(spark, rows)).filter("source = 'hot'").orderBy("position").collect()
+    assert [r.copies[0].position for r in found] == sorted({r.copies[0].position for r in found})
