@@ -59,21 +59,13 @@ def later_copies(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return held.join(o, [*equal, F.col("o_first") < F.col("d")], "left_semi").select("d", "rid", "part")
 
 
-def filter_orders(filters: str = FILTERS) -> Column:
-    """Array of (filter_order, step, bit, before): every order of the filters, with each step's bit and the bits before it."""
-    bits = {f: 1 << i for i, f in enumerate(filters)}
-    orders = ["".join(p) for p in permutations(filters)]
-    steps = [
-        F.struct(
-            F.lit(o).alias("filter_order"),
-            F.lit(i + 1).alias("step"),
-            F.lit(bits[f]).alias("bit"),
-            F.lit(sum(bits[g] for g in o[:i])).alias("before"),
-        )
-        for o in orders
-        for i, f in enumerate(o)
-    ]
-    return F.array(*steps)
+def with_steps(df: DataFrame, filters: str = FILTERS) -> DataFrame:
+    """Every row of ``df`` once for each order of the filters and each step: filter_order, step, its bit, the bits before."""
+    orders = F.split(F.lit(",".join(map("".join, permutations(filters)))), ",")
+    steps = df.withColumn("filter_order", F.explode(orders)).withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(len(filters)))))
+    bit = lambda at: F.expr(f"shiftleft(1, instr('{filters}', substring(filter_order, {at}, 1)) - 1)")
+    before = [F.when(F.col("step") > i, bit(i)).otherwise(F.lit(0)) for i in range(1, len(filters))]
+    return steps.withColumns({"bit": bit("step"), "before": sum(before[1:], before[0])})
 
 
 def part_of() -> Column:
@@ -108,7 +100,7 @@ def filter_audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = known.join(judged, (F.col("d") == F.col("_id")) & (known["_null"] == judged["_null"]), "left")
     flags = [F.coalesce(c, F.lit(0)).alias(c) for c in ("quality", "toxic")]
     combinations = rows.select("part", "bits", "n", *flags).groupBy("part", "bits", "quality", "toxic").agg(F.sum("n").alias("n"))
-    steps = combinations.withColumn("s", F.explode(filter_orders())).select("part", "bits", "quality", "toxic", "n", "s.*")
+    steps = with_steps(combinations)
     hit = F.col("bits").bitwiseAND(F.col("bit")) != 0
     gone = F.col("bits").bitwiseAND(F.col("before")) != 0
     passed = F.col("bits").bitwiseAND(F.col("bit") + F.col("before")) == 0
