@@ -194,6 +194,49 @@ ORACLES: dict[str, str] = {
                list(acceleration_m_s2 ORDER BY s, acceleration_m_s2) AS acceleration_history_array, 1 AS history_parts
         FROM ({_SILVER_BY_SECOND}) GROUP BY game_id, player_id
     """,
+    "medallion_incremental_players": f"""
+        SELECT game_id, player_id, {_rounded("avg(speed_mph)", 2)} AS avg_speed_mph, max(speed_mph) AS max_speed_today,
+               round(avg(heart_rate_bpm), 0) AS avg_heart_rate, max(heart_rate_bpm) AS peak_heart_rate,
+               list(acceleration_m_s2 ORDER BY s, acceleration_m_s2) AS acceleration_history_array, 1 AS history_parts
+        FROM ({_SILVER_BY_SECOND}) GROUP BY game_id, player_id
+    """,
+    "medallion_incremental": f"""
+        SELECT game_id, play_id, count(DISTINCT player_id) AS players_tracked, max(speed_mph) AS max_speed_in_play,
+               1 AS history_parts, list(s ORDER BY s, player_id) AS times_s,
+               string_agg(player_id, ',' ORDER BY s, player_id) AS players_in_order, true AS has_stamp
+        FROM ({_SILVER_BY_SECOND}) GROUP BY game_id, play_id
+    """,
+    "late_rows": f"""
+        WITH e AS (
+            SELECT event_id, strftime(ts, '%Y-%m-%d') AS game_id, strftime(ts, '%H') AS play_id,
+                   CAST(user_id AS VARCHAR) AS player_id, user_id, {_S} AS s, {_MS} AS ms
+            FROM events
+        ), arrived AS (
+            SELECT *, ms < (SELECT CAST(min(ms) * 0.3::DOUBLE + max(ms) * 0.7::DOUBLE - 0.5 AS BIGINT) FROM e) AND event_id % 10 <> 0 AS first
+            FROM e
+        ), marked AS (
+            SELECT *, NOT first AND s <= (SELECT max(s) - 60 FROM arrived WHERE first) AS is_late,
+                   CAST((user_id * 31 + s) % 140 AS DOUBLE) / 4 AS speed_mph,
+                   CASE WHEN (user_id * 7 + s) % 11 > 0 THEN CAST((user_id * 5 + s) % 100 + 60 AS INTEGER) END AS heart_rate_bpm
+            FROM arrived
+        )
+        SELECT DISTINCT game_id, play_id, player_id, speed_mph, heart_rate_bpm, s AS epoch_s, is_late FROM marked
+        WHERE NOT is_late AND speed_mph <= 30 AND heart_rate_bpm IS NOT NULL
+        UNION ALL
+        SELECT game_id, play_id, player_id, speed_mph, heart_rate_bpm, s, is_late FROM marked WHERE is_late
+    """,
+    "schema_evolution": f"""
+        SELECT event_id, event_type, CASE WHEN event_id % 3 = 0 THEN floor(value) ELSE value END AS score,
+               CASE WHEN event_id % 3 > 0 THEN CAST({_K} AS BIGINT) END AS k,
+               CASE WHEN event_id % 3 = 2 THEN 'user ' || user_id END AS note, CAST(NULL AS VARCHAR) AS rescued, 3 AS versions
+        FROM events
+    """,
+    "zone_map_lookup": """
+        SELECT * FROM lineitem WHERE l_partkey BETWEEN 100 AND 400
+        UNION ALL
+        SELECT * FROM lineitem
+        WHERE l_orderkey IN (1, (SELECT max(l_orderkey) FROM lineitem), (SELECT max(l_orderkey) // 2 FROM lineitem))
+    """,
     "game_rule_metrics": f"""
         WITH t AS (
             SELECT o_orderkey % 13 > 0 AS has_id, o_orderstatus <> 'P' AS has_teams, o_orderkey % 200 - 40 AS temperature,

@@ -28,7 +28,7 @@ from gridpulse.plans.bronze import bronze_from_files, bronze_from_records
 from gridpulse.plans.dimensions import GAME, PLAY, PLAYER
 from gridpulse.plans.gold import play_histories, play_trajectory, player_features
 from gridpulse.plans.maintenance import optimize
-from gridpulse.plans.pipeline import run
+from gridpulse.plans.pipeline import PipelineRun, run
 from gridpulse.plans.reports import matchup_report
 from gridpulse.plans.rules import TELEMETRY_RULES
 from gridpulse.plans.scoring import array_features, balance_single_row, play_features, predict, train
@@ -44,7 +44,10 @@ from gridpulse.sources import (
     with_rescued_data,
     write_table,
 )
+from gridpulse.sources.schema_log import EvolvingTable
+from gridpulse.sources.zone_map import ZoneMap
 from gridpulse.streaming import dedup_stream, write_stream
+from gridpulse.streaming.late import ROCKS, STORE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -219,6 +222,27 @@ def dimension_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three generations of files: ``k`` comes with the second, whose ``score`` is no whole number, ``note`` with the third."""
+    landing, base = new_folder(spark, "landing"), new_folder(spark, "evolving")
+    events, key = table(spark, sf_dir, "events"), F.col("event_id")
+    generations = [
+        {"score": F.floor("value")},
+        {"score": F.col("value"), "k": event_k()},
+        {"score": F.col("value"), "k": event_k(), "note": F.concat(F.lit("user "), F.col("user_id"))},
+    ]
+    evolving = EvolvingTable(spark, landing, base)
+    for i, fields in enumerate(generations):
+        rows = events.where(key % 3 == i).select("event_id", "event_type", *[c.alias(n) for n, c in fields.items()])
+        rows.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(landing)
+        evolving.run()
+    versions = len(evolving.log.versions())
+    return evolving.read().select(
+        "event_id", "event_type", "score", "k", "note", F.col("_rescued_data").alias("rescued"), F.lit(versions).alias("versions")
+    )
+
+
 # --- scalar operators ----------------------------------------------------------------------------
 
 
@@ -401,6 +425,53 @@ def medallion_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.player_features.read().drop("feature_timestamp")
 
 
+def two_arrivals(spark: SparkSession, sf_dir: str, **options) -> PipelineRun:
+    """The pipeline over the earlier seven tenths of the events, then over the rest; one day is in both."""
+    events = records(spark, sf_dir, same_by_second=True)
+    middle = telemetry(spark, sf_dir).agg((F.min("timestamp") * 0.3 + F.max("timestamp") * 0.7).cast("bigint")).first()[0]
+    folder, out = new_folder(spark, "records"), new_folder(spark, "medallion")
+    for arrived in (F.unix_millis("timestamp") < middle, F.unix_millis("timestamp") >= middle):
+        events.where(arrived).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(events.schema).parquet(folder)
+        result = run(spark, bronze_from_records(stream), out, **options)
+    return result
+
+
+@query
+def medallion_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plays after two arrivals, each of which rewrote the games it had rows of."""
+    plays = two_arrivals(spark, sf_dir, gold="incremental").play_trajectory.read()
+    return plays.select(
+        "game_id", "play_id", "players_tracked", "max_speed_in_play", "history_parts",
+        F.transform("telemetry_history_array.timestamp", lambda t: F.unix_seconds(t)).alias("times_s"),
+        F.array_join("telemetry_history_array.player_id", ",").alias("players_in_order"),
+        F.isnotnull("feature_timestamp").alias("has_stamp"),
+    )
+
+
+@query
+def medallion_incremental_players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players' features after two arrivals, as a full refresh gives them."""
+    return two_arrivals(spark, sf_dir, gold="incremental").player_features.read().drop("feature_timestamp")
+
+
+@query
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and the late table after two arrivals, with a restart between them: every tenth event comes too late."""
+    events = records(spark, sf_dir, same_by_second=True)
+    middle = telemetry(spark, sf_dir).agg((F.min("timestamp") * 0.3 + F.max("timestamp") * 0.7).cast("bigint")).first()[0]
+    first = (F.unix_millis("timestamp") < middle) & (F.col("offset") % 10 != 0)
+    folder, out = new_folder(spark, "records"), new_folder(spark, "medallion")
+    spark.conf.set(STORE, ROCKS)
+    for arrived in (first, ~first):
+        events.where(arrived).write.mode("append").parquet(folder)
+        stream = bronze_from_records(spark.readStream.schema(events.schema).parquet(folder))
+        result = run(spark, stream, out, gold="incremental", late="keep")
+    columns = ["game_id", "play_id", "player_id", "speed_mph", "heart_rate_bpm", seconds().alias("epoch_s")]
+    kept = result.silver.read().select(*columns, F.lit(False).alias("is_late"))
+    return kept.unionByName(result.late.read().select(*columns, F.lit(True).alias("is_late")))
+
+
 # --- star schema, separation and report ----------------------------------------------------------
 
 
@@ -615,6 +686,18 @@ def layout_zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rewritten(spark, zorder_layout(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_shipdate", "l_returnflag"]))
 
 
+@query
+def zone_map_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of some parts and orders, from the files that the zone map of a Z-ordered rewrite names."""
+    lines, folder = table(spark, sf_dir, "lineitem"), new_folder(spark, "zones")
+    write_table(zorder_layout(lines, ["l_partkey", "l_orderkey"], 24), path=folder)
+    layer = Layer(spark, path=folder, schema=lines.schema)
+    zones = ZoneMap.build(layer, f"{folder}-map", ranges=["l_partkey", "l_shipdate"], members=["l_orderkey", "l_returnflag"])
+    most = lines.agg(F.max("l_orderkey")).first()[0]
+    found = zones.read(between={"l_partkey": (100, 400)}).unionByName(zones.read(equals={"l_orderkey": [1, most // 2, most]}))
+    return found.unionByName(zones.read(equals={"l_returnflag": ["no such flag"]}))
+
+
 def described_table(spark: SparkSession, name: str) -> DataFrame:
     """The catalog's description, which outlives the table; the name goes, so that no call leaves one behind."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")

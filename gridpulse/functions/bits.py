@@ -15,3 +15,13 @@ def interleave(codes: list[Column], bits: int) -> Column:
         for place, code in enumerate(codes)
     ]
     return reduce(lambda a, b: a.bitwiseOR(b), picked)
+
+
+def spread_bits(codes: list[Column], bits: int) -> Column:
+    """``interleave`` for codes below 2^bits, each looked up once in the table of all codes' spread bits."""
+    width = len(codes)
+    if width * bits > 63:
+        raise ValueError("codes do not fit in 63 bits")
+    table = F.array(*[F.lit(sum((code >> b & 1) << (b * width) for b in range(bits))).cast("bigint") for code in range(1 << bits)])
+    spread = [F.shiftleft(F.get(table, code.cast("int")), width - 1 - place) for place, code in enumerate(codes)]
+    return reduce(lambda a, b: a.bitwiseOR(b), spread)

@@ -11,8 +11,6 @@ from gridpulse.operators.groups import join_equal
 
 # Rows one array may hold. A longer history goes on in further rows, numbered by ``history_part``.
 HISTORY_LIMIT = 200_000
-# Seconds of event time numbered in one task; a group is spread over as many tasks as it has such spans.
-SPAN_SECONDS = 600
 
 
 def histories(
@@ -21,24 +19,29 @@ def histories(
     entry: Column,
     name: str,
     order: Sequence[str],
-    time: str = "timestamp",
+    cell: Sequence[Column],
     limit: int = HISTORY_LIMIT,
 ) -> DataFrame:
     """Rows (``keys``, history_part, ``name``): the group's ``entry`` values in ``order``, ``limit`` to a part.
 
-    ``order`` starts with ``time``. The part is floor(position / limit) for the exact position in the group,
-    so it depends on the data alone. Rows are numbered inside spans of time, and the spans' counts say where
-    each starts; no group meets in one task. Rows equal in ``order`` may swap places among themselves.
+    The part is floor(position / limit) for the exact position in the group, so it depends on the data alone. Rows are
+    numbered inside a group's cells, and the cells' counts say where each starts. ``cell`` has to rise with ``order``
+    and to be so fine that one cell's rows are few, and so coarse that one group's cells are: a hot group is spread
+    over as many tasks as it has cells, and only its counts meet. Rows equal in ``order`` may swap places.
     """
-    keys = list(keys)
-    span = F.floor(F.unix_seconds(time) / SPAN_SECONDS)
-    rows = df.select(*keys, span.alias("_span"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], entry.alias("_entry"))
+    keys, cells = list(keys), [f"_c{i}" for i in range(len(cell))]
+    rows = df.select(
+        *keys,
+        *[c.alias(n) for c, n in zip(cell, cells, strict=True)],
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+        entry.alias("_entry"),
+    )
     place = [F.col(f"_o{i}").asc_nulls_first() for i in range(len(order))]
-    earlier = Window.partitionBy(*keys).orderBy(F.col("_span").asc_nulls_first())
+    earlier = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in cells])
     before = F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-    starts = rows.groupBy(*keys, "_span").agg(F.count(F.lit(1)).alias("_n")).withColumn("_start", F.coalesce(before, F.lit(0)))
-    inside = F.row_number().over(Window.partitionBy(*keys, "_span").orderBy(*place)) - 1
-    placed = join_equal(rows.withColumn("_at", inside), starts.drop("_n"), [*keys, "_span"])
+    starts = rows.groupBy(*keys, *cells).agg(F.count(F.lit(1)).alias("_n")).withColumn("_start", F.coalesce(before, F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy(*keys, *cells).orderBy(*place)) - 1
+    placed = join_equal(rows.withColumn("_at", inside), starts.drop("_n"), [*keys, *cells])
     position = F.col("_start") + F.col("_at")
     parts = placed.select(
         *keys, F.floor(position / limit).cast("int").alias("history_part"), F.struct(position.alias("at"), F.col("_entry").alias("e")).alias("_e")
@@ -48,13 +51,9 @@ def histories(
 
 
 def with_first_part(measures: DataFrame, parts: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """``measures`` (a row for each group) with part 0 of its history and the number of its parts.
-
-    Groups without history have an empty array and 0 parts.
-    """
-    counts = parts.groupBy(*keys).agg((F.max("history_part") + 1).cast("int").alias("history_parts"))
+    """``measures`` (a row for each group, with ``history_parts``) and part 0 of its history, empty where it has none."""
     first = parts.where("history_part = 0").drop("history_part")
-    joined = join_equal(join_equal(measures, first, keys, "left"), counts, keys, "left")
+    joined = join_equal(measures, first, keys, "left")
     empty = F.array().cast(parts.schema[name].dataType)
-    others = [c for c in measures.columns]
-    return joined.select(*others, F.coalesce(name, empty).alias(name), F.coalesce("history_parts", F.lit(0)).alias("history_parts"))
+    others = [c for c in measures.columns if c != "history_parts"]
+    return joined.select(*others, F.coalesce(name, empty).alias(name), "history_parts")

@@ -3,15 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isfinite
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
-
-from gridpulse.functions.bits import interleave
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DateType,
+    MapType,
+    NumericType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+from gridpulse.functions.bits import spread_bits
 
 # Rows whose values give the bucket bounds of a Z-order.
 SAMPLE = 10_000
+# Kinds that become a number, for which there is a faster search.
+MEASURED = (NumericType, DateType, TimestampType, TimestampNTZType)
 
 
 def partition_layout(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -35,35 +48,59 @@ def zorder_layout(df: DataFrame, cols: Sequence[str], n: int | None = None, bits
     """Range-partitions and sorts along the Z-order curve of ``cols``.
 
     Every column is replaced by the number of its quantile bucket (2^bits of them at most), and the bits
-    of the bucket numbers are interleaved. Bounds are whole values, texts included, of ``SAMPLE`` random
-    rows read in one pass; they only place rows, so that another sample gives the same table.
+    of the bucket numbers are interleaved. Bounds are whole values, texts included, of about ``SAMPLE``
+    random rows, thinned where they lie; they only place rows, so that another sample gives the same table.
     """
     if len(cols) == 1:
         return cluster_layout(df, cols, n)
-    sample = df.select(*cols).orderBy(F.rand(1)).limit(SAMPLE).collect()
-    codes = []
+    if len(cols) * bits > 63:
+        raise ValueError("codes do not fit in 63 bits")
+    rows = df.count()
+    measures = [_measure(name, df.schema[name].dataType).alias(f"_m{i}") for i, name in enumerate(cols)]
+    sample = df.select(*measures).sample(min(1.0, SAMPLE / rows), seed=1).collect() if rows else []
+    measured, codes = df, []
     for i, name in enumerate(cols):
         values = sorted(r[i] for r in sample if r[i] is not None and r[i] == r[i])
         steps = 1 << bits
         bounds = sorted({values[k * len(values) // steps] for k in range(1, steps)} - {values[0]}) if values else []
         if bounds:
-            codes.append(_bucket(F.col(name), bounds))
+            measured, code = _bucket(measured, name, bounds, f"_code{i}")
+            codes.append(code)
     if not codes:
         return cluster_layout(df, cols, n)
-    placed = df.select("*", interleave(codes, bits).alias("_z"))
+    z = spread_bits(codes, bits)
+    placed = measured.select(*df.columns, z.alias("_z"))
     return _by_range(placed, ["_z"], n).drop("_z")
 
 
-def _bucket(value: Column, bounds: Sequence[object]) -> Column:
-    """How many of the ascending ``bounds`` are at most ``value``; 0 for NULL. Halves them, as a search does."""
-
-    def below(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo).cast("bigint")
-        mid = (lo + hi) // 2
-        return F.when(value < F.lit(bounds[mid]), below(lo, mid)).otherwise(below(mid + 1, hi))
-
-    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(below(0, len(bounds)))
+def _bucket(df: DataFrame, name: str, bounds: Sequence[object], code: str) -> tuple[DataFrame, Column]:
+    """How many of the ascending ``bounds`` are at most the value of ``name``; 0 for NULL and NaN."""
+    kind = df.schema[name].dataType
+    if not isinstance(kind, MEASURED):
+        # Bounds in one array, searched by halves: a position is compared once for each bit.
+        ranked, place = F.array(*map(F.lit, bounds)), F.lit(0)
+        step = 1 << (len(bounds).bit_length() - 1)
+        while step:
+            further = (place + step <= len(bounds)) & (F.get(ranked, place + (step - 1)) <= F.col(name))
+            df = df.withColumn(f"{code}_{step}", place + F.when(further, F.lit(step)).otherwise(F.lit(0)))
+            place, step = F.col(f"{code}_{step}"), step >> 1
+        return df, F.coalesce(place, F.lit(0))
+    inner = [b for b in bounds if isfinite(b)]
+    if not inner:
+        return df, F.lit(0)
+    splits = [float("-inf"), *inner, float("inf")]
+    found = Bucketizer(splits=splits, inputCol=f"{code}_m", outputCol=code, handleInvalid="keep")
+    measured = df.withColumn(f"{code}_m", F.coalesce(F.nanvl(_measure(name, kind), F.lit(float("-inf"))), F.lit(float("-inf"))))
+    return found.transform(measured), F.col(code).cast("int")
+
+
+def _measure(name: str, kind: DataType) -> Column:
+    """A double in the order of the values; texts and other kinds stay as they are."""
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    if isinstance(kind, DateType):
+        return F.unix_date(name).cast("double")
+    return F.col(name).cast("double") if isinstance(kind, NumericType) else F.col(name)
 
 
 def _by_range(df: DataFrame, order: list[str], n: int | None) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.functions.times import with_audit
@@ -14,19 +15,63 @@ PLAYER_KEYS = ("game_id", "player_id")
 PLAY_KEYS = ("game_id", "play_id")
 
 
+def history_parts(entries: Column, limit: int) -> Column:
+    return F.ceil(entries / limit).cast("int").alias("history_parts")
+
+
+@dataclass(frozen=True)
+class History:
+    """What is kept of a group's rows where ``known`` holds, in ``order``: ``entry`` of a struct of the order columns.
+
+    ``cell`` cuts a group for numbering, see ``histories``.
+    """
+
+    name: str
+    order: tuple[str, ...]
+    known: str
+    entry: Callable[[Column], Column]
+    cell: Callable[[], list[Column]]
+
+    def build(self, rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+        entry = self.entry(F.struct(*self.order))
+        return histories(rows.where(self.known), keys, entry, self.name, self.order, self.cell(), limit)
+
+
+def _player_cells() -> list[Column]:
+    return [F.unix_seconds("timestamp"), F.when(F.col("timestamp").isNull(), F.col("acceleration_m_s2"))]
+
+
+def _play_cells() -> list[Column]:
+    # Times cut to seconds are split by player; finer ones make a second small enough by themselves.
+    finer = F.col("timestamp") > F.date_trunc("second", "timestamp")
+    by_player = F.when(~F.coalesce(finer, F.lit(False)), F.col("player_id"))
+    return [F.unix_seconds("timestamp"), finer, by_player, F.when(F.col("timestamp").isNull(), F.col("speed_mph"))]
+
+
+ACCELERATIONS = History(
+    "acceleration_history_array",
+    ("timestamp", "acceleration_m_s2"),
+    "acceleration_m_s2 IS NOT NULL",
+    lambda e: e["acceleration_m_s2"],
+    _player_cells,
+)
+SAMPLES = History(
+    "telemetry_history_array",
+    ("timestamp", "player_id", "speed_mph", "acceleration_m_s2"),
+    "true",
+    lambda e: F.struct(*[e[c].alias(c) for c in ("player_id", "timestamp", "speed_mph", "acceleration_m_s2")]),
+    _play_cells,
+)
+
+
 def player_histories(silver: DataFrame, keys: Sequence[str] = PLAYER_KEYS, limit: int = HISTORY_LIMIT) -> DataFrame:
     """Accelerations of every player in every game in time order, without NULLs, by ``history_part``."""
-    known = silver.where(F.col("acceleration_m_s2").isNotNull())
-    return histories(
-        known, keys, F.col("acceleration_m_s2"), "acceleration_history_array", ["timestamp", "acceleration_m_s2"], limit=limit
-    )
+    return ACCELERATIONS.build(silver, keys, limit)
 
 
 def play_histories(silver: DataFrame, keys: Sequence[str] = PLAY_KEYS, limit: int = HISTORY_LIMIT) -> DataFrame:
     """Every play's samples in time order, by ``history_part``."""
-    sample = F.struct("player_id", "timestamp", "speed_mph", "acceleration_m_s2")
-    order = ["timestamp", "player_id", "speed_mph", "acceleration_m_s2"]
-    return histories(silver, keys, sample, "telemetry_history_array", order, limit=limit)
+    return SAMPLES.build(silver, keys, limit)
 
 
 def player_features(
@@ -47,6 +92,7 @@ def player_features(
         F.max("speed_mph").alias("max_speed_today"),
         F.round(F.avg("heart_rate_bpm"), 0).alias("avg_heart_rate"),
         F.max("heart_rate_bpm").alias("peak_heart_rate"),
+        history_parts(F.count("acceleration_m_s2"), limit),
     )
     parts = player_histories(silver, keys, limit) if parts is None else parts
     result = with_first_part(measures, parts, keys, "acceleration_history_array")
@@ -65,7 +111,9 @@ def play_trajectory(
     As with ``player_features``, what goes beyond ``limit`` samples is in ``play_histories``.
     """
     measures = silver.groupBy(*keys).agg(
-        F.round(F.max("speed_mph"), 2).alias("max_speed_in_play"), F.count_distinct("player_id").alias("players_tracked")
+        F.round(F.max("speed_mph"), 2).alias("max_speed_in_play"),
+        F.count_distinct("player_id").alias("players_tracked"),
+        history_parts(F.count(F.lit(1)), limit),
     )
     parts = play_histories(silver, keys, limit) if parts is None else parts
     result = with_first_part(measures, parts, keys, "telemetry_history_array")

@@ -1,4 +1,4 @@
-"""One run of the whole flow: new events to bronze and silver, then gold from all of silver."""
+"""One run of the whole flow: new events to bronze and silver, then gold from what is new or from all of silver."""
 
 from __future__ import annotations
 
@@ -10,15 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpulse.plans.gold import play_histories, play_trajectory, player_features, player_histories
+from gridpulse.plans.incremental import IncrementalGold
 from gridpulse.plans.rules import TELEMETRY_RULES
-from gridpulse.plans.silver import KAFKA_COLUMNS, silver_batch, silver_stream, unchecked_silver_batch
+from gridpulse.plans.silver import (
+    KAFKA_COLUMNS,
+    late_of_marked,
+    marked_stream,
+    silver_batch,
+    silver_of_marked,
+    silver_stream,
+    unchecked_silver_batch,
+)
 from gridpulse.sources.tables import Layer, register_table, write_table
-from gridpulse.streaming.runs import StreamRun, write_stream
+from gridpulse.streaming.runs import StreamRun, process_stream, write_stream
 
 
 @dataclass(frozen=True)
 class PipelineRun:
-    """The tables of a run. ``silver_run`` is None when silver was recomputed as a batch."""
+    """The tables of a run. ``silver_run`` is None when silver was recomputed as a batch, ``gold_run`` when gold was."""
 
     bronze: Layer
     silver: Layer
@@ -28,6 +37,8 @@ class PipelineRun:
     play_histories: Layer
     bronze_run: StreamRun
     silver_run: StreamRun | None
+    gold_run: StreamRun | None = None
+    late: Layer | None = None
 
 
 def run(
@@ -43,24 +54,40 @@ def run(
     spread_by: str | None = None,
     max_files_per_trigger: int | None = None,
     database: str | None = None,
+    gold: str = "recompute",
+    late: str = "drop",
 ) -> PipelineRun:
     """Processes what has arrived since the last run into ``out_dir``, then stops.
 
     ``silver="stream"`` appends to silver with a watermark, ``"batch"`` recomputes it; either is
-    partitioned by ``partition_by``. Gold is recomputed either way, laid out by ``cluster_by``.
+    partitioned by ``partition_by``. ``gold="recompute"`` makes gold from all of silver, laid out by
+    ``cluster_by``; ``"incremental"`` rewrites the games that new silver rows belong to (see
+    ``plans.incremental``), which needs a streaming silver. A generation keeps to one of the two.
+    ``late="keep"`` puts rows behind the watermark into a table of their own (``late``), by way of a table of
+    marked rows; ``"drop"`` only counts them. Either is for a streaming silver, and a generation keeps to it.
     With ``database`` every table also gets a name there, a comment and its ``quality``.
     ``full_refresh`` starts over with new tables and checkpoints; the old ones stay where they are.
     """
     if silver not in ("stream", "batch"):
         raise ValueError(f"silver must be 'stream' or 'batch', not {silver!r}")
+    if gold not in ("recompute", "incremental") or (gold, silver) == ("incremental", "batch"):
+        raise ValueError("gold must be 'recompute', or 'incremental' with a streaming silver")
+    if late not in ("drop", "keep") or (late, silver) == ("keep", "batch"):
+        raise ValueError("late must be 'drop', or 'keep' with a streaming silver")
     base = f"{out_dir.rstrip('/')}/generation-{_generation(spark, out_dir, full_refresh)}"
 
     bronze_layer = Layer(spark, path=f"{base}/bronze", schema=bronze_stream.schema)
     bronze_run = write_stream(bronze_stream, bronze_layer.path, f"{base}/checkpoints/bronze")
 
-    silver_path = f"{base}/silver"
+    silver_path, late_layer = f"{base}/silver", None
     if silver == "stream":
-        cleaned = silver_stream(bronze_layer.read_stream(max_files_per_trigger), drop, precision, spread_by=spread_by)
+        arrived = bronze_layer.read_stream(max_files_per_trigger)
+        if late == "keep":
+            marked = _written(spark, marked_stream(arrived, precision), base, "marked", partition_by)
+            late_layer = _written(spark, late_of_marked(marked.read_stream()), base, "late")
+            cleaned = silver_of_marked(marked.read_stream(max_files_per_trigger), drop)
+        else:
+            cleaned = silver_stream(arrived, drop, precision, spread_by=spread_by)
         silver_run = write_stream(cleaned, silver_path, f"{base}/checkpoints/silver", partition_by=partition_by)
     else:
         bronze = bronze_layer.read()
@@ -69,24 +96,41 @@ def run(
         silver_run = None
     silver_layer = Layer(spark, path=silver_path, schema=cleaned.schema)
 
-    gold = {}
+    if gold == "incremental":
+        kept = IncrementalGold(spark, base)
+        tables = kept.tables(silver_layer.schema)
+        gold_run = process_stream(silver_layer.read_stream(max_files_per_trigger), kept.update, f"{base}/checkpoints/gold")
+    else:
+        tables, gold_run = _recomputed(spark, silver_layer, base, cluster_by), None
+    if database:
+        for name, layer in {"bronze": bronze_layer, "silver": silver_layer, **tables, **({"late": late_layer} if late_layer else {})}.items():
+            quality = {"bronze": "bronze", "silver": "silver", "late": "silver"}.get(name, "gold")
+            comment = f"{COMMENTS[name]}, generation {base.rsplit('-', 1)[1]}"
+            register_table(spark, f"{database}.{name}", layer.path, comment, {"quality": quality})
+    return PipelineRun(bronze_layer, silver_layer, bronze_run=bronze_run, silver_run=silver_run, gold_run=gold_run, late=late_layer, **tables)
+
+
+def _written(spark: SparkSession, stream: DataFrame, base: str, name: str, partition_by: Sequence[str] = ()) -> Layer:
+    """Appends what has arrived to table ``name`` of the generation."""
+    layer = Layer(spark, path=f"{base}/{name}", schema=stream.schema)
+    write_stream(stream, layer.path, f"{base}/checkpoints/{name}", partition_by=partition_by)
+    return layer
+
+
+def _recomputed(spark: SparkSession, silver: Layer, base: str, cluster_by: Sequence[str]) -> dict[str, Layer]:
+    tables = {}
 
     def publish(name: str, table: DataFrame) -> DataFrame:
         write_table(table, path=f"{base}/{name}", cluster_by=cluster_by)
-        gold[name] = Layer(spark, path=f"{base}/{name}", schema=table.schema)
-        return gold[name].read()
+        tables[name] = Layer(spark, path=f"{base}/{name}", schema=table.schema)
+        return tables[name].read()
 
     # Histories are written first, so that no array is built twice.
-    players = publish("player_histories", player_histories(silver_layer.read()))
-    publish("player_features", player_features(silver_layer.read(), parts=players))
-    plays = publish("play_histories", play_histories(silver_layer.read()))
-    publish("play_trajectory", play_trajectory(silver_layer.read(), parts=plays))
-    if database:
-        for name, layer in {"bronze": bronze_layer, "silver": silver_layer, **gold}.items():
-            quality = name if name in ("bronze", "silver") else "gold"
-            comment = f"{COMMENTS[name]}, generation {base.rsplit('-', 1)[1]}"
-            register_table(spark, f"{database}.{name}", layer.path, comment, {"quality": quality})
-    return PipelineRun(bronze_layer, silver_layer, bronze_run=bronze_run, silver_run=silver_run, **gold)
+    players = publish("player_histories", player_histories(silver.read()))
+    publish("player_features", player_features(silver.read(), parts=players))
+    plays = publish("play_histories", play_histories(silver.read()))
+    publish("play_trajectory", play_trajectory(silver.read(), parts=plays))
+    return tables
 
 
 COMMENTS = {
@@ -96,6 +140,7 @@ COMMENTS = {
     "play_trajectory": "Samples of every play in time order",
     "player_histories": "Accelerations of every player and game, in parts",
     "play_histories": "Samples of every play, in parts",
+    "late": "Events that came after the watermark had passed them",
 }
 
 

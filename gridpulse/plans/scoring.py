@@ -125,7 +125,12 @@ class PlayScorer:
         return self.spark.read.table(self.feature_table)
 
     def build_features(self, df: DataFrame) -> DataFrame:
-        return play_features(df) if "history_part" in df.columns else array_features(df)
+        """Features of whole plays. A trajectory with further parts is refused: its array is not the whole play."""
+        if "history_part" in df.columns:
+            return play_features(df)
+        if "history_parts" in df.columns and not df.where("history_parts > 1").isEmpty():
+            raise ValueError("plays of several parts: give their histories (play_histories) instead")
+        return array_features(df)
 
     def train(self, features: DataFrame, label: str | None = None) -> PipelineModel:
         self.model = train(features, label=label, seed=self.seed)

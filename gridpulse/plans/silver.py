@@ -12,6 +12,7 @@ from gridpulse.functions.times import event_time, with_audit
 from gridpulse.operators.dedup import dedup_batch
 from gridpulse.plans.rules import TELEMETRY_RULES
 from gridpulse.streaming.dedup import dedup_stream
+from gridpulse.streaming.late import mark_late
 
 EVENT_KEYS = ("game_id", "play_id", "player_id", "timestamp")
 
@@ -69,6 +70,26 @@ def silver_stream(
     spread_by: str | None = None,
 ) -> DataFrame:
     """Incremental silver: the time is cut to seconds first, so one sample per player and second stays."""
-    single = dedup_stream(clean_metrics(bronze, precision), keys, "timestamp", delay, spread_by)
-    typed = with_audit(single.drop(*drop), "silver_processed_at")
+    return _checked(dedup_stream(clean_metrics(bronze, precision), keys, "timestamp", delay, spread_by).drop(*drop))
+
+
+def marked_stream(
+    bronze: DataFrame, precision: str = "second", keys: Sequence[str] = EVENT_KEYS, delay: str = "1 minute"
+) -> DataFrame:
+    """Typed, single events and all late ones, told apart by ``late``: what ``silver_of_marked`` and ``late_of_marked`` read."""
+    return mark_late(clean_metrics(bronze, precision), keys, "timestamp", delay)
+
+
+def silver_of_marked(marked: DataFrame, drop: Sequence[str] = KAFKA_COLUMNS) -> DataFrame:
+    """The silver of a marked stream, the same as ``silver_stream`` gives."""
+    return _checked(marked.where("NOT late").drop("late", *drop))
+
+
+def late_of_marked(marked: DataFrame) -> DataFrame:
+    """Late rows with all their columns, unchecked, so that they can be looked into or fed in again."""
+    return with_audit(marked.where("late").drop("late"), "set_aside_at")
+
+
+def _checked(single: DataFrame) -> DataFrame:
+    typed = with_audit(single, "silver_processed_at")
     return TELEMETRY_RULES.keep(TELEMETRY_RULES.observe(typed, "silver_rules"))

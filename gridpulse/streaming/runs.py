@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 
 @dataclass(frozen=True)
@@ -43,11 +44,26 @@ def write_stream(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    kept, spark = "spark.sql.streaming.numRecentProgressUpdates", df.sparkSession
+    return _run(df.sparkSession, lambda: writer.toTable(name) if name else writer.start(path), poll_seconds)
+
+
+def process_stream(
+    df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, poll_seconds: int = 5
+) -> StreamRun:
+    """Gives everything available to ``handle(rows, batch)``, micro-batch by micro-batch.
+
+    After a crash the last batch comes again with its number, so ``handle`` has to replace what it wrote for it.
+    """
+    writer = df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return _run(df.sparkSession, writer.start, poll_seconds)
+
+
+def _run(spark: SparkSession, start: Callable[[], StreamingQuery], poll_seconds: int) -> StreamRun:
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
     before = spark.conf.get(kept)
     spark.conf.set(kept, "100000")
     try:
-        query = writer.toTable(name) if name else writer.start(path)
+        query = start()
     finally:
         spark.conf.set(kept, before)
 

@@ -1,0 +1,65 @@
+"""Late rows go to a table of their own; what is kept is what the dropping dedup keeps."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import event
+from gridpulse.plans.pipeline import run
+from gridpulse.session import new_folder
+from gridpulse.streaming import write_stream
+from gridpulse.streaming.dedup import dedup_stream
+from gridpulse.streaming.late import mark_late
+from test_pipeline import arrive, bronze
+
+ROWS = "player STRING, timestamp TIMESTAMP, speed DOUBLE"
+START = 1_700_000_000
+ARRIVALS = [
+    [("a", 0, 1.0), ("a", 0, 1.0), ("b", 0, 2.0), ("a", 5, 3.0), ("c", None, 4.0), ("c", None, 4.0)],
+    [("a", 0, 1.0), ("a", 180, 5.0), (None, 7, 6.0)],
+    # The watermark stands at 120 seconds.
+    [("a", 120, 7.0), ("a", 121, 8.0), ("a", 180, 5.0), ("d", 10, 9.0), ("d", 10, 9.0), (None, 121, 0.5), (None, 121, 0.5)],
+    [("a", 121, 8.0), ("a", 400, 1.0)],
+    [("a", 180, 5.0), ("b", 340, 1.0), ("b", 341, 1.0)],
+]
+
+
+def rows_of(spark, rows):
+    timed = [(p, None if s is None else START + s, v) for p, s, v in rows]
+    return spark.createDataFrame(timed, "player STRING, s LONG, speed DOUBLE").select("player", F.timestamp_seconds("s").alias("timestamp"), "speed")
+
+
+def test_kept_and_late_over_restarts(spark):
+    folder, marked, checkpoint = (new_folder(spark, n) for n in ("in", "marked", "checkpoint"))
+    plain, plain_checkpoint = new_folder(spark, "plain"), new_folder(spark, "plain-checkpoint")
+    late_counts, dropped = [], []
+    for rows in ARRIVALS:
+        rows_of(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(ROWS).parquet(folder)
+        write_stream(mark_late(stream, ["player", "timestamp"]), marked, checkpoint)
+        dropped.append(write_stream(dedup_stream(stream, ["player", "timestamp"], spread=1), plain, plain_checkpoint).late_rows)
+        late_counts.append(spark.read.parquet(marked).where("late").count())
+    found = spark.read.parquet(marked)
+    assert late_counts == [0, 0, 3, 3, 5] and sum(dropped) == 5
+    key = lambda r: (str(r.player), str(r.timestamp), r.speed)
+    assert sorted(map(key, found.where("NOT late").collect())) == sorted(map(key, spark.read.parquet(plain).collect()))
+    late = sorted((r.player, r.s) for r in found.where("late").selectExpr("player", "unix_seconds(timestamp) AS s").collect())
+    assert late == sorted((p, START + s) for p, s in [("a", 120), ("d", 10), ("d", 10), ("a", 180), ("b", 340)])
+
+
+def test_time_has_to_be_a_key(spark):
+    with pytest.raises(ValueError):
+        mark_late(rows_of(spark, []), ["player"])
+
+
+def test_pipeline_with_late_table(spark):
+    folder, out = new_folder(spark, "records"), new_folder(spark, "out")
+    arrive(spark, folder, [event("a", "WR"), event("a", "WR"), event("b", "CB", ms=300_000)])
+    first = run(spark, bronze(spark, folder), out, late="keep")
+    assert (first.silver.read().count(), first.late.read().count()) == (2, 0)
+    arrive(spark, folder, [event("a", "WR", ms=1000), event("b", "CB", ms=300_500), event("c", "CB", ms=299_000)])
+    second = run(spark, bronze(spark, folder), out, late="keep")
+    assert {r.player_id for r in second.silver.read().collect()} == {"a", "b", "c"} and second.silver.read().count() == 3
+    late = second.late.read().collect()
+    assert [(r.player_id, r.topic, r.set_aside_at is not None) for r in late] == [("a", "t", True)]
+    with pytest.raises(ValueError):
+        run(spark, bronze(spark, folder), out, silver="batch", late="keep")
