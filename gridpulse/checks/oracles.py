@@ -1,5 +1,7 @@
 """SQL for DuckDB over the same tables, one text per query."""
 
+from gridpulse.checks.forest import sql_chance
+
 # Spark rounds the decimal text of a double half up; so does this.
 _ROUND = "CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
 
@@ -263,6 +265,32 @@ ORACLES: dict[str, str] = {
                CASE WHEN list_max(embedding) >= 0.3125 THEN 'Alta Confianza' ELSE 'Baja Confianza' END AS estrategia
         FROM embeddings
     """,
+    "forest_table_scores": f"""
+        WITH f AS (
+            SELECT vec_id, CAST(list_max(embedding) AS DOUBLE) AS most, CAST(list_min(embedding) AS DOUBLE) AS least FROM embeddings
+        ), scored AS (
+            SELECT vec_id, {_rounded(f"({sql_chance(('most', 'least'))} * 100)", 2)} AS pct FROM f
+        )
+        SELECT vec_id, pct AS ml_win_probability_pct,
+               CASE WHEN pct >= 65 THEN 'Alta Confianza' WHEN pct >= 40 THEN '50/50 Incertidumbre' ELSE 'Baja Confianza' END AS estrategia
+        FROM scored
+    """,
+    "rule_history": f"""
+        WITH e AS ({_TELEMETRY}), runs AS (SELECT 1 AS run UNION ALL SELECT 2),
+        arrived AS (SELECT * FROM e, runs WHERE run = 2 OR event_id % 2 = 0),
+        single AS (
+            SELECT * FROM arrived
+            QUALIFY row_number() OVER (PARTITION BY run, game_id, play_id, player_id, ms ORDER BY event_id) = 1
+        ), totals AS (
+            SELECT count(*) FILTER ({_VALID}) AS kept, count(*) - count(*) FILTER ({_VALID}) AS dropped FROM single WHERE run = 2
+        )
+        SELECT r.*, totals.* FROM (
+            SELECT run, 'velocidad_valida' AS rule, 'drop' AS action, count(*) FILTER (speed_mph >= 0 AND speed_mph <= 30) AS passed,
+                   count(*) - count(*) FILTER (speed_mph >= 0 AND speed_mph <= 30) AS failed FROM single GROUP BY run
+            UNION ALL
+            SELECT run, 'ritmo_cardiaco_valido', 'drop', count(heart_rate_bpm), count(*) - count(heart_rate_bpm) FROM single GROUP BY run
+        ) AS r, totals
+    """,
     "game_dimension": """
         SELECT md5(CAST(o_orderkey AS VARCHAR)) AS game_sk, CAST(o_orderkey AS VARCHAR) AS game_id,
                CAST(year(o_orderdate) AS INTEGER) AS season, CAST(month(o_orderdate) AS INTEGER) AS week,

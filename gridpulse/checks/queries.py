@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridpulse import schemas
+from gridpulse.checks import forest
 from gridpulse.functions import event_time, score_band, surrogate_key
 from gridpulse.operators import (
     Expectations,
@@ -26,10 +27,12 @@ from gridpulse.operators import (
 from gridpulse.operators.star import Dimension
 from gridpulse.plans.bronze import bronze_from_files, bronze_from_records
 from gridpulse.plans.dimensions import GAME, PLAY, PLAYER
+from gridpulse.plans.forest_table import NODES, predict_by_table
 from gridpulse.plans.gold import play_histories, play_trajectory, player_features
 from gridpulse.plans.maintenance import optimize
 from gridpulse.plans.pipeline import PipelineRun, run
 from gridpulse.plans.reports import matchup_report
+from gridpulse.plans.rule_history import RuleHistory, write_checked
 from gridpulse.plans.rules import TELEMETRY_RULES
 from gridpulse.plans.scoring import array_features, balance_single_row, play_features, predict, train
 from gridpulse.plans.separation import separation_fact
@@ -349,6 +352,22 @@ def silver_rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TELEMETRY_RULES.metrics(unchecked_silver_batch(bronze, order_by=("kafka_timestamp", "partition", "offset")))
 
 
+@query
+def rule_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule results of two runs of a batch silver, the second with the other half of the events, and its rows by folder."""
+    events, out = records(spark, sf_dir), new_folder(spark, "checked")
+    history = RuleHistory(spark, f"{out}/history")
+    for arrived in (events.where("offset % 2 = 0"), events):
+        unchecked = unchecked_silver_batch(bronze_from_records(arrived), order_by=("kafka_timestamp", "partition", "offset"))
+        run_number = history.next_run()
+        checked = write_checked(unchecked, TELEMETRY_RULES, f"{out}/silver-{run_number}", ["game_id"])
+        history.add(checked.counts, "silver", run_number)
+    kept, dropped = checked.kept.read().count(), checked.dropped.read().count()
+    return history.read().select(
+        "run", "rule", "action", "passed", "failed", F.lit(kept).alias("kept"), F.lit(dropped).alias("dropped")
+    )
+
+
 @query
 def silver_from_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the streaming silver keeps, its rules included; two samples of a second have equal measurements."""
@@ -662,6 +681,14 @@ def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(model, features, keys=["vec_id"])
 
 
+@query
+def forest_table_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of a forest that is a table of nodes, on real features; its chances are eighths, so their sums are exact."""
+    nodes = spark.createDataFrame(forest.NODES, NODES)
+    features = array_features(table(spark, sf_dir, "embeddings"), {"vec": "embedding"})
+    return predict_by_table(nodes, features, ["max_vec", "min_vec"], ["vec_id"], forest.DEPTH)
+
+
 # --- layout and statistics -----------------------------------------------------------------------
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Column of the rules a row breaks, a bit for each.
+BROKEN = "_broken"
+
+
 @dataclass(frozen=True)
 class Rule:
     """``predicate`` is SQL over the checked table. A NULL result counts as broken."""
@@ -35,7 +39,22 @@ class Expectations:
     def metrics(self, df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         """Passed and failed rows per rule (and per ``by`` group), in one pass over ``df``."""
         counts = [F.count_if(rule.holds()).alias(f"_pass_{i}") for i, rule in enumerate(self.rules)]
-        totals = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *counts)
+        return self._listed(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *counts), by)
+
+    def flagged(self, df: DataFrame, kept: str) -> DataFrame:
+        """``df`` with the bits of the rules a row breaks, and whether (column ``kept``) it breaks no dropping one."""
+        bits = [F.when(rule.holds(), F.lit(0)).otherwise(F.lit(1 << i)).cast("bigint") for i, rule in enumerate(self.rules)]
+        dropping = sum(1 << i for i, rule in enumerate(self.rules) if rule.drop)
+        flags = df.withColumn(BROKEN, sum(bits, F.lit(0).cast("bigint")))
+        return flags.withColumn(kept, F.col(BROKEN).bitwiseAND(F.lit(dropping)) == 0)
+
+    def counted(self, flags: DataFrame) -> DataFrame:
+        """The same as ``metrics``, from the bits that ``flagged`` gave."""
+        holds = [F.col(BROKEN).bitwiseAND(F.lit(1 << i)) == 0 for i in range(len(self.rules))]
+        counts = [F.count_if(h).alias(f"_pass_{i}") for i, h in enumerate(holds)]
+        return self._listed(flags.agg(F.count(F.lit(1)).alias("_rows"), *counts), ())
+
+    def _listed(self, totals: DataFrame, by: Sequence[str]) -> DataFrame:
         entries = F.array(
             *[
                 F.struct(

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from gridpulse.plans.gold import play_histories, play_trajectory, player_features, player_histories
 from gridpulse.plans.incremental import IncrementalGold
+from gridpulse.plans.rule_history import RuleHistory, write_checked
 from gridpulse.plans.rules import TELEMETRY_RULES
 from gridpulse.plans.silver import (
     KAFKA_COLUMNS,
     late_of_marked,
     marked_stream,
-    silver_batch,
     silver_of_marked,
     silver_stream,
     unchecked_silver_batch,
@@ -39,6 +39,7 @@ class PipelineRun:
     silver_run: StreamRun | None
     gold_run: StreamRun | None = None
     late: Layer | None = None
+    rules: RuleHistory | None = None
 
 
 def run(
@@ -65,7 +66,8 @@ def run(
     ``plans.incremental``), which needs a streaming silver. A generation keeps to one of the two.
     ``late="keep"`` puts rows behind the watermark into a table of their own (``late``), by way of a table of
     marked rows; ``"drop"`` only counts them. Either is for a streaming silver, and a generation keeps to it.
-    With ``database`` every table also gets a name there, a comment and its ``quality``.
+    Rows that break silver's rules are counted by the write, in ``rules``, run by run; a batch silver keeps them
+    beside the others. With ``database`` every table also gets a name there, a comment and its ``quality``.
     ``full_refresh`` starts over with new tables and checkpoints; the old ones stay where they are.
     """
     if silver not in ("stream", "batch"):
@@ -79,7 +81,7 @@ def run(
     bronze_layer = Layer(spark, path=f"{base}/bronze", schema=bronze_stream.schema)
     bronze_run = write_stream(bronze_stream, bronze_layer.path, f"{base}/checkpoints/bronze")
 
-    silver_path, late_layer = f"{base}/silver", None
+    silver_path, late_layer, rules = f"{base}/silver", None, RuleHistory(spark, f"{base}/rule_history")
     if silver == "stream":
         arrived = bronze_layer.read_stream(max_files_per_trigger)
         if late == "keep":
@@ -89,12 +91,15 @@ def run(
         else:
             cleaned = silver_stream(arrived, drop, precision, spread_by=spread_by)
         silver_run = write_stream(cleaned, silver_path, f"{base}/checkpoints/silver", partition_by=partition_by)
+        if "rows" in silver_run.observed.get("silver_rules", {}):
+            rules.add_observed(silver_run.observed["silver_rules"], TELEMETRY_RULES, "silver", rules.next_run())
+        silver_layer = Layer(spark, path=silver_path, schema=cleaned.schema)
     else:
         bronze = bronze_layer.read()
-        cleaned = silver_batch(bronze, drop, precision, order_by=arrival_order(bronze))
-        write_table(cleaned, path=silver_path, partition_by=partition_by)
-        silver_run = None
-    silver_layer = Layer(spark, path=silver_path, schema=cleaned.schema)
+        unchecked = unchecked_silver_batch(bronze, drop, precision, order_by=arrival_order(bronze))
+        checked = write_checked(unchecked, TELEMETRY_RULES, silver_path, partition_by)
+        rules.add(checked.counts, "silver", rules.next_run())
+        silver_run, silver_layer = None, checked.kept
 
     if gold == "incremental":
         kept = IncrementalGold(spark, base)
@@ -107,7 +112,7 @@ def run(
             quality = {"bronze": "bronze", "silver": "silver", "late": "silver"}.get(name, "gold")
             comment = f"{COMMENTS[name]}, generation {base.rsplit('-', 1)[1]}"
             register_table(spark, f"{database}.{name}", layer.path, comment, {"quality": quality})
-    return PipelineRun(bronze_layer, silver_layer, bronze_run=bronze_run, silver_run=silver_run, gold_run=gold_run, late=late_layer, **tables)
+    return PipelineRun(bronze_layer, silver_layer, bronze_run=bronze_run, silver_run=silver_run, gold_run=gold_run, late=late_layer, rules=rules, **tables)
 
 
 def _written(spark: SparkSession, stream: DataFrame, base: str, name: str, partition_by: Sequence[str] = ()) -> Layer:

@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from gridpulse.operators import Expectations, Rule
 from gridpulse.plans import rules
+from gridpulse.plans.rule_history import RuleHistory, write_checked
+from gridpulse.session import new_folder
 
 # rule -> (columns, values that satisfy it, values that break it)
 CASES = {
@@ -53,3 +55,21 @@ def test_metrics_per_group_and_of_nothing(spark):
     assert found == {(0, "low"): (5, 5), (1, "low"): (5, 5), (0, "even"): (10, 0), (1, "even"): (0, 10)}
     empty = checks.metrics(df.where("v < 0")).collect()
     assert [(r.passed, r.failed) for r in empty] == [(0, 0), (0, 0)]
+
+
+def test_rules_counted_by_the_write(spark):
+    """Kept and dropped rows in folders of their own, counts as ``metrics`` has them, run by run."""
+    checks = Expectations((Rule("small", "v < 10", drop=True), Rule("even", "v % 2 = 0"), Rule("known", "g IS NOT NULL", drop=True)))
+    df = spark.range(20).select(F.col("id").alias("v"), F.when(F.col("id") % 5 > 0, F.lit("a")).alias("g"))
+    history = RuleHistory(spark, new_folder(spark, "history"))
+    for run, rows in enumerate((df, df.where("v < 3"), df.where("v < 0")), start=1):
+        assert history.next_run() == run
+        checked = write_checked(rows, checks, new_folder(spark, "checked"), ["g"])
+        history.add(checked.counts, "t", run)
+        assert sorted(checked.kept.read().select("v").collect()) == sorted(checks.keep(rows).select("v").collect())
+        assert checked.kept.read().count() + checked.dropped.read().count() == rows.count()
+        expected = {(r.rule, r.action, r.passed, r.failed) for r in checks.metrics(rows).collect()}
+        assert {(r.rule, r.action, r.passed, r.failed) for r in history.read().where(f"run = {run}").collect()} == expected
+    history.add_observed({"rows": 7, "small": 2, "even": 0, "known": 1}, checks, "t", 2)
+    again = {r.rule: (r.passed, r.failed) for r in history.read().where("run = 2").collect()}
+    assert again == {"small": (5, 2), "even": (7, 0), "known": (6, 1)} and history.read().count() == 9

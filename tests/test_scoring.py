@@ -2,6 +2,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from gridpulse.plans.forest_table import NODES, forest_nodes, predict_by_table
 from gridpulse.plans.scoring import (
     PlayScorer,
     array_features,
@@ -11,6 +12,7 @@ from gridpulse.plans.scoring import (
     random_labels,
     train,
 )
+from gridpulse.session import new_folder
 
 TRAJECTORY = (
     "game_id STRING, play_id STRING, telemetry_history_array "
@@ -70,6 +72,32 @@ def test_forest_learns_a_label_and_scores(spark, plays, tmp_path):
     assert {r.play_id: r.ml_win_probability_pct for r in again.collect()} == {k: r.ml_win_probability_pct for k, r in rows.items()}
 
 
+def test_forest_as_a_table_scores_the_same(spark):
+    """On inputs of many values, so that trees differ; rows with NaN or NULL are skipped by either."""
+    data = spark.range(400).select(
+        F.col("id").alias("play_id"), F.lit("g").alias("game_id"),
+        ((F.col("id") * 37) % 101 / 7).alias("a"), ((F.col("id") * 61) % 89 / 3).alias("b"), ((F.col("id") * 13) % 29 - 5.5).alias("c"),
+    ).withColumn("won", ((F.col("a") + F.col("b") + F.col("play_id") % 7) > 20).cast("int"))
+    model = train(data, ["a", "b", "c"], "won", seed=9)
+    nodes = forest_nodes(spark, model, new_folder(spark, "forest"))
+    assert nodes.columns == [c.split()[0] for c in NODES.split(", ")] and nodes.select("tree").distinct().count() == 100
+    odd = spark.createDataFrame([(1000, "g", None, 1.0, 1.0, 1), (1001, "g", float("nan"), 1.0, 1.0, 1), (1002, "g", 1e300, -1e300, 0.0, 1)], data.schema)
+    asked = data.unionByName(odd)
+    by_model = {r.play_id: (r.ml_win_probability_pct, r.estrategia) for r in predict(model, asked).collect()}
+    by_table = {r.play_id: (r.ml_win_probability_pct, r.estrategia) for r in predict_by_table(nodes, asked, ["a", "b", "c"]).collect()}
+    assert by_table.keys() == by_model.keys() == {*range(400), 1002}
+    assert len({p for p, _ in by_model.values()}) > 50
+    assert all(by_table[k][0] == pytest.approx(by_model[k][0], abs=0.011) for k in by_model)
+
+
+def test_scorer_refuses_a_part_of_a_play(spark, plays):
+    scorer = PlayScorer(spark, "nowhere")
+    whole = plays.withColumn("history_parts", F.lit(1))
+    assert scorer.build_features(whole).count() == 60
+    with pytest.raises(ValueError):
+        scorer.build_features(plays.withColumn("history_parts", F.when(F.col("play_id") == "p3", 2).otherwise(1)))
+
+
 def test_scorer_trains_on_first_use(spark, plays):
     plays.createOrReplaceTempView("plays_to_score")
     scorer = PlayScorer(spark, "plays_to_score", seed=1)
