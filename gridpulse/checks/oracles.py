@@ -354,6 +354,15 @@ ORACLES: dict[str, str] = {
                min(floor(acceleration_m_s2 * 4) / 4) AS min_acc
         FROM ({_SILVER}) GROUP BY game_id, play_id
     """,
+    "feature_table": f"""
+        SELECT game_id, play_id, avg(speed_mph) AS mean_vel, max(speed_mph) AS max_vel, min(speed_mph) AS min_vel,
+               avg(floor(acceleration_m_s2 * 4) / 4) AS mean_acc, max(floor(acceleration_m_s2 * 4) / 4) AS max_acc,
+               min(floor(acceleration_m_s2 * 4) / 4) AS min_acc
+        FROM ({_SILVER}) GROUP BY game_id, play_id
+    """,
+    "random_label_shares": """
+        SELECT count(*) AS n_rows, count(*) AS n_labelled, true AS near_half, true AS same_again FROM events
+    """,
     "single_row_balance": """
         WITH w AS (SELECT count(*) AS n, max(value) AS max_value FROM events)
         SELECT n, max_value, 0 AS label FROM w UNION ALL SELECT n, max_value, 1 FROM w

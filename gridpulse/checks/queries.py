@@ -34,7 +34,7 @@ from gridpulse.plans.pipeline import PipelineRun, run
 from gridpulse.plans.reports import matchup_report
 from gridpulse.plans.rule_history import RuleHistory, write_checked
 from gridpulse.plans.rules import TELEMETRY_RULES
-from gridpulse.plans.scoring import array_features, balance_single_row, play_features, predict, train
+from gridpulse.plans.scoring import PlayScorer, array_features, balance_single_row, play_features, predict, random_labels, train
 from gridpulse.plans.separation import separation_fact
 from gridpulse.plans.silver import clean_metrics, silver_batch, silver_stream, unchecked_silver_batch
 from gridpulse.session import new_folder
@@ -663,6 +663,35 @@ def play_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.select("game_id", "play_id", "mean_vel", "max_vel", "min_vel", "mean_acc", "max_acc", "min_acc")
 
 
+@query
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same features as the scorer makes them from the catalog's feature table."""
+    folder = new_folder(spark, "catalog")
+    name = "features_" + folder.rsplit("-", 1)[1]
+    silver = silver_events(spark, sf_dir).withColumn("acceleration_m_s2", F.floor(F.col("acceleration_m_s2") * 4) / 4)
+    write_table(play_trajectory(silver, stamp=False), name=name, path=folder, comment="plays", properties={"quality": "gold"})
+    scorer = PlayScorer(spark, name)
+    features = scorer.build_features(scorer.get_data())
+    features = features.select("game_id", "play_id", "mean_vel", "max_vel", "min_vel", "mean_acc", "max_acc", "min_acc")
+    kept = Layer(spark, path=stored_rows(spark, features), schema=features.schema)
+    spark.sql(f"DROP TABLE {name}")
+    return kept.read()
+
+
+@query
+def random_label_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is certain of labels by chance: every row has one, about half of them 1, and the seed decides which."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    labelled = random_labels(events, seed=5)
+    again = random_labels(events, seed=5)
+    shares = labelled.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("label").isin(0, 1)).alias("n_labelled"),
+        (F.abs(F.avg("label") - 0.5) < 0.1).alias("near_half"),
+    )
+    return shares.withColumn("same_again", F.lit(labelled.exceptAll(again).isEmpty()))
+
+
 @query
 def single_row_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as one training row."""
