@@ -33,6 +33,9 @@ PLACES = "d long, o long, first int, last int"
 PLACE = ("<i8", "<i8", "<i4", "u1")  # document, row of it, first window, windows after it
 PHRASE_BYTES = 2 * MATCH  # more than any phrase has
 LEAD = 128  # added to the length of a place that only tells its trigger is shared
+FLUSH = 50_000  # phrases a task holds before it sends them on
+WINDOWS_OF = 4_000  # dictionary entries whose suffixes are sorted together, more where one trigger has more
+BUCKET_PHRASES = 50_000  # places of shared phrases a bucket has on average, at most
 KEY_BITS = 48  # of a trigger's hash; more triggers that seem shared cost time, not exactness
 
 
@@ -58,6 +61,13 @@ def _packets(rows: list[tuple[int, int, bool, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=PACKET_SCHEMA)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches a few rows at a time, so that no task holds many texts unpacked."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _answers(bucket: int, buckets: int, place: list[np.ndarray]) -> list[tuple[int, int, bool, bytes]]:
     """Places already decided, as packets that only pass through; dealt over the buckets from ``bucket`` on."""
     cuts = range(0, len(place[0]), 4096)
@@ -97,7 +107,7 @@ def shared_triggers(docs: DataFrame, buckets: int) -> DataFrame:
     """Places (d, o, first, last) of the phrases that can hold a string of another document."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 2_000):
             ids, rows = batch.column("d").to_numpy(), batch.column("o").to_numpy()
             for found in phrases(batch.column("t").to_pylist()):
                 key = found["hash"] >> np.uint64(64 - KEY_BITS)
@@ -125,7 +135,7 @@ def shared_triggers(docs: DataFrame, buckets: int) -> DataFrame:
 
     def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = []
-        for batch in batches:
+        for batch in _slices(batches, 1):
             for r in batch.to_pylist():
                 arrays, _ = _unpacked(r["data"], r["n"], (("<u8", "u1", "u1", *PLACE) if r["keyed"] else PLACE))
                 if r["keyed"]:
@@ -216,7 +226,7 @@ def removals(docs: DataFrame, buckets: int) -> DataFrame:
                     rows = _phrase_rows(text, first[part], length[part])
                     held.append((np.full(n, ids[i]), np.full(n, numbers[i]), first[part], length[part], rows))
                     size += n
-                    if size >= 200_000:
+                    if size >= FLUSH:
                         yield packets(held)
                         held, size = [], 0
             if held:
@@ -243,7 +253,7 @@ def removals(docs: DataFrame, buckets: int) -> DataFrame:
 
     def settle(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        for batch in batches:
+        for batch in _slices(batches, 1):
             for r in batch.to_pylist():
                 arrays, letters = _unpacked(r["data"], r["n"], (("<u8", *PLACE) if r["keyed"] else PLACE))
                 if r["keyed"]:
@@ -276,7 +286,7 @@ def removals(docs: DataFrame, buckets: int) -> DataFrame:
         bounds = np.searchsorted(of[members], np.arange(len(entry) + 1))
         a = 0
         while a < len(open_):
-            b = int(ends[min(np.searchsorted(ends, a + 20_000), len(ends) - 1)])
+            b = int(ends[min(np.searchsorted(ends, a + WINDOWS_OF), len(ends) - 1)])
             part = open_[a:b]
             row, window = _first_windows(rows[entry[part]], length[entry[part]], least[part])
             # To every place of the phrase in its first document.
@@ -321,7 +331,7 @@ def _compressed(rows: DataFrame) -> DataFrame:
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in _slices(batches):
             z = pa.array([press.compress(t) for t in batch.column("t").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("d"), batch.column("o"), z], names=["d", "o", "z"])
 
@@ -343,12 +353,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     rows = every.dropDuplicates(["d", "rid"]) if repeated else every
     rows = rows.select("d", (F.col("rid") if repeated else F.lit(0).cast("long")).alias("o"), F.col("t").cast("binary").alias("t"))
     shared = stored(shared_triggers(rows, buckets), "shared-triggers")
-    dealt = _compressed(rows)  # both joins below take their texts from this one exchange
-    gone = removals(_joined(dealt, shared, "inner"), buckets)
+    dealt = _compressed(rows)
+    gone = removals(_joined(dealt, shared, "inner"), max(buckets, shared.count() // BUCKET_PHRASES))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in _slices(batches):
             out: list[list] = [[], [], [], [], []]
             for i in range(batch.num_rows):
                 text, places = expand.decompress(batch.column("z")[i].as_py()), batch.column("places")[i]
