@@ -485,7 +485,7 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     for arrived in (first, ~first):
         events.where(arrived).write.mode("append").parquet(folder)
         stream = bronze_from_records(spark.readStream.schema(events.schema).parquet(folder))
-        result = run(spark, stream, out, gold="incremental", late="keep")
+        result = run(spark, stream, out, late="keep")
     columns = ["game_id", "play_id", "player_id", "speed_mph", "heart_rate_bpm", seconds().alias("epoch_s")]
     kept = result.silver.read().select(*columns, F.lit(False).alias("is_late"))
     return kept.unionByName(result.late.read().select(*columns, F.lit(True).alias("is_late")))
