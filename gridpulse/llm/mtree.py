@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import stored
@@ -61,8 +61,8 @@ def _bytes(*arrays: np.ndarray) -> list[bytes]:
     return [np.ascontiguousarray(x).tobytes() for x in arrays]
 
 
-def build(rows: DataFrame, pivots: np.ndarray, m: float) -> DataFrame:
-    """The tree below the root: a row for each subtree, with its pages in packed arrays."""
+def build(rows: DataFrame, pivots: np.ndarray, m: float) -> tuple[DataFrame, list[int]]:
+    """The tree below the root: a row for each subtree, with its pages in packed arrays. And each pivot's subtrees."""
     width = pivots.shape[1]
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(_lifted(pivots, m))
@@ -76,10 +76,10 @@ def build(rows: DataFrame, pivots: np.ndarray, m: float) -> DataFrame:
 
     assigned = stored(rows.mapInArrow(assign, "vec_id long, v array<double>, pivot int"), "mtree-rows")
     sizes = {r["pivot"]: -(-r["count"] // SUBTREE) for r in assigned.groupBy("pivot").count().collect()}
-    parts = F.get(F.array(*[F.lit(sizes.get(p, 1)) for p in range(len(pivots))]), F.col("pivot"))
+    parts = [sizes.get(p, 1) for p in range(len(pivots))]
 
     def pages(table: pa.Table) -> pa.Table:
-        pivot, x = table["pivot"][0].as_py(), _matrix(table["v"], width)
+        pivot, part, x = table["pivot"][0].as_py(), table["part"][0].as_py(), _matrix(table["v"], width)
         ids, up = table["vec_id"].to_numpy(), _lifted(x, m)
         to_pivot = _distances(up, shared.value[pivot : pivot + 1])[:, 0]
         order = np.lexsort((ids, to_pivot))
@@ -93,12 +93,17 @@ def build(rows: DataFrame, pivots: np.ndarray, m: float) -> DataFrame:
             routers.append(router)
             radii.append(to_router[s : s + PAGE].max())
         packed = _bytes(ids, x, to_router, np.array(routers), np.array(radii), to_pivot[np.array(routers)])
-        row = {"pivot": [pivot], "radius": [to_pivot.max()]} | {n: [b] for n, b in zip(FIELDS, packed, strict=True)}
-        return pa.table(row, schema=pa.schema([("pivot", pa.int32()), ("radius", pa.float64())] + [(n, pa.binary()) for n in FIELDS]))
+        row = {"pivot": [pivot], "part": [part], "radius": [to_pivot.max()]} | {n: [b] for n, b in zip(FIELDS, packed, strict=True)}
+        kinds = [("pivot", pa.int32()), ("part", pa.int64()), ("radius", pa.float64())] + [(n, pa.binary()) for n in FIELDS]
+        return pa.table(row, schema=pa.schema(kinds))
 
-    salted = assigned.withColumn("part", F.pmod(F.xxhash64("vec_id"), parts.cast("long")))
-    schema = "pivot int, radius double, " + ", ".join(f"{n} binary" for n in FIELDS)
-    return stored(salted.groupBy("pivot", "part").applyInArrow(pages, schema), "mtree")
+    salted = assigned.withColumn("part", F.pmod(F.xxhash64("vec_id"), _of_pivot(parts, "pivot")))
+    schema = "pivot int, part long, radius double, " + ", ".join(f"{n} binary" for n in FIELDS)
+    return stored(salted.groupBy("pivot", "part").applyInArrow(pages, schema), "mtree"), parts
+
+
+def _of_pivot(values: list[int], pivot: str) -> Column:
+    return F.get(F.array(*[F.lit(v).cast("long") for v in values]), F.col(pivot))
 
 
 FIELDS = ("ids", "x", "to_router", "routers", "radii", "to_pivot")
@@ -165,7 +170,7 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = SCALE) -
     for i, r in enumerate(sample):
         pivots[i, : len(r["v"])] = r["v"]
     sample_ids = np.array([r["vec_id"] for r in sample])
-    tree = build(rows, pivots, m)
+    tree, parts = build(rows, pivots, m)
     radii = np.full(len(pivots), -1.0)
     for r in tree.groupBy("pivot").agg(F.max("radius").alias("radius")).collect():
         radii[r["pivot"]] = r["radius"]
@@ -214,7 +219,10 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = SCALE) -
 
     def found(asked: DataFrame, first: bool) -> DataFrame:
         sent = asked.mapInArrow(visits(first), "at int, own binary, q binary, beat binary, d binary")
-        met = sent.join(tree.drop("radius"), F.col("at") == F.col("pivot")).drop("at", "pivot")
+        # A pivot's subtrees are searched in as many tasks as there are.
+        sent = sent.withColumn("in", F.explode(F.sequence(F.lit(0).cast("long"), _of_pivot(parts, "at") - 1)))
+        here = (F.col("at") == F.col("pivot")) & (F.col("in") == F.col("part"))
+        met = sent.join(tree.drop("radius"), here).drop("at", "pivot", "in", "part")
         return met.mapInArrow(look, "query_id long, vec_id long, score long")
 
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
