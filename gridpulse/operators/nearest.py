@@ -13,8 +13,9 @@ from gridpulse.functions.numbers import planar_distance
 from gridpulse.operators.groups import BROADCAST_ROWS, Blocks, LargeGroups, ordered_blocks
 from gridpulse.session import cut_lineage
 
-# A group with at most this many rows on either side is matched row against array.
-SMALL_GROUP = 4096
+# A group with at most this many rows on either side is matched row against array: work per left row that grows with the
+# group, so larger groups go to the block search, whose work per row hardly does.
+SMALL_GROUP = 128
 # Positions in one leaf block, and children of one node, of the search over large groups.
 LEAF_SIZE = 16
 FANOUT_BITS = 2

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
-from gridpulse.operators.nearest import _arrays, nearest_per_group
+from gridpulse.operators.nearest import SMALL_GROUP, _arrays, _large_groups, nearest_per_group
 
 SCHEMA = "g STRING, t INT, id STRING, x DOUBLE, y DOUBLE"
 
@@ -120,3 +120,11 @@ def test_groups_without_left_rows_are_not_gathered(spark):
     assert [(r.g, r.n) for r in arrays.select("g", F.size("_others").alias("n")).collect()] == [("a", 3)]
     found = nearest_per_group(left, right, ["g"], ["g", "id"], "rid", x="x", y="y").collect()
     assert [(r.g, r.id, r.rid) for r in found] == [("a", 1, 0)]
+
+
+def test_groups_of_hundreds_are_not_matched_pair_by_pair(spark):
+    rng = random.Random(7)
+    lefts, rights = points(rng, 400, "l"), points(rng, 400, "r")
+    sides = [spark.createDataFrame(rows, SCHEMA).select("g", "t") for rows in (lefts, rights)]
+    assert [(r.g, r.t) for r in _large_groups(*sides, ["g", "t"], SMALL_GROUP).frame.collect()] == [("g0", 0)]
+    assert search(spark, lefts, rights) == brute_force(lefts, rights, (0, 1))
