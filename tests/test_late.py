@@ -8,7 +8,7 @@ from gridpulse.plans.pipeline import run
 from gridpulse.session import new_folder
 from gridpulse.streaming import write_stream
 from gridpulse.streaming.dedup import dedup_stream
-from gridpulse.streaming.late import mark_late
+from gridpulse.streaming.late import FirstOrLate, mark_late
 from test_pipeline import arrive, bronze
 
 ROWS = "player STRING, timestamp TIMESTAMP, speed DOUBLE"
@@ -63,3 +63,27 @@ def test_pipeline_with_late_table(spark):
     assert [(r.player_id, r.topic, r.set_aside_at is not None) for r in late] == [("a", "t", True)]
     with pytest.raises(ValueError):
         run(spark, bronze(spark, folder), out, silver="batch", late="keep")
+
+
+class Piece:
+    """A piece of state that counts what is written to it, and the handle that gives it out."""
+
+    value, updates = None, 0
+    getValueState = lambda self, *_: self  # noqa: E731, N815
+    registerTimer = getCurrentWatermarkInMs = lambda self, *_: 100  # noqa: E731, N815
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+
+    def update(self, value):
+        self.value, self.updates = value, self.updates + 1
+
+
+def test_many_keys_share_a_piece_of_state():
+    piece, processor = Piece(), FirstOrLate(["player"])
+    processor.init(piece)
+    rows = [{"player": f"p{i % 500}", "_others": f"p{i % 500}", "_at": 101 + i % 2} for i in range(1000)]
+    passed = list(processor.handleInputRows((0, 0), iter(rows), piece))
+    assert len(passed) == 500 and not any(r.late for r in passed) and piece.updates == 1
+    assert list(processor.handleInputRows((0, 0), iter(rows), piece)) == [] and piece.updates == 1
+    late = {"player": "p1", "_others": "p1", "_at": 100}
+    assert [r.late for r in processor.handleInputRows((0, 0), iter([late, late]), piece)] == [True, True]
