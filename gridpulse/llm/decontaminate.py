@@ -1,15 +1,15 @@
 """Benchmark passages found in documents, also paraphrased: latent semantic retrieval, then checks word by word.
 
 The benchmark is the query set. Its words are the vocabulary; how many documents hold each is counted over the whole
-corpus. A randomised SVD of TF-IDF passages (those of the benchmark and as many sampled from the corpus) gives every word
-a latent vector, so a window of any length is a difference of two running sums. Windows whose cosine to a benchmark
+corpus. A randomised SVD of TF-IDF passages (those of the benchmark and all windows of the corpus, which together weigh as
+much) gives every word a latent vector, so a window of any length is a difference of two running sums. Windows whose cosine to a benchmark
 passage of about their length is high are candidates, unless too few of the passage's rarer words stand around them to
 pass the check that follows. Postings of those words tell which passages that leaves, for stretches of a text, so the
 bound loses nothing and the latent sums are taken for few. A candidate counts if enough of the item's words stand around
 it in the item's order (longest common subsequence), or fewer but also those of its answer, the item's last sentence.
 
 Tasks hold the benchmark, in blocks of ``BLOCK_WORDS`` words however large it is. Documents are split into words once for
-each block and stored as numbers; texts stay where they are but for those of about ``SAMPLE_DOCS`` that join the SVD.
+each block and stored as numbers, which the SVD and the search read.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ from gridpulse.llm.common import stored, texts
 
 RANK, EXTRA, POWER_STEPS, SEED = 64, 8, 2, 11
 BLOCK_WORDS = 1_000_000  # words of the benchmark searched in one scan of the documents
-SAMPLE_DOCS = 1_000  # documents, about, whose windows join the SVD, as many windows as the benchmark has passages
 LENGTHS = (5, 8, 12, 18, 27, 40, 60, 90)  # words of a window; items of over 1.5 times the last have several passages
 MIN_COSINE = 0.6
 COPY, PARAPHRASE, ANSWER = 0.75, 0.6, 0.8  # share of the item's words; with answer; share of the answer's words
@@ -96,11 +95,25 @@ def passages_of(n_words: int) -> list[tuple[int, int]]:
     return [(s, min(n_words, s + LENGTHS[-1])) for s in starts]
 
 
-def _vectors(numbers: np.ndarray, weights: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """A passage's TF-IDF vector of unit length: words and values."""
-    words, tf = np.unique(numbers[numbers >= 0], return_counts=True)
-    x = tf * weights[words]
-    return words, x / max(np.linalg.norm(x), 1e-12)
+def _products(texts: list[np.ndarray], window: int, idf: np.ndarray, thin: np.ndarray, total: np.ndarray) -> None:
+    """Adds to ``total`` what the windows of ``texts`` give: the sum, over their TF-IDF vectors x of unit length, of
+    x times (x times ``thin``). Windows of ``window`` words follow each other; a text's last one may be shorter."""
+    size, lengths = len(idf), np.array([len(t) for t in texts])
+    of = np.repeat(np.cumsum(-(-lengths // window)) - -(-lengths // window), lengths)
+    of = of + (np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)) // window
+    words = np.concatenate(texts).astype(np.int64)
+    key, tf = np.unique(of[words >= 0] * size + words[words >= 0], return_counts=True)
+    if not len(key):
+        return
+    word, x = key % size, tf * idf[key % size]
+    first = np.flatnonzero(np.diff(key // size, prepend=-1))  # of each window; those without known words give nothing
+    here = np.repeat(np.arange(len(first)), np.diff(first, append=len(key)))
+    x = x / np.maximum(np.sqrt(np.add.reduceat(x * x, first)), 1e-12)[here]
+    x = x.astype(np.float32)[:, None]
+    y = np.add.reduceat(thin[word] * x, first, axis=0)
+    order = np.argsort(word, kind="stable")
+    starts = np.flatnonzero(np.diff(word[order], prepend=-1))
+    total[word[order][starts]] += np.add.reduceat((y[here] * x)[order], starts, axis=0)
 
 
 def numbered(rows: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
@@ -151,36 +164,41 @@ def word_weights(numbers: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray,
     return idf, n[1, :-1] / max(n[1, -1], 1), int(n[0, -1])
 
 
-def latent_words(passages: DataFrame, vocabulary: dict[bytes, int], weights: np.ndarray) -> np.ndarray:
+def latent_words(numbers: DataFrame, window: int, passages: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
     """A vector for each word, such that a passage's latent vector is the sum over its words.
 
-    The right singular vectors of the TF-IDF matrix, times the weights. Each step multiplies a thin matrix by the
-    passages in parallel; the driver orthogonalises what has a row for each vocabulary word.
+    The right singular vectors of the TF-IDF matrix, times the weights. Its rows are the benchmark's ``passages`` and every
+    window of ``window`` words of the texts in ``numbers``; the windows count so much less that all of them weigh as much
+    as the passages. Each step multiplies a thin matrix by the rows in parallel; the driver adds the benchmark's own and
+    orthogonalises what has a row for each vocabulary word.
     """
-    spark, size = passages.sparkSession, len(vocabulary)
-    width = min(RANK + EXTRA, size)
+    spark, size = numbers.sparkSession, len(weights)
+    kind, width = _number_type(size), min(RANK + EXTRA, size)
+    n_windows = numbers.agg(F.sum(F.ceil(F.octet_length("w") / F.lit(np.dtype(kind).itemsize * window)))).first()[0] or 1
 
     def times(thin: np.ndarray) -> np.ndarray:
-        shared = spark.sparkContext.broadcast((vocabulary, weights, thin.astype(np.float32)))
+        shared = spark.sparkContext.broadcast((weights, thin.astype(np.float32)))
 
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words, idf, q = shared.value
-            numbers, total = Numbers(words), {}
+            idf, q = shared.value
+            total = np.zeros(q.shape)
             for batch in batches:
-                for text in batch.column("t"):
-                    at, x = _vectors(numbers.of(text.as_py()), idf, size)
-                    if len(at):
-                        y = x @ q[at]
-                        for w, v in zip(at.tolist(), x.tolist(), strict=True):
-                            total[w] = total[w] + v * y if w in total else v * y
-            rows = pa.array([v.astype(float).tolist() for v in total.values()], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), rows], names=["word", "v"])
-
-        rows = passages.select("t").mapInArrow(multiply, "word int, v array<double>")
+                for _, held in _together(batch, kind):
+                    _products(held, window, idf, q, total)
+            at = np.flatnonzero(total.any(axis=1))
+            for start in range(0, len(at), CHUNK):
+                some = at[start : start + CHUNK]
+                rows = pa.array(total[some].tolist(), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), rows], names=["word", "v"])
+
+        rows = numbers.select("w").mapInArrow(multiply, "word int, v array<double>")
         sums = rows.groupBy("word").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).toArrow()
         out = np.zeros((size, thin.shape[1]))
         if sums.num_rows:
             out[sums["word"].to_numpy()] = np.array(sums["v"].to_pylist())
+        out *= min(1.0, len(passages) / n_windows)
+        for p in passages:
+            _products([p], max(len(p), 1), weights, shared.value[1], out)
         shared.unpersist()
         return out
 
@@ -406,19 +424,12 @@ def _leaks_of_block(rows: DataFrame, block: list[tuple[int, bytes]], schema: str
         for w in words_of(text):
             vocabulary.setdefault(w, len(vocabulary))
     texts_as_numbers = numbered(rows, vocabulary)
-    weights, often, n_docs = word_weights(texts_as_numbers, len(vocabulary))
-    own = [b" ".join(words_of(t)[a:z]) for _, t in block for a, z in passages_of(len(words_of(t)))]
-    window = max(5, sum(len(p.split()) for p in own) // len(own))
-    share = max(1, n_docs // SAMPLE_DOCS)
-    sample = rows.filter(F.pmod(F.xxhash64("d", "rid"), F.lit(share)) == 0).select("t")
-    cut = F.split(F.lower(F.col("t").cast("string")), r"[\x20\x09-\x0D]+")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(cut) - window + 1, F.lit(1)), F.lit(window))
-    cuts = sample.select(F.explode(F.transform(starts, lambda i: F.array_join(F.slice(cut, i, window), " "))).alias("t"))
-    cuts = cuts.orderBy(F.xxhash64("t"), "t").limit(len(own)).select(F.col("t").cast("binary").alias("t"))
-    passages = spark.createDataFrame([(p,) for p in own], "t binary").unionByName(cuts)
-    latent = latent_words(stored(passages, "benchmark-passages"), vocabulary, weights)
+    weights, often, _ = word_weights(texts_as_numbers, len(vocabulary))
     numbers = Numbers(vocabulary)
     items = [(i, numbers.of(t), numbers.of(answer_of(t))) for i, t in block]
+    own = [words[a:z] for _, words, _ in items for a, z in passages_of(len(words))]
+    window = max(5, sum(map(len, own)) // len(own))
+    latent = latent_words(texts_as_numbers, window, own, weights)
     index = prepared(items, latent, often)
     packed = {**vars(index), "groups": {n: vars(g) for n, g in index.groups.items()}}
     shared = spark.sparkContext.broadcast((items, packed, np.vstack([latent, np.zeros_like(latent[:1])])))

@@ -134,3 +134,22 @@ def test_blocks_of_a_large_benchmark(monkeypatch, documents, texts_of, benchmark
     monkeypatch.setattr(op, "BLOCK_WORDS", 1500)
     exact = {(d, r.item_id) for r in benchmark.collect() for d, t in texts_of.items() if r.text in t}
     assert {(r.doc_id, r.item_id) for r in op.leaks(documents, benchmark).collect()} >= exact
+
+
+def test_all_windows_of_the_corpus_shape_the_latent_vectors(spark, monkeypatch):
+    monkeypatch.setattr(op, "RANK", 1)
+    rng, window, size = np.random.default_rng(4), 5, 6
+    texts = [rng.integers(-1, size, rng.integers(0, 23)).astype("<i2") for _ in range(2_500)]
+    passages, idf = [np.array([0, 1, 2, 0]), np.array([3, 3])], np.linspace(0.5, 2.0, size)
+    numbers = spark.createDataFrame([(i, i, t.tobytes()) for i, t in enumerate(texts)], "d long, rid long, w binary").repartition(5)
+
+    def gram(windows):
+        rows = [np.bincount(w[w >= 0], minlength=size) * idf for w in windows]
+        unit = np.array([r / max(np.linalg.norm(r), 1e-12) for r in rows])
+        return unit.T @ unit
+
+    windows = [t[a : a + window] for t in texts for a in range(0, len(t), window)]
+    values, vectors = np.linalg.eigh(gram(windows) * len(passages) / len(windows) + gram(passages))
+    found = op.latent_words(numbers, window, passages, idf)
+    assert found.shape == (size, 1)
+    assert np.allclose(np.abs(found[:, 0]), np.abs(vectors[:, -1] * idf), atol=1e-4)
