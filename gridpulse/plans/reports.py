@@ -14,11 +14,13 @@ def matchup_report(
     """The ``top_n`` pairs by mean separation, over plays on ``down``, that met in ``min_plays`` plays.
 
     The instants of a play are combined per pair before the player names are joined, so the joins and
-    the distinct count see one row per pair and play. Equal means are ranked by name.
+    the distinct count see one row per pair and play. They are spread by pair and play before that: groups
+    combined where they were read would be as many in one task as its file has. Equal means are ranked by name.
     """
     chosen = plays.where(F.col("down") == down)
-    instants = star_join(fact, [Dimension(chosen, "play_sk", "play_sk", {})])
-    per_play = instants.groupBy("offensive_player_sk", "defensive_player_sk", "play_sk").agg(
+    one = ["offensive_player_sk", "defensive_player_sk", "play_sk"]
+    instants = star_join(fact, [Dimension(chosen, "play_sk", "play_sk", {})]).select(*one, "separation_yards")
+    per_play = instants.repartition(*one).groupBy(*one).agg(
         F.sum("separation_yards").alias("_sum"),
         F.count("separation_yards").alias("_count"),
         F.max("separation_yards").alias("_max"),

@@ -126,6 +126,14 @@ def test_matchup_report(spark):
     assert matchup_report(*report_inputs(spark), down=4, min_plays=1).first().promedio_separacion_yardas == 90.0
 
 
+def test_report_combines_no_groups_where_it_reads(spark):
+    """The instants are spread by pair and play before the first aggregate, so that a file's groups are not one task's."""
+    plan = matchup_report(*report_inputs(spark))._jdf.queryExecution().sparkPlan().toString()
+    aggregates = [i for i, line in enumerate(plan.splitlines()) if "HashAggregate(" in line]
+    spread = [i for i, line in enumerate(plan.splitlines()) if "REPARTITION_BY_COL" in line]
+    assert spread and aggregates[-1] < spread[0]
+
+
 def test_report_counts_plays_of_namesakes_once(spark):
     facts, players, plays = report_inputs(spark)
     namesakes = players.withColumn("full_name", F.when(F.col("player_sk").startswith("w"), "W").otherwise("C"))
