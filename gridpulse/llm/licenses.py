@@ -1,9 +1,9 @@
 """Licence scans: a trained paragraph classifier, calibrated, whose findings templates confirm.
 
-A multinomial logistic regression over hashed words and word pairs tells licence families from other text. It is trained
-on the templates below, on copies of them with words left out, and on a sample of the corpus' own paragraphs as the
-class without licence. The probability that counts as sure is calibrated on paragraphs the training didn't see. A
-paragraph that looks like a licence but is unsure, or that no template matches, counts as unknown; where a relative of the
+A multinomial logistic regression over the templates' words and word pairs tells licence families from other text. It is
+trained on the templates below, on copies of them with words left out, and on all of the corpus' own paragraphs as the
+class without licence: those that hold the same of these words are one row, weighted by their number. The probability
+that counts as sure is calibrated on all of them too, each judged by a model that was trained without it. A paragraph that looks like a licence but is unsure, or that no template matches, counts as unknown; where a relative of the
 predicted family matches better, it is that one's. Lines are read in windows, and of long ones also the short stretches
 around words of the templates. Stretches that run over several lines are first looked for by the words of the templates;
 the classifier then judges them like any other. Everything runs in Spark's own operators.
@@ -15,7 +15,7 @@ import math
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,9 +92,9 @@ TEMPLATES = {
 }
 FAMILIES = sorted(TEMPLATES)
 
-SLOTS = 1 << 14
-VARIANTS, HELD_OUT = 30, 10  # copies of a template to learn from, and to calibrate with
-NEGATIVES = 8_000  # paragraphs of the corpus in the training
+VARIANTS = 30  # copies of a template to learn from
+NEGATIVES = 4_000  # copies that the corpus' paragraphs weigh as much as, at most
+STEPS = 10_000  # of the probability that counts as sure
 MIN_COVER, MIN_SHARE = 0.6, 0.5  # of a template's words in the paragraph; of the paragraph's words in the template
 FALSE_ALARMS = 0.001  # paragraphs without licence that may look sure
 LINE_ENDS = r"\r\n|\r|\n"
@@ -134,27 +134,75 @@ def _stretches(short: int) -> tuple[Column, Column]:
 
 
 def with_stretches(windows: DataFrame, lengths: tuple[int, ...] = SHORT) -> DataFrame:
-    """``windows``, and of longer ones the stretches, overlapping by half, that hold all words of a short template."""
+    """``windows``, marked as ``whole``, and of longer ones the stretches, overlapping by half, that hold all words of a
+    short template."""
     every = F.array("w")
     for possible, cut in map(_stretches, lengths):
         every = F.concat(every, F.when(possible, cut).otherwise(F.array().cast("array<array<string>>")))
-    return windows.select("d", "rid", "p_at", "part", F.explode(every).alias("w"))
+    each = windows.select("d", "rid", "p_at", "part", F.posexplode(every).alias("at", "w"))
+    return each.select("d", "rid", "p_at", "part", (F.col("at") == 0).alias("whole"), "w")
 
 
 def _grams(w: Column) -> Column:
-    """Words and pairs of neighbours."""
-    n = F.size(w)
-    pairs = F.zip_with(F.slice(w, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(w, F.lit(2), n), lambda a, b: F.concat(a, F.lit("_"), b))
-    return F.concat(w, pairs)
+    """Words of the templates and pairs of such neighbours; NULL stands between others."""
+    spoken = sorted({x for f in FAMILIES for t in TEMPLATES[f] for x in _plain(t)})
+    known = F.transform(w, lambda x: F.when(x.isin(spoken), x))
+    pairs = F.zip_with(known, F.slice(known, F.lit(2), F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit("_"), b))
+    return F.filter(F.concat(known, pairs), lambda g: g.isNotNull())
+
+
+def _vectors() -> CountVectorizerModel:
+    """Which words of the templates, and pairs of neighbours that stand in templates or lack a word between, ``grams`` hold."""
+    plain = [_plain(t) for f in FAMILIES for t in TEMPLATES[f]]
+    pairs = {f"{a}_{b}" for t in plain for i, a in enumerate(t) for b in t[i + 1 : i + 3]}
+    model = CountVectorizerModel.from_vocabulary(sorted({w for t in plain for w in t} | pairs), inputCol="grams", outputCol="x")
+    return model.setBinary(True)
 
 
 def _examples(spark) -> DataFrame:
-    """(label, w, copy): each template and copies without about a tenth of its words."""
+    """(label, w): each template and copies without about a tenth of its words."""
     rows = [(i, t) for i, f in enumerate(FAMILIES, start=1) for t in TEMPLATES[f]]
     base = spark.createDataFrame(rows, "label int, t string").select("label", "t", words(F.col("t")).alias("all"))
-    copies = base.select("label", "t", "all", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS + HELD_OUT - 1))).alias("copy"))
+    copies = base.select("label", "t", "all", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("copy"))
     dropped = F.filter("all", lambda w, i: (F.col("copy") == 0) | (F.pmod(F.xxhash64("t", "copy", i), F.lit(10)) > 0))
-    return copies.select(F.col("label").cast("double").alias("label"), dropped.alias("w"), "copy")
+    return copies.select(F.col("label").cast("double").alias("label"), dropped.alias("w"))
+
+
+def _training(negatives: DataFrame, examples: DataFrame, most: int) -> DataFrame:
+    """(label, x, weight): ``negatives`` (x, n), which together weigh at most as much as ``most`` copies, and ``examples``."""
+    total = negatives.agg(F.sum("n")).first()[0] or 0
+    weight = F.col("n") * F.lit(min(1.0, most / max(total, 1)))
+    return negatives.select(F.lit(0.0).alias("label"), "x", weight.alias("weight")).unionByName(
+        examples.select("label", "x", F.lit(1.0).alias("weight"))
+    )
+
+
+def _trained(rows: DataFrame):
+    # Each step runs a task for every part: small tables have few.
+    rows = rows.coalesce(4 + rows.count() // 50_000)
+    return LogisticRegression(
+        featuresCol="x", labelCol="label", weightCol="weight", family="multinomial", regParam=1e-4, maxIter=60, standardization=False
+    ).fit(rows)
+
+
+def _family_p() -> Column:
+    return F.array_max(F.slice("p", 2, len(FAMILIES)))
+
+
+def _classed(model, rows: DataFrame) -> DataFrame:
+    return model.transform(rows).withColumn("p", vector_to_array("probability"))
+
+
+def calibrated(judged: DataFrame, false_alarms: float = FALSE_ALARMS) -> float:
+    """The least probability, at least a half and in ``STEPS``, that no more than this share of the paragraphs in
+    ``judged`` (f, n) reaches; n counts those alike."""
+    bins = judged.groupBy(F.floor(F.col("f") * STEPS).cast("int").alias("bin")).agg(F.sum("n").alias("n")).collect()
+    room, least = false_alarms * sum(r["n"] for r in bins), STEPS // 2
+    for r in sorted(bins, key=lambda r: -r["bin"]):
+        room -= r["n"]
+        if room < 0:
+            return max(r["bin"] + 1, least) / STEPS
+    return least / STEPS
 
 
 def _plain(template: str) -> list[str]:
@@ -181,6 +229,17 @@ def _needed(template: list[str]) -> int:
     return own if len(template) < LONG else math.ceil(MIN_COVER * own)
 
 
+def _telling() -> list[str]:
+    """Words of which every match of a template holds one: the long ones, and more of templates that have too few."""
+    telling: set[str] = set()
+    for own in [set(_plain(t)) for f in FAMILIES for t in TEMPLATES[f]]:
+        telling |= {w for w in own if len(w) >= TELLING}
+    for plain in [_plain(t) for f in FAMILIES for t in TEMPLATES[f]]:
+        others = sorted(set(plain) - telling, key=lambda w: (-len(w), w))
+        telling.update(others[: max(0, len(others) - _needed(plain) + 1)])
+    return sorted(telling)
+
+
 def _fit(w: Column, templates: list[str]) -> Column:
     """How well the best of ``templates`` fits: 1 if it stands in the paragraph word for word, else the lesser of cover
     and share. 0 if either is too low, too few words stand in the template's order, or the template is a short one."""
@@ -274,49 +333,49 @@ def wrapped_notices(docs: DataFrame) -> DataFrame:
     return each.distinct()
 
 
+def _read(docs: DataFrame, telling: list[str]) -> DataFrame:
+    """(d, rid, p_at, part, whole, x, w): windows and stretches as vectors, written once. ``whole`` marks the windows; ``w``
+    are the words of what holds a ``telling`` one, without which no template matches."""
+    vectors = _vectors().transform(with_stretches(paragraphs(docs)).withColumn("grams", _grams(F.col("w"))))
+    tells = F.exists("grams", lambda g: g.isin(telling))
+    return stored(vectors.select("d", "rid", "p_at", "part", "whole", "x", F.when(tells, F.col("w")).alias("w")), "licence-read")
+
+
 def scan_licenses(docs: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
     """Per row of ``docs``: doc_id, families (sorted), n_paragraphs, n_licensed, n_unknown, best_match.
 
     ``families`` are those that confirmed paragraphs declare; n_licensed counts such paragraphs, n_unknown those that look
     like a licence of no confirmed family. A paragraph is a line; a notice wrapped over several counts at its middle one,
     and its other lines are not unknown. NULL, empty and blank texts have no paragraph. Repeated rows come back alike,
-    as often as they came. All columns but doc_id depend on the text and, by the training sample, on the corpus.
+    as often as they came. All columns but doc_id depend on the text and, by the training, on the corpus.
+    ``negatives`` is the weight of all the corpus' paragraphs in the training, in copies of a template.
     """
     spark = docs.sparkSession
-    found = with_stretches(paragraphs(docs))
+    plain = [t for f in FAMILIES for t in TEMPLATES[f]]
+    read = _read(docs, _telling())
     wrapped = stored(wrapped_notices(docs), "licence-wrapped")
-    tf = HashingTF(inputCol="grams", outputCol="x", numFeatures=SLOTS, binary=True)
-    # Paragraphs of about as many documents, chosen by hash, and of those a share by their own hashes.
-    one_in = max(1, docs.count() // (2 * negatives))
-    some = paragraphs(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0))
     covered = wrapped.select(F.col("d").alias("wd"), F.col("rid").alias("wrid"), F.col("p_at").alias("w_at")).distinct()
     same = F.col("d").eqNullSafe(F.col("wd")) & (F.col("rid") == F.col("wrid")) & (F.col("p_at") == F.col("w_at"))
-    some = some.join(covered, same, "left_anti")
-    some = stored(some.select("w", F.xxhash64("d", "rid", "p_at", "part").alias("order")), "licence-sample")
-    share = some.count() // (2 * negatives) + 1
-    sample = some.filter(F.pmod("order", F.lit(share)) == 0)
-    # A licence line among the sampled paragraphs is no example of text without licence.
-    likeness = _fit(F.col("w"), [t for f in FAMILIES for t in TEMPLATES[f]])
-    sample = stored(sample.filter(likeness == 0), "licence-negatives")
-    nothing = sample.select(F.lit(0.0).alias("label"), "w", F.pmod(F.shiftright("order", 32), F.lit(2)).cast("int").alias("half"))
-    copies = _examples(spark).select("label", "w", (F.col("copy") >= VARIANTS).cast("int").alias("half"))
-    every = nothing.unionByName(copies).withColumn("grams", _grams(F.col("w"))).filter(F.size("grams") > 0)
-    every = stored(tf.transform(every).select("label", "half", "x"), "licence-training")
-    model = LogisticRegression(
-        featuresCol="x", labelCol="label", family="multinomial", regParam=1e-4, maxIter=60, standardization=False
-    ).fit(every.filter("half = 0").coalesce(4))
-    classed = lambda df: model.transform(df).withColumn("p", vector_to_array("probability"))
-    family_p = F.array_max(F.slice("p", 2, len(FAMILIES)))
-
-    # Calibrated on the other half: what hardly any paragraph without licence reaches is sure.
-    unseen = classed(every.filter("half = 1 AND label = 0"))
-    limit = unseen.select(family_p.alias("f")).approxQuantile("f", [1 - FALSE_ALARMS], 0.0002)
-    sure = max(limit[0] if limit else 0.5, 0.5)
-
-    scored = classed(tf.transform(found.withColumn("grams", _grams(F.col("w")))))
-    looks = scored.filter(F.get("p", F.lit(0)) < 0.5).withColumn("top", family_p)
+    # A licence line is no example of text without licence.
+    likeness = F.when(F.col("w").isNull(), 0.0).otherwise(_fit(F.col("w"), plain))
+    nothing = read.filter("whole").join(covered, same, "left_anti").filter(likeness == 0)
+    nothing = nothing.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    nothing = stored(nothing.withColumn("half", F.pmod(F.xxhash64(vector_to_array("x")), F.lit(2)).cast("int")), "licence-negatives")
+    examples = stored(_vectors().transform(_examples(spark).withColumn("grams", _grams(F.col("w")))).select("label", "x"), "licence-examples")
+    model = _trained(_training(nothing, examples, negatives))
+
+    # Calibrated on paragraphs that the model didn't learn from: what hardly any without licence reaches is sure.
+    judged = None
+    for half in (0, 1):
+        other = _trained(_training(nothing.filter(F.col("half") != half), examples, negatives))
+        part = _classed(other, nothing.filter(F.col("half") == half)).select(_family_p().alias("f"), "n")
+        judged = part if judged is None else judged.unionByName(part)
+    sure = calibrated(judged)
+
+    scored = _classed(model, read)
+    looks = scored.filter(F.get("p", F.lit(0)) < 0.5).withColumn("top", _family_p())
     looks = looks.select("d", "rid", "p_at", "w", "top", (F.array_position("p", F.col("top")) - 1).cast("int").alias("family"))
-    looks = looks.withColumn("fits", F.array(*[_fit(F.col("w"), TEMPLATES[f]) for f in FAMILIES]))
+    looks = looks.withColumn("fits", F.array(*[F.coalesce(_fit(F.col("w"), TEMPLATES[f]), F.lit(0.0)) for f in FAMILIES]))
     looks = looks.withColumn("match", F.when(F.col("top") >= sure, F.array_max("fits")).otherwise(0.0))
     # The predicted family, unless another one's template fits better: close relatives differ in a word.
     own = F.get("fits", F.col("family") - 1)
@@ -325,7 +384,7 @@ def scan_licenses(docs: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
     # Windows of one paragraph count once; of repeated rows all but one are left out here.
     lines = looks.select("d", "rid", "p_at", "match", name.alias("name"), F.lit(False).alias("covered"))
     # A notice over several lines needs the classifier's word as well.
-    notices = classed(tf.transform(wrapped.withColumn("grams", _grams(F.col("w"))))).filter(F.get("p", F.lit(0)) < 0.5)
+    notices = _classed(model, _vectors().transform(wrapped.withColumn("grams", _grams(F.col("w"))))).filter(F.get("p", F.lit(0)) < 0.5)
     lines = lines.unionByName(notices.select("d", "rid", "p_at", "match", "name", F.lit(True).alias("covered")))
     judged = lines.groupBy("d", "rid", "p_at").agg(
         F.max("match").alias("match"),

@@ -92,3 +92,34 @@ def test_odd_cases(odd_docs, no_docs):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert op.scan_licenses(no_docs).collect() == []
+
+
+def test_all_paragraphs_train_and_calibrate(spark, monkeypatch):
+    """Every line without licence counts in the model, and in the threshold by a model that didn't see it."""
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('the work of ', id, '\\nsoftware for the public\\nAll rights reserved.\\n\\nplain') AS text")
+    seen, judged, training, calibrated = [], [], op._training, op.calibrated
+
+    def counted(negatives, examples, most):
+        seen.append(negatives.agg({"n": "sum"}).first()[0] or 0)
+        rows = training(negatives, examples, most)
+        assert (rows.filter("label = 0").agg({"weight": "sum"}).first()[0] or 0) == pytest.approx(min(most, seen[-1]))
+        return rows
+
+    monkeypatch.setattr(op, "_training", counted)
+    monkeypatch.setattr(op, "calibrated", lambda rows: judged.append(rows.agg({"n": "sum"}).first()[0]) or calibrated(rows))
+    rows = op.scan_licenses(docs, negatives=10).collect()
+    assert seen[0] == 120 and seen[1] + seen[2] == 120 and judged == [120]
+    assert all(r.families == ["reserved"] and r.n_paragraphs == 4 and r.n_licensed == 1 for r in rows) and len(rows) == 40
+
+
+def test_threshold_of_paragraphs_alike(spark):
+    rows = spark.createDataFrame([(0.1, 9_990), (0.81234, 4), (0.9, 6)], "f double, n long")
+    assert op.calibrated(rows, 0.0011) == 0.5 and op.calibrated(rows, 0.0007) == 0.8124
+    assert op.calibrated(rows, 0.0005) == 0.9001 and op.calibrated(rows.filter("f < 0.5"), 0.0) == 0.5
+
+
+def test_every_match_holds_a_telling_word():
+    """Without the telling words, no template has as many as a match needs."""
+    plain = [op._plain(t) for f in op.FAMILIES for t in op.TEMPLATES[f]]
+    telling = set(op._telling())
+    assert all(len(set(t) - telling) < op._needed(t) for t in plain)
