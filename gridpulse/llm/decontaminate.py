@@ -14,6 +14,7 @@ each block and stored as numbers, which the SVD and the search read.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -39,7 +40,7 @@ SLICE = 250  # texts unpacked together
 TOGETHER = 8192  # words of short texts looked through together
 EDGES = b".,;:!?\"'()[]{}<>*#%&$@-_~`/\\|+=^"
 SENTENCE = re.compile(rb"[.!?]\s+|\n+")
-MEMO = 400_000
+WINDOWS = 32  # of the SVD multiplied together
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -47,25 +48,16 @@ def words_of(text: bytes) -> list[bytes]:
     return [w for w in (raw.strip(EDGES) for raw in text.lower().split()) if w]
 
 
-class Numbers(dict):
-    """Raw words to vocabulary numbers, -1 for words of no item and -2 for signs; remembers what it has seen."""
+class Numbers:
+    """Words of a text as vocabulary numbers, -1 for words of no item."""
 
     def __init__(self, vocabulary: dict[bytes, int]):
-        super().__init__()
         self.vocabulary = vocabulary
 
-    def __missing__(self, raw: bytes) -> int:
-        word = raw.strip(EDGES)
-        n = self.vocabulary.get(word, -1) if word else -2
-        if len(self) >= MEMO:
-            self.clear()
-        self[raw] = n
-        return n
-
     def of(self, text: bytes) -> np.ndarray:
-        raw = text.lower().split()
-        n = np.fromiter(map(self.__getitem__, raw), dtype=np.int32, count=len(raw))
-        return n[n > -2]
+        # Most words differ, so that looking them up stripped costs less than remembering them as they stand.
+        get, edges = self.vocabulary.get, EDGES
+        return np.array([get(w, -1) for raw in text.lower().split() if (w := raw.strip(edges))], dtype=np.int32)
 
 
 def answer_of(text: bytes) -> bytes:
@@ -97,23 +89,23 @@ def passages_of(n_words: int) -> list[tuple[int, int]]:
 
 def _products(texts: list[np.ndarray], window: int, idf: np.ndarray, thin: np.ndarray, total: np.ndarray) -> None:
     """Adds to ``total`` what the windows of ``texts`` give: the sum, over their TF-IDF vectors x of unit length, of
-    x times (x times ``thin``). Windows of ``window`` words follow each other; a text's last one may be shorter."""
-    size, lengths = len(idf), np.array([len(t) for t in texts])
-    of = np.repeat(np.cumsum(-(-lengths // window)) - -(-lengths // window), lengths)
+    x times (x times ``thin``). Windows of ``window`` words follow each other; a text's last one may be shorter.
+    ``WINDOWS`` of them are a small matrix over the words they hold."""
+    lengths = np.array([len(t) for t in texts])
+    n = -(-lengths // window)
+    of = np.repeat(np.cumsum(n) - n, lengths)
     of = of + (np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)) // window
     words = np.concatenate(texts).astype(np.int64)
-    key, tf = np.unique(of[words >= 0] * size + words[words >= 0], return_counts=True)
-    if not len(key):
-        return
-    word, x = key % size, tf * idf[key % size]
-    first = np.flatnonzero(np.diff(key // size, prepend=-1))  # of each window; those without known words give nothing
-    here = np.repeat(np.arange(len(first)), np.diff(first, append=len(key)))
-    x = x / np.maximum(np.sqrt(np.add.reduceat(x * x, first)), 1e-12)[here]
-    x = x.astype(np.float32)[:, None]
-    y = np.add.reduceat(thin[word] * x, first, axis=0)
-    order = np.argsort(word, kind="stable")
-    starts = np.flatnonzero(np.diff(word[order], prepend=-1))
-    total[word[order][starts]] += np.add.reduceat((y[here] * x)[order], starts, axis=0)
+    words, of = words[words >= 0], of[words >= 0]
+    cuts = np.searchsorted(of, np.arange(0, int(n.sum()) + WINDOWS, WINDOWS))
+    for i, (start, end) in enumerate(itertools.pairwise(cuts.tolist())):
+        if start == end:
+            continue
+        held, at = np.unique(words[start:end], return_inverse=True)
+        tf = np.bincount((of[start:end] - i * WINDOWS) * len(held) + at, minlength=WINDOWS * len(held))
+        x = tf.reshape(WINDOWS, -1).astype(np.float32) * idf[held].astype(np.float32)
+        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]  # windows without known words stay zero
+        total[held] += x.T @ (x @ thin[held])
 
 
 def numbered(rows: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:

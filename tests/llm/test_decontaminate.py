@@ -153,3 +153,14 @@ def test_all_windows_of_the_corpus_shape_the_latent_vectors(spark, monkeypatch):
     found = op.latent_words(numbers, window, passages, idf)
     assert found.shape == (size, 1)
     assert np.allclose(np.abs(found[:, 0]), np.abs(vectors[:, -1] * idf), atol=1e-4)
+
+
+def test_windows_are_multiplied_in_blocks_of_their_words():
+    """No row for each word: of texts that hold few different ones only those few are multiplied."""
+    rng, window, size = np.random.default_rng(5), 7, 50
+    texts = [rng.integers(-1, size, n) for n in (0, 3, 7, 8, 900, 1)] + [np.full(9, -1)]
+    idf, thin, total = np.linspace(0.5, 2.0, size), rng.standard_normal((size, 4)).astype(np.float32), np.ones((size, 4))
+    op._products(texts, window, idf, thin, total)
+    rows = [np.bincount(w[w >= 0], minlength=size) * idf for t in texts for w in (t[a : a + window] for a in range(0, len(t), window))]
+    unit = np.array([r / max(np.linalg.norm(r), 1e-12) for r in rows])
+    assert len(rows) > 2 * op.WINDOWS and np.allclose(total, 1 + unit.T @ (unit @ thin), atol=1e-4)
