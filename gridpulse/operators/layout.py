@@ -23,6 +23,8 @@ from gridpulse.functions.bits import spread_bits
 
 # Rows whose values give the bucket bounds of a Z-order.
 SAMPLE = 10_000
+# Tasks, at least, that write the rows of one value of a stream's partition columns.
+PLACES = 8
 # Kinds that become a number, for which there is a faster search.
 MEASURED = (NumericType, DateType, TimestampType, TimestampNTZType)
 
@@ -33,6 +35,24 @@ def partition_layout(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
+def stream_layout(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Gathers a stream's rows for a write partitioned by ``cols``, where adaptive execution may not reach.
+
+    The rows of a value go to a sixteenth of the shuffle's tasks, 8 at least, instead of all: that many files for
+    each value and micro-batch, and that many tasks for a value that most rows have.
+    """
+    places = max(PLACES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)
+    place = F.pmod(F.xxhash64(*[f.name for f in df.schema.fields if not _holds_map(f.dataType)]), F.lit(places))
+    return df.repartition(*cols, place)
+
+
+def _holds_map(kind: DataType) -> bool:
+    """Maps have no hash."""
+    if isinstance(kind, StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, MapType) or isinstance(kind, ArrayType) and _holds_map(kind.elementType)
+
+
 def cluster_layout(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
     """Range-partitions and sorts by ``cols``; ``n`` files, or as many as shuffle partitions.
 

@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from gridpulse.operators.layout import stream_layout
+
 
 @dataclass(frozen=True)
 class StreamRun:
@@ -34,10 +36,11 @@ def write_stream(
     """Appends everything available to the parquet folder ``path``, or to the table ``name``.
 
     The checkpoint folder remembers what was read: the next run goes on from there, also after a
-    crash, and the file sink's log keeps a repeated batch from being written twice.
+    crash, and the file sink's log keeps a repeated batch from being written twice. Rows of a table with
+    ``partition_by`` are gathered, or every task would write a file for each value.
     """
     writer = (
-        df.writeStream.format("parquet")
+        (stream_layout(df, partition_by) if partition_by else df).writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

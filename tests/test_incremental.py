@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import event, events
+from gridpulse.operators.layout import stream_layout
 from gridpulse.plans.gold import PLAY_KEYS, SAMPLES, play_histories, play_trajectory, player_features, player_histories
 from gridpulse.plans.incremental import IncrementalGold
 from gridpulse.plans.pipeline import run
@@ -101,3 +102,25 @@ def test_a_hot_play_is_cut_into_many_cells(spark, precision):
     arrays = play_histories(silver).where("play_id = 'p1'").first().telemetry_history_array
     assert len(arrays) == 1000 and [(r.timestamp, r.player_id) for r in arrays] == sorted((r.timestamp, r.player_id) for r in arrays)
     assert PLAY_KEYS == ("game_id", "play_id")
+
+
+def test_a_stream_writes_few_files_for_a_game(spark):
+    """Silver's files depend on its games and an arrival's size, not on games times shuffle partitions."""
+    rows = [event(f"p{i}", "WR", ms=1000 * i, game_id=f"g{i % 3}") for i in range(600)]
+    rows += [event("none", "WR", ms=1000 * i, game_id=None) for i in range(5)]
+    folder, before = new_folder(spark, "records"), spark.conf.get("spark.sql.shuffle.partitions")
+    arrive(spark, folder, rows)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        silver = run(spark, bronze(spark, folder), new_folder(spark, "out"), gold="incremental").silver
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {r.game_id: r["count"] for r in silver.read().groupBy("game_id").count().collect()} == {"g0": 200, "g1": 200, "g2": 200, None: 5}
+    found = files(silver.path)
+    assert len(found) == 4 and all(1 <= len(names) <= 8 for names in found.values())
+    assert len(found["game_id=g0"]) > 1
+
+
+def test_gathered_rows_may_hold_maps(spark):
+    df = spark.sql("SELECT id % 2 AS game, map('a', id) AS m, array(map('b', id)) AS n, named_struct('x', id) AS s FROM range(100)")
+    assert sorted(r.game for r in stream_layout(df, ["game"]).collect()) == [0] * 50 + [1] * 50
