@@ -97,7 +97,8 @@ NEGATIVES = 4_000  # copies that the corpus' paragraphs weigh as much as, at mos
 STEPS = 10_000  # of the probability that counts as sure
 MIN_COVER, MIN_SHARE = 0.6, 0.5  # of a template's words in the paragraph; of the paragraph's words in the template
 FALSE_ALARMS = 0.001  # paragraphs without licence that may look sure
-LINE_ENDS = r"\r\n|\r|\n"
+# What stands between words of lower-cased text: all but letters and digits, ASCII first, which is told faster.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F[^\x00-\x7F\p{L}\p{N}]]+"
 SPAN = 128  # words read together across line ends; half of it holds any template
 LONG = 12  # words; shorter templates have to stand across line ends word for word
 TELLING = 6  # letters of the words of which every match of a template holds one
@@ -106,13 +107,25 @@ SHORT = (16, 6)  # words; longer windows are read in stretches of these lengths
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    """Only the first and the last piece of a split can be empty."""
+    return F.array_remove(F.split(F.lower(text), BETWEEN), "")
+
+
+def _lines(text: Column) -> Column:
+    """Lines end with a line feed, a carriage return, or both."""
+    return F.split(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), "\n")
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def paragraphs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(d, rid, p_at, part, w): the words of each paragraph, a line with any, or of each window of a long one."""
-    lines = texts(docs).select("d", "rid", F.posexplode(F.split("t", LINE_ENDS)).alias("p_at", "line"))
-    split = lines.select("d", "rid", "p_at", words(F.col("line")).alias("all")).filter(F.size("all") > 0)
+    # Split inside of the explode: a column would be computed once for the filter and again for the rows.
+    split = texts(docs).select("d", "rid", F.posexplode(F.transform(_lines(F.col("t")), words)).alias("p_at", "all"))
+    split = split.filter(F.size("all") > 0)
     n = F.greatest(F.lit(1), F.ceil(F.size("all") / (window // 2)).cast("int") - 1)
     parts = split.select("d", "rid", "p_at", "all", F.explode(F.sequence(F.lit(0), n - 1)).alias("part"))
     return parts.select("d", "rid", "p_at", "part", F.slice("all", F.col("part") * (window // 2) + 1, window).alias("w"))
@@ -146,9 +159,12 @@ def with_stretches(windows: DataFrame, lengths: tuple[int, ...] = SHORT) -> Data
 def _grams(w: Column) -> Column:
     """Words of the templates and pairs of such neighbours; NULL stands between others."""
     spoken = sorted({x for f in FAMILIES for t in TEMPLATES[f] for x in _plain(t)})
-    known = F.transform(w, lambda x: F.when(x.isin(spoken), x))
-    pairs = F.zip_with(known, F.slice(known, F.lit(2), F.greatest(F.size(w), F.lit(1))), lambda a, b: F.concat(a, F.lit("_"), b))
-    return F.filter(F.concat(known, pairs), lambda g: g.isNotNull())
+
+    def with_pairs(known: Column) -> Column:
+        following = F.slice(known, F.lit(2), F.greatest(F.size(known), F.lit(1)))
+        return F.array_compact(F.concat(known, F.zip_with(known, following, lambda a, b: F.concat(a, F.lit("_"), b))))
+
+    return _once(F.transform(w, lambda x: F.when(x.isin(spoken), x)), with_pairs)
 
 
 def _vectors() -> CountVectorizerModel:
@@ -240,24 +256,50 @@ def _telling() -> list[str]:
     return sorted(telling)
 
 
+def _matches_by_short(template: list[str]) -> bool:
+    """Whether a match may lack all of the template's long words."""
+    return len({w for w in template if len(w) < TELLING}) >= _needed(template)
+
+
+def _may_match(grams: Column) -> Column:
+    """Whether ``grams`` hold a long word of any template, or as many words as a match of one that can do without."""
+    plain = [_plain(t) for f in FAMILIES for t in TEMPLATES[f]]
+    long = sorted({w for t in plain for w in t if len(w) >= TELLING})
+    may = F.exists(grams, lambda g: g.isin(long))
+    for template in filter(_matches_by_short, plain):
+        own = F.array(*[F.lit(x) for x in sorted(set(template))])
+        may = may | (F.size(F.array_intersect(own, grams)) >= _needed(template))
+    return may
+
+
 def _fit(w: Column, templates: list[str]) -> Column:
     """How well the best of ``templates`` fits: 1 if it stands in the paragraph word for word, else the lesser of cover
-    and share. 0 if either is too low, too few words stand in the template's order, or the template is a short one."""
+    and share. 0 if either is too low, too few words stand in the template's order, or the template is a short one.
+
+    A template is compared only where the paragraph holds as many of its words as a match does."""
     text = F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
+    spoken = F.array(*[F.lit(x) for x in sorted({x for t in templates for x in _plain(t)})])
 
-    def against(template: str) -> Column:
+    def against(template: str, common: Column) -> Column:
         plain = _plain(template)
-        whole = F.contains(text, F.lit(f" {' '.join(plain)} "))
-        if len(plain) < LONG:
-            return F.when(whole, 1.0).otherwise(0.0)
         own = sorted(set(plain))
-        both = F.size(F.array_intersect(w, F.array(*[F.lit(x) for x in own])))
-        cover, share = both / len(own), both / F.size(F.array_distinct(w))
-        near = (cover >= MIN_COVER) & (share >= MIN_SHARE)
-        ordered = F.when(near, _in_order(w, plain) >= MIN_COVER * len(plain))
-        return F.when(whole, 1.0).when(ordered, F.least(cover, share)).otherwise(0.0)
+        whole = F.contains(text, F.lit(f" {' '.join(plain)} "))
+
+        def fit(both: Column) -> Column:
+            if len(plain) < LONG:
+                return F.when((both >= _needed(plain)) & whole, 1.0).otherwise(0.0)
+            cover, share = both / len(own), both / F.size(F.array_distinct(w))
+            near = (cover >= MIN_COVER) & (share >= MIN_SHARE)
+            ordered = F.when(near, _in_order(w, plain) >= MIN_COVER * len(plain))
+            return F.when(both < _needed(plain), 0.0).when(whole, 1.0).when(ordered, F.least(cover, share)).otherwise(0.0)
+
+        return _once(F.size(F.array_intersect(common, F.array(*[F.lit(x) for x in own]))), fit)
+
+    def best(common: Column) -> Column:
+        least = min(_needed(_plain(t)) for t in templates)
+        return F.when(F.size(common) < least, 0.0).otherwise(F.greatest(F.lit(0.0), *[against(t, common) for t in templates]))
 
-    return F.greatest(F.lit(0.0), *map(against, templates))
+    return F.when(w.isNotNull(), _once(F.array_intersect(w, spoken), best))
 
 
 def wrapped_notices(docs: DataFrame) -> DataFrame:
@@ -267,9 +309,9 @@ def wrapped_notices(docs: DataFrame) -> DataFrame:
     A template is compared at every start of a window only where the window holds as many of its words as a match does."""
     plain = [(f, _plain(t)) for f in FAMILIES for t in TEMPLATES[f]]
     telling = sorted({w for _, t in plain for w in t if len(w) >= TELLING})
-    whole = texts(docs).filter(F.col("t").rlike(LINE_ENDS))
-    whole = whole.filter(F.arrays_overlap(F.split(F.lower("t"), r"[^\p{L}\p{N}]+"), F.array(*[F.lit(x) for x in telling])))
-    lines = F.transform(F.split("t", LINE_ENDS), lambda line, i: F.struct(i.alias("at"), words(line).alias("w")))
+    whole = texts(docs).filter(F.contains("t", F.lit("\n")) | F.contains("t", F.lit("\r")))
+    whole = whole.filter(F.arrays_overlap(F.split(F.lower("t"), BETWEEN), F.array(*[F.lit(x) for x in telling])))
+    lines = F.transform(_lines(F.col("t")), lambda line, i: F.struct(i.alias("at"), words(line).alias("w")))
     # A line without words is -1, so a window that holds one is cut there.
     flat = F.flatten(
         F.transform(
@@ -335,9 +377,9 @@ def wrapped_notices(docs: DataFrame) -> DataFrame:
 
 def _read(docs: DataFrame, telling: list[str]) -> DataFrame:
     """(d, rid, p_at, part, whole, x, w): windows and stretches as vectors, written once. ``whole`` marks the windows; ``w``
-    are the words of what holds a ``telling`` one, without which no template matches."""
+    are the words of what holds a ``telling`` one, without which no template matches, and may match otherwise, too."""
     vectors = _vectors().transform(with_stretches(paragraphs(docs)).withColumn("grams", _grams(F.col("w"))))
-    tells = F.exists("grams", lambda g: g.isin(telling))
+    tells = F.exists("grams", lambda g: g.isin(telling)) & _may_match(F.col("grams"))
     return stored(vectors.select("d", "rid", "p_at", "part", "whole", "x", F.when(tells, F.col("w")).alias("w")), "licence-read")
 
 
@@ -397,7 +439,7 @@ def scan_licenses(docs: DataFrame, negatives: int = NEGATIVES) -> DataFrame:
         F.count_if((F.col("match") == 0) & ~F.col("covered")).alias("n_unknown"),
         F.max("match").alias("best_match"),
     )
-    full = F.filter(F.split("t", LINE_ENDS), lambda line: line.rlike(r"[\p{L}\p{N}]"))
+    full = F.filter(_lines(F.col("t")), lambda line: line.rlike(r"[a-z\p{L}\p{N}]"))
     rows = texts(docs).select("d", "rid", F.size(full).cast("long").alias("n_paragraphs"))
     joined = rows.join(by_row, F.col("d").eqNullSafe(F.col("jd")) & (F.col("rid") == F.col("jrid")), "left")
     zero = F.lit(0).cast("long")

@@ -123,3 +123,28 @@ def test_every_match_holds_a_telling_word():
     plain = [op._plain(t) for f in op.FAMILIES for t in op.TEMPLATES[f]]
     telling = set(op._telling())
     assert all(len(set(t) - telling) < op._needed(t) for t in plain)
+
+
+def test_words_and_lines_are_told_as_before(spark):
+    """All but letters and digits stands between words; lines end with a line feed, a carriage return, or both."""
+    odd = "".join(map(chr, range(1, 0x250))) + "x٠y z中 ǅ\U0001d400ééİI"
+    rows = [(odd,), ("",), ("a\r\nb\n\rc\r\r\nd\n",), ("\n",), (" a  b ",), ("--",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    plain = op.F.expr(r"filter(split(lower(t), r'[^\p{L}\p{N}]+'), w -> w != '')"), op.F.expr(r"split(t, r'\r\n|\r|\n')")
+    for new, old in ((op.words(op.F.col("t")), plain[0]), (op._lines(op.F.col("t")), plain[1])):
+        assert all(r.a == r.b for r in df.select(new.alias("a"), old.alias("b")).collect())
+
+
+def test_a_text_is_cut_into_words_once(spark):
+    docs = spark.createDataFrame([(1, "a b\nc")], "doc_id long, text string")
+    plan = op.paragraphs(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1, plan
+
+
+def test_what_no_template_can_match_is_not_kept(spark, monkeypatch):
+    """Words are kept where a template may match: by one of its long words, or by enough of its short ones."""
+    by_short = [op._plain(t) for f in op.FAMILIES for t in op.TEMPLATES[f] if op._matches_by_short(op._plain(t))]
+    lines = [" ".join(op._plain(t)) for f in op.FAMILIES for t in op.TEMPLATES[f]] + [" ".join(w for w in t if len(w) < op.TELLING) for t in by_short]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate([*lines, "of this file with you at one copy", "can not be the car"])], "doc_id long, text string")
+    kept = {r.d for r in op._read(docs, op._telling()).filter("w IS NOT NULL").collect()}
+    assert kept == set(range(len(lines)))
