@@ -20,11 +20,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridpulse.llm.common import shuffle_partitions, stored, texts
-from gridpulse.llm.phrases import MATCH, TRIGGER, phrases, rolling_hashes
+from gridpulse.llm.phrases import MATCH, MIX, TRIGGER, phrases, rolling_hashes
 
 NO_ID = np.iinfo(np.int64).max  # a NULL doc_id ranks after every number
 PACKET = "bucket int, n int, keyed boolean, data binary"
@@ -33,27 +34,30 @@ PLACES = "d long, o long, first int, last int"
 PLACE = ("<i8", "<i8", "<i4", "u1")  # document, row of it, first window, windows after it
 PHRASE_BYTES = 2 * MATCH  # more than any phrase has
 LEAD = 128  # added to the length of a place that only tells its trigger is shared
-FLUSH = 50_000  # phrases a task holds before it sends them on
+FLUSH = 100_000  # phrases a task holds before it sends them on
 WINDOWS_OF = 4_000  # dictionary entries whose suffixes are sorted together, more where one trigger has more
 BUCKET_PHRASES = 50_000  # places of shared phrases a bucket has on average, at most
-KEY_BITS = 48  # of a trigger's hash; more triggers that seem shared cost time, not exactness
+KEY_BITS = 44  # of a trigger's spread hash, which tell as much as 48 of the small ones; more triggers that seem shared cost time, not exactness
 
 
-def _packed(arrays: list[np.ndarray]) -> bytes:
-    """Arrays compressed with their bytes by significance: all lowest ones, then all second ones and so on."""
+def _packed(arrays: list[np.ndarray], letters: bytes = b"") -> bytes:
+    """Arrays compressed with their bytes by significance: all lowest ones, then all second ones and so on. ``letters``
+    follow compressed on their own: text and numbers need other codes."""
     planes = [np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T).tobytes() for x in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+    numbers = zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+    return numbers + zstandard.ZstdCompressor(level=3).compress(letters) if letters else numbers
 
 
 def _unpacked(data: bytes, n: int, dtypes: tuple[str, ...]) -> tuple[list[np.ndarray], bytes]:
-    """The arrays of ``n`` values each, and what follows them."""
-    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
+    """The arrays of ``n`` values each, and the letters that follow them."""
+    expand, at, out = zstandard.ZstdDecompressor().decompressobj(), 0, []
+    raw = expand.decompress(data)
     for t in dtypes:
         size = n * np.dtype(t).itemsize
         planes = np.frombuffer(raw[at : at + size], dtype=np.uint8).reshape(-1, n)
         out.append(np.ascontiguousarray(planes.T).view(t).reshape(n))
         at += size
-    return out, raw[at:]
+    return out, zstandard.ZstdDecompressor().decompress(expand.unused_data) if expand.unused_data else b""
 
 
 def _packets(rows: list[tuple[int, int, bool, bytes]]) -> pa.RecordBatch:
@@ -69,7 +73,8 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.R
 
 
 def _answers(bucket: int, buckets: int, place: list[np.ndarray]) -> list[tuple[int, int, bool, bytes]]:
-    """Places already decided, as packets that only pass through; dealt over the buckets from ``bucket`` on."""
+    """Places already decided, as packets that only pass through; dealt over the buckets from ``bucket`` on, so that a task
+    that goes on where it stopped gives all buckets alike."""
     cuts = range(0, len(place[0]), 4096)
     parts = [[x[a : a + 4096] for x in place] for a in cuts]
     return [((bucket + i) % buckets, len(p[0]), False, _packed(p)) for i, p in enumerate(parts)]
@@ -103,14 +108,21 @@ def _shared(key: np.ndarray, left: np.ndarray, right: np.ndarray, d: np.ndarray,
     return _several(sides[0], d, led) | _several(sides[1], d, led)
 
 
+def _spread(hashes: np.ndarray) -> np.ndarray:
+    """Trigger hashes one to one on numbers that are even over all 64 bits: as smallest of their windows, triggers have
+    small hashes, which would give the first buckets many times the phrases of the others."""
+    return hashes * MIX
+
+
 def shared_triggers(docs: DataFrame, buckets: int) -> DataFrame:
     """Places (d, o, first, last) of the phrases that can hold a string of another document."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealt = TaskContext.get().partitionId()
         for batch in _slices(batches, 2_000):
             ids, rows = batch.column("d").to_numpy(), batch.column("o").to_numpy()
             for found in phrases(batch.column("t").to_pylist()):
-                key = found["hash"] >> np.uint64(64 - KEY_BITS)
+                key = _spread(found["hash"]) >> np.uint64(64 - KEY_BITS)
                 order = np.argsort(key, kind="stable")
                 key, left, right, first = (x[order] for x in (key, found["left"], found["right"], found["first"].astype(np.int32)))
                 length = (found["last"] - found["first"])[order].astype(np.uint8)
@@ -130,8 +142,9 @@ def shared_triggers(docs: DataFrame, buckets: int) -> DataFrame:
                     step = np.diff(key[at], prepend=np.uint64(0))  # ascending, so steps are short numbers
                     sent = [step, left[at], right[at], d[at], o[at], first[at], marked[at]]
                     out.append((int(bucket[a]), len(at), True, _packed(sent)))
-                out += _answers(int(key[0]) % buckets, buckets, [x[many] for x in (d, o, first, length)])
-                yield _packets(out)
+                answers = _answers(dealt, buckets, [x[many] for x in (d, o, first, length)])
+                dealt += len(answers)
+                yield _packets(out + answers)
 
     def meet(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = []
@@ -165,6 +178,12 @@ def _runs(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first[new], last[np.append(np.flatnonzero(new)[1:] - 1, len(last) - 1)]
 
 
+def _ends(places: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+    """First and last windows of the places of a document, as ``_joined`` gives them."""
+    both = places.values.to_numpy()
+    return both >> 32, both & 0xFFFFFFFF
+
+
 def _phrase_rows(text: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The bytes of each phrase, filled up with zeros."""
     grid = np.arange(PHRASE_BYTES)
@@ -211,14 +230,13 @@ def removals(docs: DataFrame, buckets: int) -> DataFrame:
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = zstandard.ZstdDecompressor()
+        expand, dealt = zstandard.ZstdDecompressor(), TaskContext.get().partitionId()
         for batch in batches:
             ids, numbers = batch.column("d").to_numpy(), batch.column("o").to_numpy()
             column, places, held, size = batch.column("z"), batch.column("places"), [], 0
             for i in range(batch.num_rows):
                 text = np.frombuffer(expand.decompress(column[i].as_py()), dtype=np.uint8)
-                at = places[i].values
-                first, last = (at.field(k).to_numpy() for k in (0, 1))
+                first, last = _ends(places[i])
                 length = last - first + MATCH
                 for a in range(0, len(first), 20_000):
                     part = slice(a, a + 20_000)
@@ -227,12 +245,17 @@ def removals(docs: DataFrame, buckets: int) -> DataFrame:
                     held.append((np.full(n, ids[i]), np.full(n, numbers[i]), first[part], length[part], rows))
                     size += n
                     if size >= FLUSH:
-                        yield packets(held)
+                        sent, answers = packets(held, dealt)
+                        dealt += answers
+                        yield sent
                         held, size = [], 0
             if held:
-                yield packets(held)
+                sent, answers = packets(held, dealt)
+                dealt += answers
+                yield sent
 
-    def packets(held: list) -> pa.RecordBatch:
+    def packets(held: list, dealt: int) -> tuple[pa.RecordBatch, int]:
+        """The phrases as packets, and how many of these are answers, dealt from ``dealt`` on."""
         d, o, first, length, rows = (np.concatenate(x) for x in zip(*held, strict=True))
         least, _, of = _least(rows, length, d)
         go = np.flatnonzero(d == least[of])  # of each phrase here, the places in its first document
@@ -244,12 +267,12 @@ def removals(docs: DataFrame, buckets: int) -> DataFrame:
         for a, b in zip(starts, [*starts[1:], len(go)], strict=True):
             at = go[a:b]
             sent = [np.diff(code[a:b], prepend=np.uint64(0)), d[at], o[at], first[at].astype(np.int32), length[at].astype(np.uint8)]
-            letters = np.frombuffer(rows[at][np.arange(PHRASE_BYTES) < length[at][:, None]], dtype=np.uint8)
-            out.append((int(bucket[a]), len(at), True, _packed([*sent, letters])))
+            letters = rows[at][np.arange(PHRASE_BYTES) < length[at][:, None]].tobytes()
+            out.append((int(bucket[a]), len(at), True, _packed(sent, letters)))
         later = d > least[of]
         windows = (length - MATCH).astype(np.uint8)
-        out += _answers(int(code[0] % np.uint64(buckets)), buckets, [x[later] for x in (d, o, first.astype(np.int32), windows)])
-        return _packets(out)
+        answers = _answers(dealt, buckets, [x[later] for x in (d, o, first.astype(np.int32), windows)])
+        return _packets(out + answers), len(answers)
 
     def settle(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -310,18 +333,20 @@ def removals(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _trigger_codes(rows: np.ndarray) -> np.ndarray:
-    """The trigger hash of each phrase: its first window's smallest rolling hash."""
+    """A number for the trigger of each phrase: its first window's smallest rolling hash, spread."""
     out = np.empty(len(rows), dtype=np.uint64)
     for a in range(0, len(rows), 10_000):
         part = rows[a : a + 10_000]
         h, _ = rolling_hashes(part.reshape(-1))
         h = np.append(h, np.zeros(TRIGGER - 1, dtype=np.uint64)).reshape(len(part), -1)
         out[a : a + 10_000] = h[:, : MATCH - TRIGGER + 1].min(axis=1)
-    return out
+    return _spread(out)
 
 
 def _joined(docs: DataFrame, places: DataFrame, how: str) -> DataFrame:
-    found = places.groupBy("d", "o").agg(F.collect_list(F.struct("first", "last")).alias("places"))
+    # Both ends in one number: a struct in an array takes four times the room.
+    both = F.shiftleft(F.col("first").cast("long"), 32) + F.col("last")
+    found = places.groupBy("d", "o").agg(F.collect_list(both).alias("places"))
     found = found.select(F.col("d").alias("pd"), F.col("o").alias("po"), "places").hint("shuffle_hash")
     return docs.join(found, (F.col("d") == F.col("pd")) & (F.col("o") == F.col("po")), how).drop("pd", "po")
 
@@ -364,7 +389,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 text, places = expand.decompress(batch.column("z")[i].as_py()), batch.column("places")[i]
                 kept, removed, spans = text, 0, 0
                 if places.is_valid:
-                    first, last = (places.values.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+                    first, last = _ends(places)
                     # Strings that touch or overlap remove one run of bytes.
                     start, end = _runs(first, last + MATCH - 1)
                     bounds = [0, *np.column_stack([start, end + 1]).reshape(-1).tolist(), len(text)]

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -80,3 +81,26 @@ def test_every_window_has_one_phrase(texts):
             assert b - a < ph.SPAN
             windows.update((i, w) for w in range(a, b + 1))
     assert windows == Counter((i, w) for i, t in enumerate(texts) for w in range(len(t) - ph.MATCH + 1))
+
+
+def test_buckets_get_alike_many_phrases():
+    # Triggers are the smallest hashes around them: dealt by these as they are, the first bucket got many times its share.
+    rng = random.Random(5)
+    text = np.frombuffer("".join(rng.choice("abcdefghijklmnop ") for _ in range(200_000)).encode(), dtype=np.uint8)
+    (found,) = ph.phrases([text.tobytes()])
+    rows = op._phrase_rows(text, found["first"], found["last"] - found["first"] + ph.MATCH)
+    codes = op._trigger_codes(rows)
+    assert len(np.unique(codes)) == len(np.unique(found["hash"]))
+    for numbers in (codes, op._spread(found["hash"])):
+        of = ((numbers >> np.uint64(32)) * np.uint64(50) >> np.uint64(32)).astype(int)
+        assert np.bincount(of, minlength=50).max() < 1.5 * len(of) / 50
+
+
+def test_answers_go_to_all_buckets_alike():
+    place = [np.zeros(40_960, dtype=t) for t in op.PLACE]
+    dealt, sent = 3, Counter()
+    for _ in range(7):
+        answers = op._answers(dealt, 7, place)
+        dealt += len(answers)
+        sent.update(bucket for bucket, *_ in answers)
+    assert set(sent.values()) == {10} and len(sent) == 7
