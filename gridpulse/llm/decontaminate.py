@@ -39,6 +39,9 @@ CHUNK = 1024  # words of a text looked at together
 SLICE = 250  # texts unpacked together
 TOGETHER = 8192  # words of short texts looked through together
 EDGES = b".,;:!?\"'()[]{}<>*#%&$@-_~`/\\|+=^"
+SIGN, BLANK = 1, 2
+KINDS = np.zeros(256, dtype=np.uint8)
+KINDS[list(EDGES)], KINDS[list(b" \t\n\r\x0b\x0c")] = SIGN, BLANK
 SENTENCE = re.compile(rb"[.!?]\s+|\n+")
 WINDOWS = 32  # of the SVD multiplied together
 
@@ -55,9 +58,25 @@ class Numbers:
         self.vocabulary = vocabulary
 
     def of(self, text: bytes) -> np.ndarray:
-        # Most words differ, so that looking them up stripped costs less than remembering them as they stand.
-        get, edges = self.vocabulary.get, EDGES
-        return np.array([get(w, -1) for raw in text.lower().split() if (w := raw.strip(edges))], dtype=np.int32)
+        return self.each([text])[0]
+
+    def each(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The words of each text; signs at the ends of words are blanked in all texts at once."""
+        whole = np.frombuffer(bytearray(b"\n".join([*texts, b""]).lower()), dtype=np.uint8)
+        kind = KINDS[whole]
+        at = np.flatnonzero(kind)
+        if not len(at):
+            return [np.empty(0, dtype=np.int32) for _ in texts]
+        # Of neighbouring signs and spaces all are between words if any is a space.
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
+        blank = np.maximum.reduceat(kind[at], starts) == BLANK
+        whole[at[np.repeat(blank, np.diff(np.append(starts, len(at))))]] = ord(" ")
+        clean, out, get, a = whole.tobytes(), [], self.vocabulary.get, 0
+        for text in texts:
+            words = clean[a : a + len(text)].split()
+            out.append(np.fromiter(map(get, words, itertools.repeat(-1)), dtype=np.int32, count=len(words)))
+            a += len(text) + 1
+        return out
 
 
 def answer_of(text: bytes) -> bytes:
@@ -96,14 +115,19 @@ def _products(texts: list[np.ndarray], window: int, idf: np.ndarray, thin: np.nd
     of = np.repeat(np.cumsum(n) - n, lengths)
     of = of + (np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)) // window
     words = np.concatenate(texts).astype(np.int64)
-    words, of = words[words >= 0], of[words >= 0]
+    words, of, idf = words[words >= 0], of[words >= 0], idf.astype(np.float32)
+    place = np.empty(len(idf), dtype=np.int64)  # of each word in the small matrix that holds it
     cuts = np.searchsorted(of, np.arange(0, int(n.sum()) + WINDOWS, WINDOWS))
     for i, (start, end) in enumerate(itertools.pairwise(cuts.tolist())):
         if start == end:
             continue
-        held, at = np.unique(words[start:end], return_inverse=True)
-        tf = np.bincount((of[start:end] - i * WINDOWS) * len(held) + at, minlength=WINDOWS * len(held))
-        x = tf.reshape(WINDOWS, -1).astype(np.float32) * idf[held].astype(np.float32)
+        some = words[start:end]
+        here = np.zeros(len(idf), dtype=bool)  # marking words is cheaper than sorting them
+        here[some] = True
+        held = np.flatnonzero(here)
+        place[held] = np.arange(len(held))
+        tf = np.bincount((of[start:end] - i * WINDOWS) * len(held) + place[some], minlength=WINDOWS * len(held))
+        x = tf.reshape(WINDOWS, -1).astype(np.float32) * idf[held]
         x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]  # windows without known words stay zero
         total[held] += x.T @ (x @ thin[held])
 
@@ -117,7 +141,7 @@ def numbered(rows: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
-                w = [known.of(t.as_py()).astype(kind).tobytes() for t in part.column("t")]
+                w = [x.astype(kind).tobytes() for x in known.each(part.column("t").to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column("d"), part.column("rid"), pa.array(w, pa.binary())], names=["d", "rid", "w"])
 
     return stored(rows.select("d", "rid", "t").mapInArrow(split, "d long, rid long, w binary"), "numbered-words")
@@ -329,11 +353,10 @@ def find(numbers: np.ndarray, items: list, index: Index, latent: np.ndarray) ->
             size = min(length, len(part))  # a text shorter than the windows is one window
             position_here, place = _of(position, passage, chosen, len(index.need))
             at = np.unique(np.append(np.arange(0, len(part) - size + 1, max(1, size // 2)), len(part) - size))
-            rare = np.zeros((len(part) + 1, len(asked)), dtype=np.int32)
-            rare[position_here + 1, place] = 1
-            np.cumsum(rare, axis=0, out=rare)
             low, high = np.maximum(at - group.reach, 0), np.minimum(at + size + group.reach, len(part))
-            possible = rare[high] - rare[low] >= need
+            # Telling words of each passage around each window, counted where they stand: few of the part's words are.
+            keys, own = np.sort(place * (len(part) + 1) + position_here), np.arange(len(asked)) * (len(part) + 1)
+            possible = np.searchsorted(keys, own + high[:, None]) - np.searchsorted(keys, own + low[:, None]) >= need
             some = np.flatnonzero(possible.any(axis=1))
             if not len(some):
                 continue

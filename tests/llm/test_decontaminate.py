@@ -164,3 +164,12 @@ def test_windows_are_multiplied_in_blocks_of_their_words():
     rows = [np.bincount(w[w >= 0], minlength=size) * idf for t in texts for w in (t[a : a + window] for a in range(0, len(t), window))]
     unit = np.array([r / max(np.linalg.norm(r), 1e-12) for r in rows])
     assert len(rows) > 2 * op.WINDOWS and np.allclose(total, 1 + unit.T @ (unit @ thin), atol=1e-4)
+
+
+def test_signs_are_blanked_in_all_texts_at_once():
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.choice(list(b"abZ.,- \n\t\x00\x1c\x85"), size=n).astype(np.uint8)) for n in rng.integers(0, 30, 2_000)]
+    vocabulary = {b"a": 0, b"ab": 1, b"a.b": 2, b"z-a": 3, b"b": 4}
+    found = op.Numbers(vocabulary).each(texts)
+    assert [x.tolist() for x in found] == [[vocabulary.get(w, -1) for w in op.words_of(t)] for t in texts]
+    assert [x.tolist() for x in op.Numbers(vocabulary).each([b"", b""])] == [[], []] and op.Numbers(vocabulary).each([]) == []
