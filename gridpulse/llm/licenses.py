@@ -99,6 +99,8 @@ MIN_COVER, MIN_SHARE = 0.6, 0.5  # of a template's words in the paragraph; of th
 FALSE_ALARMS = 0.001  # paragraphs without licence that may look sure
 # What stands between words of lower-cased text: all but letters and digits, ASCII first, which is told faster.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F[^\x00-\x7F\p{L}\p{N}]]+"
+# The same beside spaces and line feeds, ASCII signs one by one, which are told from a table.
+SIGNS = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum() and chr(c) not in " \n") + r"[^\x00-\x7F\p{L}\p{N}]]+"
 SPAN = 128  # words read together across line ends; half of it holds any template
 LONG = 12  # words; shorter templates have to stand across line ends word for word
 TELLING = 6  # letters of the words of which every match of a template holds one
@@ -106,14 +108,31 @@ WINDOW = 64  # words; longer paragraphs are read in windows that overlap by half
 SHORT = (16, 6)  # words; longer windows are read in stretches of these lengths as well, where they hold a short template's words
 
 
-def words(text: Column) -> Column:
-    """Only the first and the last piece of a split can be empty."""
-    return F.array_remove(F.split(F.lower(text), BETWEEN), "")
+def _one_end(text: Column) -> Column:
+    """Lines end with a line feed, a carriage return, or both."""
+    return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
 def _lines(text: Column) -> Column:
-    """Lines end with a line feed, a carriage return, or both."""
-    return F.split(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), "\n")
+    return F.split(_one_end(text), "\n")
+
+
+def _clean(text: Column) -> Column:
+    """Lower-cased, with spaces for signs. This expression is compiled once, one to split at for every line split."""
+    return F.regexp_replace(F.lower(_one_end(text)), SIGNS, " ")
+
+
+def _clean_lines(text: Column) -> Column:
+    return F.split(_clean(text), "\n")
+
+
+def _spaced(clean: Column) -> Column:
+    return F.array_remove(F.split(clean, " "), "")
+
+
+def words(text: Column) -> Column:
+    """Only the first and the last piece of a split can be empty."""
+    return F.array_remove(F.split(F.lower(text), BETWEEN), "")
 
 
 def _once(value: Column, use) -> Column:
@@ -124,7 +143,7 @@ def _once(value: Column, use) -> Column:
 def paragraphs(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(d, rid, p_at, part, w): the words of each paragraph, a line with any, or of each window of a long one."""
     # Split inside of the explode: a column would be computed once for the filter and again for the rows.
-    split = texts(docs).select("d", "rid", F.posexplode(F.transform(_lines(F.col("t")), words)).alias("p_at", "all"))
+    split = texts(docs).select("d", "rid", F.posexplode(F.transform(_clean_lines(F.col("t")), _spaced)).alias("p_at", "all"))
     split = split.filter(F.size("all") > 0)
     n = F.greatest(F.lit(1), F.ceil(F.size("all") / (window // 2)).cast("int") - 1)
     parts = split.select("d", "rid", "p_at", "all", F.explode(F.sequence(F.lit(0), n - 1)).alias("part"))
@@ -311,7 +330,7 @@ def wrapped_notices(docs: DataFrame) -> DataFrame:
     telling = sorted({w for _, t in plain for w in t if len(w) >= TELLING})
     whole = texts(docs).filter(F.contains("t", F.lit("\n")) | F.contains("t", F.lit("\r")))
     whole = whole.filter(F.arrays_overlap(F.split(F.lower("t"), BETWEEN), F.array(*[F.lit(x) for x in telling])))
-    lines = F.transform(_lines(F.col("t")), lambda line, i: F.struct(i.alias("at"), words(line).alias("w")))
+    lines = F.transform(_clean_lines(F.col("t")), lambda line, i: F.struct(i.alias("at"), _spaced(line).alias("w")))
     # A line without words is -1, so a window that holds one is cut there.
     flat = F.flatten(
         F.transform(

@@ -148,3 +148,20 @@ def test_what_no_template_can_match_is_not_kept(spark, monkeypatch):
     docs = spark.createDataFrame([(i, x) for i, x in enumerate([*lines, "of this file with you at one copy", "can not be the car"])], "doc_id long, text string")
     kept = {r.d for r in op._read(docs, op._telling()).filter("w IS NOT NULL").collect()}
     assert kept == set(range(len(lines)))
+
+
+def test_lines_are_split_without_an_expression(spark):
+    """Splitting at an expression compiles it for every line; at a space it doesn't."""
+    odd = "".join(map(chr, range(1, 0x250))) + "x٠y z中 ΟΔΟΣ\nΣα ǅ\U0001d400ééİI"
+    docs = spark.createDataFrame([(0, odd), (1, "a\r\nb\n\rc D-e,\r\r\nd\n"), (2, " a  b "), (3, None), (4, "--\n")], "doc_id long, text string")
+    read = op.paragraphs(docs)
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert r"\p{L}" not in "".join(p.split(")")[0] for p in plan.split("split(")[1:] if not p.startswith("regexp_replace")), plan
+    assert "regexp_replace(lower(" in plan, plan
+    line = op.F.explode(op._lines(op.F.coalesce("text", op.F.lit("")))).alias("t")
+    cut = op.F.expr(r"filter(split(lower(t), r'[^\p{L}\p{N}]+'), w -> w != '')")
+    told = [r.w for r in docs.select("doc_id", line).select(cut.alias("w")).collect() if r.w]
+    joined = {}
+    for r in read.filter("part % 2 = 0").orderBy("d", "p_at", "part").collect():
+        joined.setdefault((r.d, r.p_at), []).extend(r.w)
+    assert list(joined.values()) == told
