@@ -88,7 +88,8 @@ def links(classes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
     a, b = variants.toDF("key", "fa", "ra"), variants.toDF("key", "fb", "rb")
     differing = F.col("fa").bitwiseXOR(F.col("fb"))
     near = (F.bit_count(differing) <= max_distance) & (_first_tag(differing) == F.shiftright("key", 32))
-    pairs = a.join(b, "key").filter((F.col("fa") < F.col("fb")) & near)
+    # Spark sizes a table after an explode like one before it, and would broadcast 64 times what it counts.
+    pairs = a.join(b.hint("merge"), "key").filter((F.col("fa") < F.col("fb")) & near)
     return pairs.select(F.col("ra").alias("u"), F.col("rb").alias("v"))
 
 

@@ -71,6 +71,14 @@ def test_every_distance_is_found_once(spark):
     assert Counter(frozenset((r.u, r.v)) for r in pairs) == Counter(expected)
 
 
+def test_exploded_keys_are_not_broadcast(spark):
+    """64 rows for each fingerprint go by shuffle, although Spark takes them for one."""
+    pairs = op.links(spark.range(1000).select(F.xxhash64("id").alias("fp"), F.col("id").alias("rep")))
+    assert pairs.count() == 0
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(5, i) for i in range(1000, 1100)] + [(5, 5)]
