@@ -11,6 +11,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 # The characters \x20 and \x09 to \x0D: what bytes.split() without argument splits at.
 SPACES = " \t\n\x0b\x0c\r"
+# Spark may choose a broadcast for joins of tables with so many counted rows; it sizes larger ones by their compressed files.
+BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def merged_beyond(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` as a side of a join that is sorted and merged if the tables joined have more than ``BROADCAST_ROWS`` rows."""
+    return df.hint("merge") if rows > BROADCAST_ROWS else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridpulse.llm.common import stored
+from gridpulse.llm.common import merged_beyond, stored
 
 
 def _summary(edges: DataFrame) -> tuple:
@@ -27,10 +27,10 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.filter("v > u").join(merged_beyond(least, before[0]), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        small = large.join(merged_beyond(least, before[0]), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         after = _summary(edges)
         if after == before:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from gridpulse.llm.common import stored, texts
+from gridpulse.llm.common import merged_beyond, stored, texts
 from gridpulse.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -106,16 +106,16 @@ def simhash_components(
     marks = stored(fingerprints(docs, size), "fingerprints")
     classes = marks.groupBy("fp").agg(F.min("d").alias("rep"))
     pairs = stored(links(classes.filter("rep IS NOT NULL"), max_distance), "links")
-    roots = components(pairs)
+    roots, n = components(pairs), pairs.count()
     degree = pairs.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    known = classes.join(roots, F.col("rep") == F.col("node"), "left").drop("node")
-    known = known.join(degree, F.col("rep") == F.col("node"), "left")
+    known = classes.join(merged_beyond(roots, n), F.col("rep") == F.col("node"), "left").drop("node")
+    known = known.join(merged_beyond(degree, n), F.col("rep") == F.col("node"), "left")
     known = known.select(
         F.col("fp").alias("cfp"),
         F.coalesce("root", "rep").alias("component_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
     )
-    joined = marks.join(known, F.col("fp") == F.col("cfp"))
+    joined = marks.join(known.hint("merge"), F.col("fp") == F.col("cfp"))
     return joined.select(
         F.col("d").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links"
     )

@@ -4,6 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from gridpulse.llm import common
 from gridpulse.llm import simhash as op
 from gridpulse.llm.components import components
 from odd_cases import ODD
@@ -79,6 +80,14 @@ def test_exploded_keys_are_not_broadcast(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_larger_tables_of_components_are_merged(spark, monkeypatch, documents, texts_of):
+    """Beyond so many counted rows no join is left to file sizes."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    out = op.simhash_components(documents)
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in out.collect()) == brute_force(list(texts_of.items()))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(5, i) for i in range(1000, 1100)] + [(5, 5)]
