@@ -46,6 +46,9 @@ def histories(
     parts = placed.select(
         *keys, F.floor(position / limit).cast("int").alias("history_part"), F.struct(position.alias("at"), F.col("_entry").alias("e")).alias("_e")
     )
+    # A task holds all arrays of its groups: so many tasks, whatever adaptive execution takes for small.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts.repartition(n, *keys, "history_part")
     arrays = parts.groupBy(*keys, "history_part").agg(F.array_sort(F.collect_list("_e")).alias("_all"))
     return arrays.select(*keys, "history_part", F.col("_all.e").alias(name))
 

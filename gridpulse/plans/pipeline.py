@@ -130,10 +130,11 @@ def _recomputed(spark: SparkSession, silver: Layer, base: str, cluster_by: Seque
         tables[name] = Layer(spark, path=f"{base}/{name}", schema=table.schema)
         return tables[name].read()
 
-    # Histories are written first, so that no array is built twice.
-    players = publish("player_histories", player_histories(silver.read()))
+    # Histories are written first, so that no array is built twice. Their files are a small part of their rows, so that
+    # Spark would take them for tables to broadcast.
+    players = publish("player_histories", player_histories(silver.read())).hint("merge")
     publish("player_features", player_features(silver.read(), parts=players))
-    plays = publish("play_histories", play_histories(silver.read()))
+    plays = publish("play_histories", play_histories(silver.read())).hint("merge")
     publish("play_trajectory", play_trajectory(silver.read(), parts=plays))
     return tables
 

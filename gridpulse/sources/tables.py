@@ -6,10 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from gridpulse.operators.layout import cluster_layout, partition_layout
 
+# A reader unpacks up to 4,096 rows of a row group at once; rows with long arrays get small row groups, measured row by row.
+ARRAY_OPTIONS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1"}
+
 
 @dataclass(frozen=True)
 class Layer:
@@ -63,6 +66,8 @@ def write_table(
     elif partition_by:
         df = partition_layout(df, partition_by)
     writer = df.write.format("parquet").mode("overwrite")
+    if any(isinstance(f.dataType, ArrayType) for f in df.schema.fields):
+        writer = writer.options(**ARRAY_OPTIONS)
     if partition_by or written_by:
         writer = writer.partitionBy(*(partition_by or written_by))
     if name is None:

@@ -10,6 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gridpulse.operators.layout import stream_layout
+from gridpulse.streaming.late import ROCKS, STORE
+
+# For a session that names no state store: keys on disk and in so much memory an executor, not all of them on its heap.
+STATE = {
+    STORE: ROCKS,
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+}
 
 
 @dataclass(frozen=True)
@@ -62,13 +70,20 @@ def process_stream(
 
 
 def _run(spark: SparkSession, start: Callable[[], StreamingQuery], poll_seconds: int) -> StreamRun:
-    kept = "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(kept)
-    spark.conf.set(kept, "100000")
+    settings = {"spark.sql.streaming.numRecentProgressUpdates": "100000"}
+    if spark.conf.get(STORE, None) is None:
+        settings |= {k: v for k, v in STATE.items() if spark.conf.get(k, None) is None}
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         query = start()
     finally:
-        spark.conf.set(kept, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
     seen: dict[int, object] = {}
     done = False

@@ -101,6 +101,14 @@ def test_features_of_split_plays_equal_those_of_whole_plays(uneven):
         assert a[key] == pytest.approx(b[key])
 
 
+def test_small_histories_are_not_gathered_in_one_task(spark):
+    """Arrays compress well, and adaptive execution counts compressed bytes."""
+    rows = [event(f"p{i}", "WR", ms=1000 * i, play_id=f"play{i % 40}") for i in range(400)]
+    parts = play_histories(clean_metrics(events(spark, rows)))
+    assert parts.count() == 40
+    assert parts.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_building_a_rollup_runs_no_job(spark):
     silver = clean_metrics(one_second(spark))
     tracker = spark.sparkContext.statusTracker()

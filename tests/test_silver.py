@@ -1,5 +1,7 @@
 """Batch and streaming silver: duplicates, event time, late rows, restarts."""
 
+import json
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -10,9 +12,14 @@ from gridpulse.operators import dedup_batch, first_per_group
 from gridpulse.plans.bronze import bronze_from_records
 from gridpulse.plans.separation import separation_fact
 from gridpulse.plans.silver import EVENT_KEYS, clean_metrics, silver_batch, silver_stream
+from gridpulse.schemas import TELEMETRY
 from gridpulse.session import new_folder
 from gridpulse.sources import encode_events
 from gridpulse.streaming import dedup_stream, write_stream
+from gridpulse.streaming.late import ROCKS, STORE
+
+
+HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 
 
 def streamed_silver(spark, df, **options):
@@ -135,6 +142,25 @@ def test_rows_without_event_time_stay_and_leave_no_state(spark):
     assert {r.untimed: r["count"] for r in found} == {True: 15, False: 3}
 
 
+def test_state_is_off_the_heap_where_the_session_names_no_store(spark, tmp_path):
+    """And the session's own settings are as before."""
+    named = spark.conf.get(STORE)
+    for chosen in (None, HEAP):
+        spark.conf.unset(STORE) if chosen is None else spark.conf.set(STORE, chosen)
+        try:
+            folder = tmp_path / str(chosen)
+            one_second(spark).write.parquet(f"{folder}/in")
+            stream = spark.readStream.schema(TELEMETRY).parquet(f"{folder}/in")
+            write_stream(silver_stream(stream), f"{folder}/out", f"{folder}/state")
+            assert spark.conf.get(STORE, None) == chosen
+            assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", None) is None
+        finally:
+            spark.conf.set(STORE, named)
+        used = json.loads((folder / "state/offsets/0").read_text().splitlines()[1])["conf"]
+        assert used[STORE] == (chosen or ROCKS)
+        assert spark.read.parquet(f"{folder}/out").count() == 4
+
+
 def test_bad_times_become_null(spark):
     values = ["1700000000000", "1700000000000000000", "soon", None, "-1", "99999999999999999999"]
     df = spark.createDataFrame([(v,) for v in values], "t STRING")

@@ -1,5 +1,6 @@
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -168,6 +169,15 @@ def test_partitioned_read_prunes(spark):
     assert read.count() == 10 and read.schema["game_id"].dataType.simpleString() == "string"
 
 
+def test_long_arrays_lie_in_small_row_groups(spark, tmp_path):
+    """A reader unpacks a row group at once, up to 4,096 rows of it."""
+    long = spark.range(30, numPartitions=1).select("id", F.transform(F.sequence(F.lit(1), F.lit(100_000)), lambda x: F.xxhash64("id", x)).alias("a"))
+    write_table(long, path=str(tmp_path / "long"))
+    (file,) = (tmp_path / "long").glob("*.parquet")
+    assert pq.ParquetFile(file).metadata.num_row_groups >= 3
+    assert spark.read.parquet(str(tmp_path / "long")).exceptAll(long).count() == 0
+
+
 def test_layer_streams_and_argument_checks(spark):
     path = new_folder(spark, "layer")
     spark.range(4).write.parquet(path)
